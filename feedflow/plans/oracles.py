@@ -257,8 +257,7 @@ FROM tx WHERE strict_ok GROUP BY 1
 SELECT date_trunc('hour', ts) AS bucket, event_type, count(*) AS n FROM events GROUP BY 1, 2
 """,
     "log_level_rollup": LOGS + "SELECT bucket, level, count(*) AS n FROM logs WHERE level IS NOT NULL GROUP BY 1, 2",
-    "tx_by_date": TX + """
-SELECT CAST(l_shipdate AS DATE) AS event_date, count(*) AS n, CAST(sum(size) AS BIGINT) AS size_sum
-FROM tx WHERE strict_ok GROUP BY 1
+    "events_by_date": """
+SELECT CAST(ts AS DATE) AS event_date, event_type, count(*) AS n, max(value) AS value_max FROM events GROUP BY 1, 2
 """,
 }

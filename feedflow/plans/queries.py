@@ -284,13 +284,12 @@ def log_level_rollup(spark, sf_dir):
     return rollup.log_rollup(records).withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
 
 
-def tx_by_date(spark, sf_dir):
-    """Typed transactions stored by date, then read back by one range of dates."""
-    out = shared_dir(spark, "tx-by-date")
-    typed = feed.transactions(_tx(spark, sf_dir), STRICT).select(*HEADER)
-    rollup.store_by_date(typed, shape.event_time("time"), out)
+def events_by_date(spark, sf_dir):
+    """Events stored by date, then read back; the date is a directory, not a column of the files."""
+    out = shared_dir(spark, "events-by-date")
+    rollup.store_by_date(table(spark, sf_dir, "events"), "ts", out)
     stored = spark.read.parquet(out)
-    return stored.groupBy("event_date").agg(F.count("*").alias("n"), F.sum("size").alias("size_sum"))
+    return stored.groupBy("event_date", "event_type").agg(F.count("*").alias("n"), F.max("value").alias("value_max"))
 
 
 QUERIES: dict[str, Query] = {
@@ -304,7 +303,7 @@ QUERIES: dict[str, Query] = {
         events_json_props, events_encode, events_valid_filter,
         stream_tx_available_now, stream_single_pass, stream_fan_out, stream_restart, landed_blocks,
         log_parse, log_parse_compat, log_messages,
-        tx_hourly_rollup, events_hourly_rollup, log_level_rollup, tx_by_date,
+        tx_hourly_rollup, events_hourly_rollup, log_level_rollup, events_by_date,
     )
 }
 
