@@ -13,7 +13,7 @@ from operator import and_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedflow.functions.json_text import is_kind, json_type
+from feedflow.functions.json_text import is_kind
 
 # --- Fixed values: fields and types the producers require. --------------------------------------
 
@@ -42,13 +42,28 @@ def _elements(doc: Column, path: str) -> Column:
     return F.try_variant_get(doc, path, "array<variant>")
 
 
+def usual_shape(contract: Contract) -> str:
+    """What ``schema_of_variant`` says of an object that has just the required fields, all numbers plain integers.
+
+    Lambdas are interpreted, so comparing an element's whole shape with this text is several times cheaper than a
+    test per field, which is left for elements of any other shape. VARIANT keeps fields sorted by name and puts
+    names that are not plain words in backticks, so no other object has the same text.
+    """
+    if isinstance(contract, dict):
+        return "OBJECT<" + ", ".join(f"{name}: {usual_shape(contract[name])}" for name in sorted(contract)) + ">"
+    return {"string": "STRING", "boolean": "BOOLEAN", "integer": "BIGINT", "number": "BIGINT"}[contract]
+
+
 def conforms(doc: Column, contract: Contract, path: str = "$") -> Column:
     """Whether the value at ``path`` keeps the contract. Never NULL."""
     if isinstance(contract, dict):
         # A required field is only ever found inside an object, so the object itself needs no test.
         return reduce(and_, [conforms(doc, part, f"{path}.{name}") for name, part in contract.items()])
     if isinstance(contract, list):
-        each = F.forall(_elements(doc, path), lambda item: conforms(item, contract[0]))
+        usual = usual_shape(contract[0])
+        each = F.forall(
+            _elements(doc, path), lambda item: (F.schema_of_variant(item) == usual) | conforms(item, contract[0])
+        )
         return F.coalesce(each, F.lit(False))
     if isinstance(contract, tuple):
         return _allowed(doc, path, contract)
@@ -58,9 +73,9 @@ def conforms(doc: Column, contract: Contract, path: str = "$") -> Column:
 def violations(doc: Column, contract: Contract) -> Column:
     """Array of reasons why ``doc`` breaks the contract; empty when it keeps it, one reason when it is NULL.
 
-    The reasons cost one test per field and are only worked out for documents that fail the plain test.
+    Reasons are only worked out for documents that fail the plain test. Elements of an array share their reasons.
     """
-    listed = F.array_compact(F.array(*_reasons(doc, contract, "$", "")))
+    listed = F.array_distinct(F.array_compact(_reasons(doc, contract, "$", "")))
     return (
         F.when(doc.isNull(), F.array(F.lit("malformed JSON")))
         .when(conforms(doc, contract), F.array().cast("array<string>"))
@@ -74,37 +89,22 @@ def _allowed(doc: Column, path: str, values: tuple) -> Column:
     )
 
 
-def _reasons(doc: Column, contract: Contract, path: str, label: str) -> list[Column]:
+def _reasons(doc: Column, contract: Contract, path: str, label: str) -> Column:
+    """Array of reasons, with NULLs for fields that are right."""
     if isinstance(contract, dict):
-        is_object = is_kind(doc, path, "object")
-        inner = [
-            reason
-            for name, part in contract.items()
-            for reason in _reasons(doc, part, f"{path}.{name}", f"{label}.{name}" if label else name)
+        fields = [
+            _reasons(doc, part, f"{path}.{name}", f"{label}.{name}" if label else name) for name, part in contract.items()
         ]
-        return [_unless(is_object, doc, path, label or "root", "object"), *[F.when(is_object, r) for r in inner]]
+        broken = F.array(_reason(doc, path, label or "root", "object"))
+        return F.when(is_kind(doc, path, "object"), F.concat(*fields)).otherwise(broken)
     if isinstance(contract, list):
-        return [
-            _unless(is_kind(doc, path, "array"), doc, path, label, "array"),
-            *_element_reasons(_elements(doc, path), contract[0], "$", f"{label}[]"),
-        ]
+        items = F.transform(_elements(doc, path), lambda item: _reasons(item, contract[0], "$", f"{label}[]"))
+        return F.coalesce(F.flatten(items), F.array(_reason(doc, path, label, "array")))
     if isinstance(contract, tuple):
-        return [_unless(_allowed(doc, path, contract), doc, path, label, " or ".join(contract))]
-    return [_unless(is_kind(doc, path, contract), doc, path, label, contract)]
-
-
-def _element_reasons(items: Column, contract: Contract, path: str, label: str) -> list[Column]:
-    """One reason per field that is wrong in at least one element."""
-    if isinstance(contract, dict):
-        return [
-            reason
-            for name, part in contract.items()
-            for reason in _element_reasons(items, part, f"{path}.{name}", f"{label}.{name}")
-        ]
-    wrong = F.exists(items, lambda item: ~conforms(item, contract, path))
-    return [F.when(wrong, F.lit(f"{label}: missing or not {contract}"))]
+        return F.array(F.when(~_allowed(doc, path, contract), _reason(doc, path, label, " or ".join(contract))))
+    return F.array(F.when(~is_kind(doc, path, contract), _reason(doc, path, label, contract)))
 
 
-def _unless(test: Column, doc: Column, path: str, label: str, expected: str) -> Column:
-    reason = F.when(json_type(doc, path).isNull(), F.lit(f"{label}: missing")).otherwise(F.lit(f"{label}: not {expected}"))
-    return F.when(~test, reason)
+def _reason(doc: Column, path: str, label: str, expected: str) -> Column:
+    found = F.try_variant_get(doc, path, "variant")
+    return F.when(found.isNull(), F.lit(f"{label}: missing")).otherwise(F.lit(f"{label}: not {expected}"))

@@ -13,6 +13,9 @@ def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
     filter, so ``select(from_json(..)).filter(isNotNull)`` parses every row twice, and a filter over
     twenty tests of one parsed VARIANT parses it twenty times. A one-element ``inline`` is a narrow
     operator that a filter on its output cannot move below, which keeps the work at one evaluation.
+    The expressions themselves stay in a projection under it, where they are compiled; a generator
+    would interpret those that hold a lambda or ``from_json``.
     """
-    packed = F.struct(*[column.alias(name) for name, column in columns.items()])
-    return df.select("*", F.inline(F.array(packed)))
+    computed = df.select("*", *[column.alias(f"_once_{name}") for name, column in columns.items()])
+    packed = F.struct(*[F.col(f"_once_{name}").alias(name) for name in columns])
+    return computed.select(*df.columns, F.inline(F.array(packed)))

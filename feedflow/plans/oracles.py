@@ -47,7 +47,7 @@ WITH base AS (
          q NOT IN (1, 4, 7, 8, 10, 14, 15, 16) AS strict_ok,
          CASE WHEN q = 15 THEN 'blank message' WHEN q IN (4, 8) THEN 'op: not utx'
               WHEN q IN (1, 7, 10, 14, 16) THEN 'malformed or mistyped JSON' END AS strict_reason,
-         CASE WHEN q IN (1, 14, 15) THEN 'malformed JSON' WHEN q IN (2, 11) THEN 'x.out[].addr: missing or not string'
+         CASE WHEN q IN (1, 14, 15) THEN 'malformed JSON' WHEN q = 2 THEN 'x.out[].addr: missing' WHEN q = 11 THEN 'x.out[].addr: not string'
               WHEN q = 4 THEN 'op: missing' WHEN q = 5 THEN 'x.hash: not string' WHEN q = 8 THEN 'op: not utx'
               WHEN q = 10 THEN 'x.ver: not integer' WHEN q = 16 THEN 'root: not object'
               WHEN q = 18 THEN 'x.hash: missing' END AS contract_reason

@@ -16,12 +16,13 @@ from feedflow.operators.validate import well_formed
 from feedflow.plans import feed
 from feedflow.plans.table_feed import (
     block_messages,
+    feed_table,
+    feed_table_stream,
     log_lines,
     mixed_message_stream,
     mixed_messages,
     producer_block_messages,
     table,
-    table_stream,
     transaction_messages,
 )
 from feedflow.schemas import TRANSACTION_STRICT_DDL
@@ -37,15 +38,15 @@ HEADER = ("x.hash", "x.tx_index", "x.time", "x.size", "x.vout_sz")
 
 
 def _tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transaction_messages(table(spark, sf_dir, "lineitem"))
+    return transaction_messages(feed_table(spark, sf_dir, "lineitem"))
 
 
 def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return block_messages(table(spark, sf_dir, "orders"))
+    return block_messages(feed_table(spark, sf_dir, "orders"))
 
 
 def _producer_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return producer_block_messages(table(spark, sf_dir, "orders"))
+    return producer_block_messages(feed_table(spark, sf_dir, "orders"))
 
 
 # --- Transactions -------------------------------------------------------------------------------
@@ -209,7 +210,7 @@ def events_valid_filter(spark, sf_dir):
 def stream_tx_available_now(spark, sf_dir):
     """The table as a file stream, through the feed, into Parquet files."""
     out = shared_dir(spark, "stream-tx")
-    messages = transaction_messages(table_stream(spark, sf_dir, "lineitem"))
+    messages = transaction_messages(feed_table_stream(spark, sf_dir, "lineitem"))
     parsed = feed.transactions(messages, COMPAT).select(*HEADER)
     finish(to_files(parsed, f"{out}/data", f"{out}/checkpoint", once=True))
     return spark.read.schema(parsed.schema).parquet(f"{out}/data")
@@ -232,7 +233,7 @@ def stream_fan_out(spark, sf_dir):
 def stream_restart(spark, sf_dir):
     """Stop after the first half of a landed feed, land the second half, go on from the checkpoint."""
     out = shared_dir(spark, "stream-restart")
-    lineitem = table(spark, sf_dir, "lineitem")
+    lineitem = feed_table(spark, sf_dir, "lineitem")
     first_half = F.col("l_linestatus").eqNullSafe("O")
     for half in (first_half, ~first_half):
         land(transaction_messages(lineitem.filter(half)), f"{out}/landed")
@@ -252,17 +253,17 @@ def landed_blocks(spark, sf_dir):
 
 
 def log_parse(spark, sf_dir):
-    records = logs.drop_debug(logs.parse_lines(log_lines(table(spark, sf_dir, "events")), STRICT))
+    records = logs.drop_debug(logs.parse_lines(log_lines(feed_table(spark, sf_dir, "events")), STRICT))
     return records.groupBy("level", "thread", "parsed").agg(F.count("*").alias("n"))
 
 
 def log_parse_compat(spark, sf_dir):
-    records = logs.drop_debug(logs.parse_lines(log_lines(table(spark, sf_dir, "events")), COMPAT))
+    records = logs.drop_debug(logs.parse_lines(log_lines(feed_table(spark, sf_dir, "events")), COMPAT))
     return records.select("timestamp", "thread", "level", "logger", "message", "log")
 
 
 def log_messages(spark, sf_dir):
-    records = logs.drop_debug(logs.parse_lines(log_lines(table(spark, sf_dir, "events")), STRICT))
+    records = logs.drop_debug(logs.parse_lines(log_lines(feed_table(spark, sf_dir, "events")), STRICT))
     return logs.log_messages(records.filter("parsed"))
 
 
@@ -280,7 +281,7 @@ def events_hourly_rollup(spark, sf_dir):
 
 
 def log_level_rollup(spark, sf_dir):
-    records = logs.parse_lines(log_lines(table(spark, sf_dir, "events")), STRICT)
+    records = logs.parse_lines(log_lines(feed_table(spark, sf_dir, "events")), STRICT)
     return rollup.log_rollup(records).withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
 
 

@@ -60,14 +60,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str, **options: object) -> DataFrame:
+def tasks_missing(df: DataFrame) -> int:
+    """How many tasks to spread a bounded scan over when its files give fewer than there are cores; 0 when not.
+
+    A file is split at its row groups, so a small table may come as a single task while JSON work per row is
+    expensive. A table worth a cluster has more splits than cores and is read as it lies, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return cores if df.rdd.getNumPartitions() < cores else 0
+
+
+def feed_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table to derive messages from, on at least as many tasks as there are cores."""
+    rows = table(spark, sf_dir, name)
+    tasks = tasks_missing(rows)
+    return rows.repartition(tasks) if tasks else rows
+
+
+def feed_table_stream(spark: SparkSession, sf_dir: str, name: str, **options: object) -> DataFrame:
     """The same table as a file stream.
 
     The last letter stands in brackets to make the path a pattern: a pattern may name a single file as well
     as a directory of part files, while a plain path must be a directory.
     """
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).options(**options).parquet(f"{sf_dir}/{name}.parque[t]")
+    bounded = table(spark, sf_dir, name)
+    rows = spark.readStream.schema(bounded.schema).options(**options).parquet(f"{sf_dir}/{name}.parque[t]")
+    tasks = tasks_missing(bounded)
+    return rows.repartition(tasks) if tasks else rows
 
 
 def _cases(key: Column, names: dict) -> Column:
@@ -216,14 +235,14 @@ def producer_block_messages(orders: DataFrame, settings: FeedSettings = FeedSett
 
 def mixed_messages(spark: SparkSession, sf_dir: str, settings: FeedSettings = FeedSettings()) -> DataFrame:
     """Transactions and blocks together, as one subscription to both topics sees them."""
-    transactions = transaction_messages(table(spark, sf_dir, "lineitem"), settings)
-    return transactions.unionByName(block_messages(table(spark, sf_dir, "orders"), settings))
+    transactions = transaction_messages(feed_table(spark, sf_dir, "lineitem"), settings)
+    return transactions.unionByName(block_messages(feed_table(spark, sf_dir, "orders"), settings))
 
 
 def mixed_message_stream(spark: SparkSession, sf_dir: str, settings: FeedSettings = FeedSettings(),
                          **options: object) -> DataFrame:
-    transactions = transaction_messages(table_stream(spark, sf_dir, "lineitem", **options), settings)
-    return transactions.unionByName(block_messages(table_stream(spark, sf_dir, "orders", **options), settings))
+    transactions = transaction_messages(feed_table_stream(spark, sf_dir, "lineitem", **options), settings)
+    return transactions.unionByName(block_messages(feed_table_stream(spark, sf_dir, "orders", **options), settings))
 
 
 def log_lines(events: DataFrame) -> DataFrame:
