@@ -17,22 +17,32 @@ def is_transaction(mode: str = STRICT, settings: FeedSettings = FeedSettings())
     """Predicate over ``json_data`` (compat), or over ``topic`` with ``json_data`` behind it (strict)."""
     if not check_mode(mode):
         return F.col("json_data").contains(TRANSACTION_MARKER)
-    by_key = F.get_json_object("json_data", "$.op") == "utx"
-    return _by_topic(settings.transaction_topic, by_key)
+    return _by_topic(settings.transaction_topic, _names_transaction())
 
 
 def is_block(mode: str = STRICT, settings: FeedSettings = FeedSettings()) -> Column:
     if not check_mode(mode):
         return F.col("json_data").contains(BLOCK_MARKER)
-    by_key = F.get_json_object("json_data", "$.height").isNotNull() & ~F.coalesce(
-        F.get_json_object("json_data", "$.op") == "utx", F.lit(False)
-    )
-    return _by_topic(settings.block_topic, by_key)
+    named = F.get_json_object("json_data", "$.height").isNotNull() | _malformed_with(BLOCK_MARKER)
+    return _by_topic(settings.block_topic, named & ~_names_transaction())
 
 
-def _by_topic(topic: str, by_key: Column) -> Column:
-    """The topic decides; top-level keys decide for messages that carry none."""
-    return F.coalesce((F.col("topic") == topic) | (F.col("topic").isNull() & by_key), F.lit(False))
+def _by_topic(topic: str, by_text: Column) -> Column:
+    """The topic decides; the text decides for messages that carry none. Never NULL.
+
+    Written as an OR of topic tests so that a table laid out by topic is read for the wanted topic only.
+    """
+    return F.col("topic").eqNullSafe(topic) | (F.col("topic").isNull() & F.coalesce(by_text, F.lit(False)))
+
+
+def _names_transaction() -> Column:
+    named = F.get_json_object("json_data", "$.op") == "utx"
+    return F.coalesce(named, F.lit(False)) | _malformed_with(TRANSACTION_MARKER)
+
+
+def _malformed_with(marker: str) -> Column:
+    """Text without readable keys that shows a marker, which makes it a dead letter of that kind."""
+    return F.col("json_data").contains(marker) & F.get_json_object("json_data", "$").isNull()
 
 
 def with_topic(texts: DataFrame) -> DataFrame:

@@ -35,6 +35,7 @@ def check_blocks(texts: DataFrame) -> DataFrame:
         F.when(F.col("doc").isNull(), F.array(F.lit("malformed JSON")))
         .when(~is_kind(F.col("doc"), "$", "object"), F.array(F.lit("root: not object")))
         .when(F.coalesce(empty, F.lit(True)), F.array(F.lit("block: missing or empty")))
+        .when(~is_kind(F.col("block"), "$", "object"), F.array(F.lit("block: not object")))
         .otherwise(F.col("_found"))
     )
     return compute_once(checked, errors=errors).drop("_found").withColumn("valid", F.size("errors") == 0)

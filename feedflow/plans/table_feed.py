@@ -171,7 +171,7 @@ def transaction_messages(lineitem: DataFrame, settings: FeedSettings = FeedSetti
         .withColumn("hash", F.concat(F.lit("tx"), "l_orderkey", F.lit("-"), "l_linenumber"))
         .withColumn("outputs", outputs)
     )
-    return _envelope(compute_once(rows, plain=F.to_json(transaction)), text, settings.transaction_topic,
+    return _envelope(rows.withColumn("plain", F.to_json(transaction)), text, settings.transaction_topic,
                      F.col("l_orderkey"), F.col("l_shipdate"))
 
 
@@ -206,7 +206,7 @@ def block_messages(orders: DataFrame, settings: FeedSettings = FeedSettings()) -
         .otherwise(plain)
     )
     rows = orders.withColumn("defect", _block_defect(BLOCK_DEFECTS))
-    return _envelope(compute_once(rows, plain=F.to_json(block)), text, settings.block_topic,
+    return _envelope(rows.withColumn("plain", F.to_json(block)), text, settings.block_topic,
                      F.col("o_orderkey"), F.col("o_orderdate"))
 
 
@@ -229,7 +229,7 @@ def producer_block_messages(orders: DataFrame, settings: FeedSettings = FeedSett
         .otherwise(plain)
     )
     rows = orders.withColumn("defect", _block_defect(PRODUCER_DEFECTS))
-    return _envelope(compute_once(rows, plain=F.to_json(F.struct(block.alias("block")))), text,
+    return _envelope(rows.withColumn("plain", F.to_json(F.struct(block.alias("block")))), text,
                      settings.block_topic, F.col("o_orderkey"), F.col("o_orderdate"))
 
 
@@ -265,9 +265,10 @@ def _block_defect(names: dict) -> Column:
 
 
 def _envelope(rows: DataFrame, text: Column, topic: str, offset: Column, stamp: Column) -> DataFrame:
-    return rows.select(
+    # A filter on the text must not derive the message a second time.
+    return compute_once(rows, value=F.encode(text, "UTF-8")).select(
         F.lit(None).cast("binary").alias("key"),
-        F.encode(text, "UTF-8").alias("value"),
+        "value",
         F.lit(topic).alias("topic"),
         F.lit(0).alias("partition"),
         offset.cast("bigint").alias("offset"),

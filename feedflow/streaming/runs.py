@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -79,19 +79,22 @@ def start_logs(lines: DataFrame, settings: FeedSettings, mode: str = STRICT) ->
     return to_kafka(log_messages(drop_debug(parse_lines(lines, mode))), settings.checkpoint("logs"), settings.log_topic, settings)
 
 
-def await_any(spark: SparkSession, queries: dict[str, StreamingQuery] | list[StreamingQuery]) -> None:
-    """Block until one query ends, then stop the others and raise what ended it.
+def await_any(queries: dict[str, StreamingQuery] | list[StreamingQuery], check_seconds: int = 5) -> None:
+    """Block until one of ``queries`` ends, then stop the others and raise what ended it.
 
-    Awaiting the queries one after the other would leave the failure of a later one unseen.
+    Awaiting them one after the other would leave the failure of a later one unseen, and the session's own
+    ``awaitAnyTermination`` also answers for queries that ended earlier.
     """
     running = list(queries.values()) if isinstance(queries, dict) else list(queries)
     try:
-        spark.streams.awaitAnyTermination()
+        while all(query.isActive for query in running):
+            running[0].awaitTermination(check_seconds)
+        for query in running:
+            if query.exception() is not None:
+                raise query.exception()
     finally:
         for query in running:
-            if query.isActive:
-                query.stop()
-        spark.streams.resetTerminated()
+            query.stop()
 
 
 def finish(query: StreamingQuery) -> StreamingQuery:
