@@ -66,7 +66,8 @@ def is_kind(doc: Column, path: str, kind: str) -> Column:
     Casting is no type test: VARIANT turns ``"7"`` and ``true`` into integers on request.
     """
     if kind == "object":
-        test = F.try_variant_get(doc, path, "map<string,variant>").isNotNull()
+        # Only an object casts to a struct, and one without fields takes nothing out of it.
+        test = F.try_variant_get(doc, path, "struct<>").isNotNull()
     elif kind == "array":
         test = F.try_variant_get(doc, path, "array<variant>").isNotNull()
     else:

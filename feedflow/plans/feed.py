@@ -109,17 +109,26 @@ def classify(messages: DataFrame, mode: str = STRICT, settings: FeedSettings = F
         _tx=F.when(F.col("_is_tx"), typed_record(text, tx_ddl, strict)),
         _block=F.when(F.col("_is_block"), typed_record(text, block_ddl, strict)),
     )
+    # Each kind is judged for its own rows only.
+    def tx_rows(value: Column) -> Column:
+        return F.when(F.col("_is_tx"), value)
+
+    def block_rows(value: Column) -> Column:
+        return F.when(F.col("_is_block"), value)
+
     if strict:
+        tx, block = F.col("_tx"), F.col("_block")
         judged = routed.select(
-            "json_data", "_is_tx", "_is_block",
-            F.col("_tx.record").alias("_tx"), normalized_block(F.col("_block.record")).alias("_block"),
-            F.coalesce(refusal(F.col("_tx"), text), _op_refusal(F.col("_tx.record"))).alias("_tx_reason"),
-            F.coalesce(refusal(F.col("_block"), text), _height_refusal(F.col("_block.record"))).alias("_block_reason"),
+            "json_data", "_is_tx", "_is_block", tx["record"].alias("_tx"),
+            block_rows(normalized_block(block["record"])).alias("_block"),
+            tx_rows(F.coalesce(refusal(tx, text), _op_refusal(tx["record"]))).alias("_tx_reason"),
+            block_rows(F.coalesce(refusal(block, text), _height_refusal(block["record"]))).alias("_block_reason"),
         )
     else:
-        judged = routed.withColumn("_tx_reason", F.when(F.col("_tx").isNull(), "blank message")).withColumn(
-            "_block_reason", F.when(F.col("_block").isNull(), "blank message")
-        )
+        judged = routed.withColumns({
+            "_tx_reason": tx_rows(F.when(F.col("_tx").isNull(), "blank message")),
+            "_block_reason": block_rows(F.when(F.col("_block").isNull(), "blank message")),
+        })
 
     def out(when: Column, topic: str, value: Column, reason: Column = F.lit(None).cast("string")) -> Column:
         return F.when(when, F.struct(F.lit(topic).alias("topic"), value.alias("value"), reason.alias("reason")))
@@ -127,15 +136,14 @@ def classify(messages: DataFrame, mode: str = STRICT, settings: FeedSettings = F
     is_tx, is_blk = F.col("_is_tx"), F.col("_is_block")
     tx_ok, block_ok = F.col("_tx_reason").isNull(), F.col("_block_reason").isNull()
     block_row = [F.col("_block")[name].alias(name) for name in BLOCK_FIELDS]
-    branches = [
-        out(is_tx & tx_ok, settings.processed_transaction_topic, row_to_json(["_tx.op", "_tx.x"])),
+    tx_out = out(is_tx & tx_ok, settings.processed_transaction_topic, row_to_json(["_tx.op", "_tx.x"]))
+    block_out = F.coalesce(
         out(is_blk & block_ok, settings.processed_block_topic, row_to_json([*block_row, F.lit(True).alias("schema_valid")])),
         out(is_blk & ~block_ok, settings.invalid_block_topic, text, F.col("_block_reason")),
-    ]
+    )
     if strict:
-        branches += [
-            out(is_tx & ~tx_ok, settings.invalid_transaction_topic, text, F.col("_tx_reason")),
-            out(~is_tx & ~is_blk, settings.unrouted_topic, text, F.lit("unrouted")),
-        ]
-    return judged.select(F.inline(F.array_compact(F.array(*branches))))
-
+        tx_out = F.coalesce(tx_out, out(is_tx & ~tx_ok, settings.invalid_transaction_topic, text, F.col("_tx_reason")))
+        block_out = F.coalesce(block_out, out(~is_tx & ~is_blk, settings.unrouted_topic, text, F.lit("unrouted")))
+    # An array of a fixed length: for one of unknown length Spark would first filter on its size, computing it twice.
+    outputs = judged.select(tx_out.alias("_tx_out"), block_out.alias("_block_out"))
+    return outputs.select(F.inline(F.array("_tx_out", "_block_out"))).filter(F.col("topic").isNotNull())

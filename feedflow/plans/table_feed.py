@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedflow.functions.once import compute_once
+from feedflow.operators.encode import utf8
 from feedflow.settings import FeedSettings
 
 # l_quantity -> what is unusual about the message. Other quantities give a plain message.
@@ -266,7 +267,7 @@ def _block_defect(names: dict) -> Column:
 
 def _envelope(rows: DataFrame, text: Column, topic: str, offset: Column, stamp: Column) -> DataFrame:
     # A filter on the text must not derive the message a second time.
-    return compute_once(rows, value=F.encode(text, "UTF-8")).select(
+    return compute_once(rows, value=utf8(text)).select(
         F.lit(None).cast("binary").alias("key"),
         "value",
         F.lit(topic).alias("topic"),

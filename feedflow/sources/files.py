@@ -35,7 +35,7 @@ def text_messages(lines: DataFrame, topic: str | None = None) -> DataFrame:
     """Lines of text (column ``value``) as envelope rows, for feeds landed as plain JSON lines."""
     return lines.select(
         F.lit(None).cast("binary").alias("key"),
-        F.encode("value", "UTF-8").alias("value"),
+        F.col("value").cast("binary").alias("value"),
         F.lit(topic).cast("string").alias("topic"),
         F.lit(None).cast("int").alias("partition"),
         F.lit(None).cast("bigint").alias("offset"),
