@@ -10,26 +10,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def bucket_rollup(df: DataFrame, time: Column | str, width: str, keys: tuple = (), **aggregates: Column) -> DataFrame:
-    """``aggregates`` per time bucket and ``keys``. ``bucket`` is the start of the bucket."""
+def bucket_rollup(
+    df: DataFrame, time: str, width: str, keys: tuple = (), late: str | None = None, **aggregates: Column
+) -> DataFrame:
+    """``aggregates`` per time bucket and ``keys``. ``bucket`` is the start of the bucket.
+
+    ``late`` is for streams: how long a bucket waits for late rows before it is final. Without it a stream keeps the
+    state of every bucket for ever.
+    """
+    if late is not None:
+        df = df.withWatermark(time, late)
     grouped = df.groupBy(F.window(time, width).alias("_window"), *keys).agg(
         *[column.alias(name) for name, column in aggregates.items()]
     )
     return grouped.select(F.col("_window.start").alias("bucket"), *keys, *aggregates)
 
 
-def transaction_rollup(transactions: DataFrame, width: str = "1 hour") -> DataFrame:
+def transaction_rollup(transactions: DataFrame, width: str = "1 hour", late: str | None = None) -> DataFrame:
     """Transactions, summed output value and average size per bucket."""
     value = F.aggregate("x.out", F.lit(0).cast("bigint"), lambda total, coin: total + F.coalesce(coin["value"], F.lit(0)))
     rows = transactions.select(
         F.timestamp_seconds("x.time").alias("event_time"), value.alias("value"), F.col("x.size").alias("size")
     )
-    return bucket_rollup(rows, "event_time", width, n=F.count("*"), value_sum=F.sum("value"), size_avg=F.avg("size"))
+    return bucket_rollup(
+        rows, "event_time", width, late=late, n=F.count("*"), value_sum=F.sum("value"), size_avg=F.avg("size")
+    )
 
 
-def log_rollup(records: DataFrame, width: str = "1 hour") -> DataFrame:
+def log_rollup(records: DataFrame, width: str = "1 hour", late: str | None = None) -> DataFrame:
     """Parsed log records per bucket and level."""
-    return bucket_rollup(records.filter("event_time IS NOT NULL"), "event_time", width, ("level",), n=F.count("*"))
+    return bucket_rollup(records.filter("event_time IS NOT NULL"), "event_time", width, ("level",), late, n=F.count("*"))
 
 
 def store_by_date(df: DataFrame, time: Column | str, path: str, mode: str = "append") -> None:

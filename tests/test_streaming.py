@@ -4,7 +4,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from feedflow.operators.rollup import bucket_rollup, transaction_rollup
+from feedflow.operators.rollup import transaction_rollup
 from feedflow.plans import feed
 from feedflow.plans.table_feed import feed_table, mixed_messages, transaction_messages
 from feedflow.settings import FeedSettings
@@ -121,19 +121,17 @@ def test_console(spark, landed_path, tmp_path):
     runs.finish(sinks.to_console(landed_stream(spark, landed_path).select("offset"), f"{tmp_path}/c", rows=1, once=True))
 
 
-def test_rollup_of_a_stream_keeps_late_rows_within_the_watermark(spark, sf_dir, tmp_path):
+def test_rollup_of_a_stream_gives_final_buckets(spark, sf_dir, tmp_path):
     land(transaction_messages(feed_table(spark, sf_dir, "lineitem")), f"{tmp_path}/l")
-    stream = feed.transactions(landed_stream(spark, f"{tmp_path}/l"))
-    timed = stream.select(F.timestamp_seconds("x.time").alias("event_time"), F.col("x.size").alias("size"))
-    rolled = bucket_rollup(timed.withWatermark("event_time", "3650 days"), "event_time", "1 hour", n=F.count("*"))
-    query = (
-        rolled.writeStream.outputMode("complete").format("memory").queryName("rolled")
-        .option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
-    )
-    runs.finish(query)
-    batch = transaction_rollup(feed.transactions(landed_table(spark, f"{tmp_path}/l"))).select("bucket", "n")
-    streamed = spark.table("rolled")
-    assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
+    rolled = transaction_rollup(feed.transactions(landed_stream(spark, f"{tmp_path}/l")), late="3 days")
+    runs.finish(sinks.to_files(rolled, f"{tmp_path}/d", f"{tmp_path}/c", once=True))
+    transactions = feed.transactions(landed_table(spark, f"{tmp_path}/l"))
+    last = transactions.agg(F.timestamp_seconds(F.max("x.time"))).first()[0]
+    final = F.col("bucket") + F.expr("INTERVAL 1 HOUR") <= F.lit(last) - F.expr("INTERVAL 3 DAYS")
+    expected = transaction_rollup(transactions).filter(final)
+    streamed = spark.read.schema(rolled.schema).parquet(f"{tmp_path}/d")
+    assert expected.count() > 100
+    assert streamed.exceptAll(expected).isEmpty() and expected.exceptAll(streamed).isEmpty()
 
 
 def test_published_values_are_json(spark, landed_path):
