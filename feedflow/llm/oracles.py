@@ -29,6 +29,34 @@ SELECT conv_id, count(*) AS n_turns,
 FROM placed GROUP BY conv_id
 """
 
+OP6 = r"""
+WITH split AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), items AS (
+    SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), item_windows AS (
+    SELECT DISTINCT item_id, least(13, len(w)) AS n, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS gram
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM items WHERE len(w) > 0)
+), lengths AS (
+    SELECT DISTINCT n FROM item_windows
+), doc_windows AS (
+    SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS gram
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM split, lengths WHERE len(w) >= n)
+), hits AS (
+    SELECT doc_id, i, n, item_id FROM doc_windows JOIN item_windows USING (n, gram)
+), covered AS (
+    SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hits) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM split LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
 ORACLES = {
+    "op6_decontaminate": OP6,
     "op10_chat_format": OP10,
 }

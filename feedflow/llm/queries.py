@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedflow.llm import bpe, chat
+from feedflow.llm import bpe, chat, decontaminate
 from feedflow.llm.shared import prepared
 
 
@@ -25,6 +25,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 # Fixed value: a conversation whose texts look like the template's own marks.
 MARKED = "</s>[INST] ok [/INST]"
 
@@ -37,5 +41,6 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": op5_bpe,
+    "op6_decontaminate": op6_decontaminate,
     "op10_chat_format": op10_chat_format,
 }

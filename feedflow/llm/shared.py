@@ -6,11 +6,14 @@ executor costs only its own tasks, and lineage ends there. Python code sees rows
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from feedflow.settings import shared_dir
 
@@ -62,6 +65,30 @@ def slices(bounds: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         first = min(last, rows)
 
 
+def annotated(df: DataFrame, text: str, fields: str, compute: Callable) -> DataFrame:
+    """``row`` (a struct of all columns of ``df``) and new ``fields``, so that names cannot clash.
+
+    ``compute()`` is called once a task and gives a function from a block (bytes, row offsets) of column ``text`` to
+    one sequence per new field.
+    """
+    prepared(df.sparkSession)
+    packed = df.select(F.struct(*[column(df, name) for name in df.columns]).alias("row"))
+    schema = StructType([*packed.schema.fields, *StructType.fromDDL(fields).fields])
+    kinds = to_arrow_schema(schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = compute()
+        for batch in batches:
+            data, bounds = utf8_view(batch.column(0).field(text))
+            for first, last in slices(bounds):
+                part = bounds[first : last + 1]
+                made = step(data[part[0] : part[-1]], part - part[0])
+                arrays = [pa.array(x, kind.type) for x, kind in zip(made, list(kinds)[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), *arrays], names=schema.names)
+
+    return packed.mapInArrow(run, schema)
+
+
 def blocks(batches: Iterable[pa.RecordBatch], name: str, limit: int = BLOCK_BYTES):
     """``(rows, bytes, offsets)`` for parts of the batches of at most about ``limit`` bytes of column ``name``."""
     for batch in batches:
