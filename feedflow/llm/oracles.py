@@ -56,7 +56,20 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM split LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+OP8 = """
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= 100 AND first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 100 AND first_id <> page_id THEN first_id END AS refers_to
+FROM firsts
+"""
+
 ORACLES = {
     "op6_decontaminate": OP6,
+    "op8_warc": OP8,
     "op10_chat_format": OP10,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedflow.llm import bpe, chat, decontaminate
+from feedflow.llm import bpe, chat, decontaminate, warc
 from feedflow.llm.shared import prepared
 
 
@@ -29,6 +29,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 # Fixed value: a conversation whose texts look like the template's own marks.
 MARKED = "</s>[INST] ok [/INST]"
 
@@ -42,5 +46,6 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": op5_bpe,
     "op6_decontaminate": op6_decontaminate,
+    "op8_warc": op8_warc,
     "op10_chat_format": op10_chat_format,
 }
