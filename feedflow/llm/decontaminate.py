@@ -120,11 +120,15 @@ def item_slices(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str, st
 FIELDS = "n_words bigint, hits array<struct<first:int,words:int,start:int,end:int,items:array<string>>>"
 
 
-def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """``row, n_words, hits``: every window of an item found in a document, as the place of its first word."""
+def occurrences(
+    docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slice_bytes: int = SLICE_BYTES, keep: list[str] | None = None
+) -> DataFrame:
+    """``row, n_words, hits``: every window of an item found in a document. ``row`` has the columns ``keep``, by default all."""
     spark = docs.sparkSession
 
-    def scan(df: DataFrame, items: list[tuple[str, str]]) -> DataFrame:
+    wanted = docs.columns if keep is None else keep
+
+    def scan(df: DataFrame, items: list[tuple[str, str]], keep: list[str]) -> DataFrame:
         shared = spark.sparkContext.broadcast(Windows(items, size))
 
         def compute():
@@ -144,24 +148,22 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slice_b
 
             return step
 
-        return annotated(df, "text", FIELDS, compute)
+        return annotated(df, "text", FIELDS, compute, keep)
 
-    scanned = None
-    for items in item_slices(benchmark, slice_bytes):
+    # All but the last pass keep every column and pack the hits so far beside them.
+    scanned, pending = None, next(slices := item_slices(benchmark, slice_bytes), [])
+    while True:
+        following = next(slices, None)
         if scanned is None:
-            scanned = scan(docs, items)
+            scanned = scan(docs, pending, wanted if following is None else docs.columns)
         else:
-            # The rows of an earlier pass, with its hits, are scanned for the next slice of items.
-            earlier = scanned.select("row.*", F.col("hits").alias("__earlier"))
-            again = scan(earlier, items)
-            scanned = again.select(
-                F.struct(*[F.col("row").getField(c).alias(c) for c in docs.columns]).alias("row"), "n_words",
-                F.concat(F.col("row.__earlier"), "hits").alias("hits"),
+            earlier = scanned.select(F.struct("row", "hits").alias("held"), F.col("row.text").alias("text"))
+            scanned = scan(earlier, pending, ["held"]).select(
+                F.col("row.held.row").alias("row"), "n_words", F.concat("row.held.hits", "hits").alias("hits")
             )
-    return scan(docs, []) if scanned is None else scanned
-
-
-VERDICT = "n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean"
+        if following is None:
+            return scanned
+        pending = following
 
 
 def judged(scanned: DataFrame) -> DataFrame:
@@ -178,7 +180,7 @@ def judged(scanned: DataFrame) -> DataFrame:
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` of every document."""
-    found = judged(occurrences(docs.select("doc_id", "text"), benchmark))
+    found = judged(occurrences(docs, benchmark, keep=["doc_id"]))
     return found.select(F.col("row.doc_id").cast("bigint").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 

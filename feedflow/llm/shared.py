@@ -65,25 +65,27 @@ def slices(bounds: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         first = min(last, rows)
 
 
-def annotated(df: DataFrame, text: str, fields: str, compute: Callable) -> DataFrame:
-    """``row`` (a struct of all columns of ``df``) and new ``fields``, so that names cannot clash.
+def annotated(df: DataFrame, text: str, fields: str, compute: Callable, keep: list[str] | None = None) -> DataFrame:
+    """``row`` (a struct of the columns ``keep`` of ``df``, by default all) and new ``fields``, so that names cannot clash.
 
     ``compute()`` is called once a task and gives a function from a block (bytes, row offsets) of column ``text`` to
     one sequence per new field.
     """
     prepared(df.sparkSession)
-    packed = df.select(F.struct(*[column(df, name) for name in df.columns]).alias("row"))
-    schema = StructType([*packed.schema.fields, *StructType.fromDDL(fields).fields])
-    kinds = to_arrow_schema(schema)
+    keep = df.columns if keep is None else keep
+    packed = df.select(F.struct(*[column(df, name).alias(name) for name in keep]).alias("row"),
+                       *([] if text in keep else [column(df, text).alias("text")]))
+    schema = StructType([packed.schema.fields[0], *StructType.fromDDL(fields).fields])
+    kinds = list(to_arrow_schema(schema))[1:]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = compute()
         for batch in batches:
-            data, bounds = utf8_view(batch.column(0).field(text))
+            data, bounds = utf8_view(batch.column(0).field(text) if text in keep else batch.column(1))
             for first, last in slices(bounds):
                 part = bounds[first : last + 1]
                 made = step(data[part[0] : part[-1]], part - part[0])
-                arrays = [pa.array(x, kind.type) for x, kind in zip(made, list(kinds)[1:], strict=True)]
+                arrays = [pa.array(x, kind.type) for x, kind in zip(made, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), *arrays], names=schema.names)
 
     return packed.mapInArrow(run, schema)
