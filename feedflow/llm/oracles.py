@@ -68,8 +68,30 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM firsts
 """
 
+OP9 = """
+WITH cut AS (
+    SELECT rowid AS id, doc_id, source, text, string_split(text, chr(10)) AS lines FROM (SELECT row_number() OVER () AS rowid, * FROM documents)
+), places AS (
+    SELECT id, source, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM cut
+), pages AS (
+    SELECT source, count(*) AS pages FROM documents GROUP BY source
+), counted AS (
+    SELECT source, trim(line, ' ') AS line, count(DISTINCT id) AS n FROM places WHERE trim(line, ' ') <> '' GROUP BY ALL
+), frequent AS (
+    SELECT counted.source, line, true AS dropped FROM counted JOIN pages ON counted.source IS NOT DISTINCT FROM pages.source
+    WHERE n >= 3 AND n > pages * 0.1
+), kept AS (
+    SELECT id, string_agg(places.line, chr(10) ORDER BY i) FILTER (dropped IS NULL) AS text, count(*) AS n_lines, count(dropped) AS n_dropped
+    FROM places LEFT JOIN frequent ON places.source IS NOT DISTINCT FROM frequent.source AND trim(places.line, ' ') = frequent.line
+    GROUP BY id
+)
+SELECT doc_id, n_lines, n_dropped, length(coalesce(kept.text, '')) AS n_chars, sha256(coalesce(kept.text, '')) AS text_sha256
+FROM cut LEFT JOIN kept USING (id)
+"""
+
 ORACLES = {
     "op6_decontaminate": OP6,
     "op8_warc": OP8,
+    "op9_line_dedup": OP9,
     "op10_chat_format": OP10,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedflow.llm import bpe, chat, decontaminate, language, warc
+from feedflow.llm import bpe, chat, decontaminate, language, lines, warc
 from feedflow.llm.shared import prepared
 
 
@@ -37,6 +37,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(table(spark, sf_dir, "documents"))
+
+
 # Fixed value: a conversation whose texts look like the template's own marks.
 MARKED = "</s>[INST] ok [/INST]"
 
@@ -52,5 +56,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": op5_bpe,
     "op6_decontaminate": op6_decontaminate,
     "op8_warc": op8_warc,
+    "op9_line_dedup": op9_line_dedup,
     "op10_chat_format": op10_chat_format,
 }
