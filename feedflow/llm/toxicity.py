@@ -36,6 +36,8 @@ DECAY = 0.5
 TRIPLES = ((1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4))
 # Triples of a word are grouped by where they begin, in cells of so many letters; a window is three cells.
 CELL = 4
+# Words are normalised as if they had at least a four-letter word's triples, so one shared triple doesn't make a word.
+LEAST_NORM = 2 + 2 * DECAY**2
 LANDMARKS, NEGATIVES, HARD = 128, 20_000, 4000
 # Support for a toxic word: log-likelihood ratio of its surroundings, and how much more frequent it is than in clean texts.
 LEAST_G, LEAST_RATIO = 12.0, 6.0
@@ -140,7 +142,7 @@ def kernel(words: Words, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sums[at] += weight * table[code]
         norm[at] += weight * weight
     cell_starts, lead, size, word = windows(words)
-    scale = np.sqrt(np.maximum(over_windows(norm, cell_starts, lead, size), 1.0))
+    scale = np.sqrt(np.maximum(over_windows(norm, cell_starts, lead, size), LEAST_NORM))
     total = over_windows(sums, cell_starts, lead, size)
     return total / (scale[:, None] if wide else scale), word
 
@@ -190,7 +192,7 @@ def landmark_table(landmarks: list[str]) -> np.ndarray:
     for at, code, weight in triples(words):
         np.add.at(table, (code, owner[at]), weight)
         np.add.at(norm, owner[at], weight * weight)
-    return table / np.sqrt(np.maximum(norm, 1)).astype(np.float32)
+    return table / np.sqrt(np.maximum(norm, LEAST_NORM)).astype(np.float32)
 
 
 def hyperplane(x: np.ndarray, y: np.ndarray, cost: float = 1.0, rounds: int = 30) -> np.ndarray:
