@@ -89,7 +89,21 @@ SELECT doc_id, n_lines, n_dropped, length(coalesce(kept.text, '')) AS n_chars, s
 FROM cut LEFT JOIN kept USING (id)
 """
 
+OP4 = """
+WITH vectors AS (
+    SELECT vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)])::BIGINT AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
 ORACLES = {
+    "op4_top_k": OP4,
     "op6_decontaminate": OP6,
     "op8_warc": OP8,
     "op9_line_dedup": OP9,

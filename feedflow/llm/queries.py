@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedflow.llm import bpe, chat, decontaminate, language, lines, toxicity, warc
+from feedflow.llm import bpe, chat, decontaminate, language, lines, topk, toxicity, warc
 from feedflow.llm.shared import prepared
 
 
@@ -29,6 +29,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.report(table(spark, sf_dir, "embeddings"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -58,6 +62,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op3_toxicity": op3_toxicity,
+    "op4_top_k": op4_top_k,
     "op5_bpe": op5_bpe,
     "op6_decontaminate": op6_decontaminate,
     "op8_warc": op8_warc,

@@ -19,6 +19,7 @@ from feedflow.settings import shared_dir
 
 # Rows of one Arrow batch; texts are mostly a few kilobytes.
 ARROW_ROWS = 512
+ARROW_BYTES = 16 << 20
 # Bytes of text that a vectorised step works on at once.
 BLOCK_BYTES = 1 << 20
 
@@ -26,6 +27,7 @@ BLOCK_BYTES = 1 << 20
 def prepared(spark: SparkSession) -> SparkSession:
     """Bound the Arrow batches that Python workers receive."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     return spark
 
 
