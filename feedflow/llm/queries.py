@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedflow.llm import bpe, chat, decontaminate, language, lines, topk, toxicity, warc
+from feedflow.llm import bpe, chat, decontaminate, html_text, language, lines, topk, toxicity, warc
 from feedflow.llm.shared import prepared
 
 
@@ -25,6 +25,10 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.report(table(spark, sf_dir, "documents"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -61,6 +65,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
+    "op2_html_text": op2_html_text,
     "op3_toxicity": op3_toxicity,
     "op4_top_k": op4_top_k,
     "op5_bpe": op5_bpe,
