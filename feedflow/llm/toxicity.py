@@ -285,15 +285,24 @@ def support(words: DataFrame, toxic: int, clean: int) -> DataFrame:
     return words.withColumn("g", g).filter((F.col("g") >= LEAST_G) & (ratio >= LEAST_RATIO))
 
 
-def learn(labelled: DataFrame) -> Machine | None:
-    """Fit on about ``TOXIC_TEXTS`` and ``CLEAN_TEXTS`` of the rows ``doc_id, text, label``, picked by a hash of their ids.
-    None if a class is missing."""
-    spark = labelled.sparkSession
-    sizes = {row[0]: row[1] for row in labelled.groupBy("label").count().collect()}
-    if not sizes.get(0) or not sizes.get(1):
-        return None
-    share = F.when(F.col("label") == 1, min(1.0, TOXIC_TEXTS / sizes[1])).otherwise(min(1.0, CLEAN_TEXTS / sizes[0]))
-    sample = written(spark, labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20)), "toxicity-sample")
+def sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id, text, label`` of about ``TOXIC_TEXTS`` and ``CLEAN_TEXTS`` documents that may be learned from.
+
+    The ids are picked from the labels by their hashes, so what is broadcast to find the texts has those bounds too. A
+    document with both labels counts as toxic.
+    """
+    usable = labels.filter("toxic IN (0, 1)").filter(fold(FOLDS) != HELD_OUT)
+    of_each = usable.groupBy(F.col("doc_id").alias("of")).agg(F.max("toxic").cast("int").alias("label"))
+    sizes = {row[0]: row[1] for row in of_each.groupBy("label").count().collect()}
+    share = F.when(F.col("label") == 1, min(1.0, TOXIC_TEXTS / sizes.get(1, 1))).otherwise(min(1.0, CLEAN_TEXTS / sizes.get(0, 1)))
+    ids = of_each.filter(F.pmod(F.xxhash64("of"), F.lit(1 << 20)) < share * (1 << 20))
+    texts = docs.filter("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("of"))
+    return written(docs.sparkSession, texts.select("doc_id", "text", "label"), "toxicity-sample")
+
+
+def learn(sample: DataFrame) -> Machine | None:
+    """Fit on the rows ``doc_id, text, label``; None if a class is missing."""
+    spark = sample.sparkSession
     picked = {row[0]: row[1] for row in sample.groupBy("label").count().collect()}
     if not picked.get(0) or not picked.get(1):
         return None
@@ -342,22 +351,15 @@ def applied(docs: DataFrame, machine: Machine | None, keep: list[str], what: str
     return annotated(docs, "text", "value double", compute, keep)
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, text, label`` of the documents that may be learned from."""
-    own = labels.filter("toxic IN (0, 1)").select(F.col("doc_id").alias("of"), F.col("toxic").cast("int").alias("label"))
-    texts = docs.filter((fold(FOLDS) != HELD_OUT) & F.col("text").isNotNull()).select("doc_id", "text")
-    return texts.join(own, F.col("doc_id") == F.col("of")).select("doc_id", "text", "label")
-
-
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Learn on the folds that are not held out and score every document: ``doc_id, held_out, score, predicted``."""
     prepared(docs.sparkSession)
-    machine = learn(labelled(docs, labels))
+    machine = learn(sampled(docs, labels))
     found = applied(docs, machine, ["doc_id"]).select(F.col("row.doc_id").cast("bigint").alias("doc_id"), F.col("value").alias("score"))
     return found.select("doc_id", (fold(FOLDS) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic, with all their columns."""
-    machine = learn(labelled(docs, labels))
+    machine = learn(sampled(docs, labels))
     return applied(docs, machine, docs.columns).filter("value < 0.5").select("row.*")
