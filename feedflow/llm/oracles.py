@@ -102,7 +102,29 @@ WITH vectors AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
+OP7 = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS MATERIALIZED (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + least(3, len(w)) - 1], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM split WHERE len(w) > 0)
+), sizes AS MATERIALIZED (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS inter FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS MATERIALIZED (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * inter >= 90 * (x.n + y.n - inter)
+    UNION SELECT b, a FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * inter >= 90 * (x.n + y.n - inter)
+), reach AS (
+    SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce((SELECT min(b) FROM reach WHERE a = doc_id), doc_id)) AS component_id
+FROM documents LEFT JOIN sizes USING (doc_id)
+"""
+
 ORACLES = {
+    "op7_jaccard_join": OP7,
     "op4_top_k": OP4,
     "op6_decontaminate": OP6,
     "op8_warc": OP8,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedflow.llm import bpe, chat, decontaminate, html_text, language, lines, topk, toxicity, warc
+from feedflow.llm import bpe, chat, decontaminate, html_text, jaccard, language, lines, topk, toxicity, warc
 from feedflow.llm.shared import prepared
 
 
@@ -45,6 +45,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_top_k": op4_top_k,
     "op5_bpe": op5_bpe,
     "op6_decontaminate": op6_decontaminate,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
     "op10_chat_format": op10_chat_format,
