@@ -356,10 +356,10 @@ def one_of_each(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
     """The documents, with one of each component, that with the smallest id; rows without an id stay."""
     spark = docs.sparkSession
     found = written(spark, join(docs, rule), "components")
-    gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("of")).distinct()
+    gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("__copy_id")).distinct()
     if gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    kept = docs.join(gone, column(docs, "doc_id") == F.col("of"), "left_anti")
+    kept = docs.join(gone, column(docs, "doc_id") == F.col("__copy_id"), "left_anti")
     # Rows that repeat an id are copies as well; only then is a shuffle of the texts needed.
     if found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
         return kept

@@ -1,0 +1,74 @@
+"""Window hits against a plain scan, spans, slices of items."""
+
+import hashlib
+import random
+import re
+
+from feedflow.llm import decontaminate
+from tests.llm.conftest import LONG
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def plain(docs, items, size=13):
+    out = []
+    windows = []
+    for item, text in items:
+        w = WORD.findall(lower(text))
+        n = min(size, len(w))
+        windows += [(str(item), w[i : i + n]) for i in range(len(w) - n + 1) if n]
+    for doc, text in docs:
+        w, hit, ids = WORD.findall(lower(text)), set(), set()
+        for item, window in windows:
+            for i in range(len(w) - len(window) + 1):
+                if w[i : i + len(window)] == window:
+                    hit |= set(range(i, i + len(window)))
+                    ids.add(item)
+        named = ",".join(sorted(ids)).encode()
+        out.append((doc, len(w), len(hit), len(ids), hashlib.sha256(named).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)))
+    return out
+
+
+def case():
+    rng = random.Random(3)
+    vocabulary = ["Alpha", "beta", "Größe", "42", "x", "delta", "eps"]
+    text = lambda n: " ".join(rng.choice(vocabulary) + rng.choice(["", ",", "!"]) for _ in range(n))
+    items = [(1, text(20)), (2, text(13)), (3, "alpha-beta 42"), (4, ""), (5, None), (10, text(40)), (11, "ALPHA beta; 42")]
+    docs = [(i, text(rng.randint(0, 30)) + " " + (rng.choice(items)[1] or "" if i % 2 else "")) for i in range(1, 40)]
+    docs += [(50, None), (51, ""), (52, LONG), (53, items[5][1] + " " + LONG), (53, items[0][1])]
+    return docs, items
+
+
+def test_report_equals_a_plain_scan(spark, documents):
+    docs, items = case()
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = sorted(tuple(r) for r in decontaminate.report(documents(docs), benchmark).collect())
+    assert found == sorted(plain(docs, items))
+
+
+def test_slices_give_the_same_hits(spark, documents):
+    docs, items = case()
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    sliced = decontaminate.judged(decontaminate.occurrences(documents(docs), benchmark, slice_bytes=1))
+    whole = decontaminate.judged(decontaminate.occurrences(documents(docs), benchmark))
+    columns = ["row.doc_id", "row.of", "n_words", "n_hit", "items_sha256"]
+    assert sorted(map(str, sliced.select(columns).collect())) == sorted(map(str, whole.select(columns).collect()))
+
+
+def test_spans_and_documents_go(spark, documents):
+    benchmark = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
+    docs = documents([(1, "say One, TWO; three. end"), (2, "other"), (3, None), (4, "one two three one two three")])
+    kept = decontaminate.without_contaminated(docs, benchmark)
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {2, 3}
+    cut = {r["doc_id"]: r["text"] for r in decontaminate.without_spans(docs, benchmark).collect()}
+    assert cut == {1: "say . end", 2: "other", 3: None, 4: " "}
+
+
+def test_empty_tables(spark, documents):
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert decontaminate.report(documents([]), none).isEmpty()
+    assert [tuple(r)[1:4] for r in decontaminate.report(documents([(1, "a b")]), none).collect()] == [(2, 0, 0)]
