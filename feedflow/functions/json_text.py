@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType, VariantType
 
 CORRUPT = "_corrupt_record"
 
@@ -22,26 +26,68 @@ def _seal(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+def text_leaves(kind: DataType) -> DataType | None:
+    """The part of a type that holds its STRING leaves, with VARIANT in their place; None if there are none."""
+    if isinstance(kind, StringType):
+        return VariantType()
+    if isinstance(kind, ArrayType):
+        inner = text_leaves(kind.elementType)
+        return inner and ArrayType(inner)
+    if isinstance(kind, StructType):
+        kept = [StructField(f.name, inner) for f in kind.fields if (inner := text_leaves(f.dataType))]
+        return StructType(kept) if kept else None
+    return None
+
+
+def only_texts(leaves: Column, kind: DataType) -> Column:
+    """Whether every leaf of ``text_leaves`` is a JSON string, null or missing. Never NULL."""
+    if isinstance(kind, VariantType):
+        return F.coalesce(F.schema_of_variant(leaves).isin("STRING", "VOID"), F.lit(True))
+    if isinstance(kind, ArrayType):
+        return F.coalesce(F.forall(leaves, lambda item: only_texts(item, kind.elementType)), F.lit(True))
+    return reduce(and_, [only_texts(leaves[f.name], f.dataType) for f in kind.fields])
+
+
+STRICT_JSON = {"columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
 def typed_record(text: Column, ddl: str, strict: bool) -> Column:
     """Parse JSON text into a struct.
 
     Lenient parsing is plain ``from_json``: fields that do not fit become NULL and malformed text becomes a
-    struct of NULLs. Strict parsing returns ``struct<record, seal, _corrupt_record>``, to be judged by
-    ``strictly_parsed``. Spark's JSON parser stops at the end of the first value, so text such as
-    ``{"a":1} junk`` or two records glued together would pass. Wrapping the text in an object whose last field
-    is a hash of that text shows whether the parser read all of it.
+    struct of NULLs. Strict parsing returns ``struct<frame, names>``, to be judged by ``strictly_parsed``; the record is
+    in ``frame.record``. It reads the text inside a frame, an object that holds it twice: as the record, and for the
+    kinds of its STRING leaves, as Spark turns any JSON value into a string without complaint.
+
+    Spark's JSON parser stops at the end of the first value, so text such as ``{"a":1} junk`` or two records glued
+    together would pass; the frame's last field, a hash of the text, shows whether the parser read all of it. Text that
+    goes on as further fields of the frame (``{"a":1},"record":{}``) shows in the frame's ``names``.
     """
     if not strict:
         return F.from_json(text, ddl)
-    framed = F.concat(F.lit('{"record":'), text, F.lit(',"seal":'), _seal(text).cast("string"), F.lit("}"))
-    shape = f"record struct<{ddl}>, seal bigint, {CORRUPT} string"
-    return F.from_json(framed, shape, {"columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "false"})
-
-
-def strictly_parsed(parsed: Column, text: Column) -> Column:
-    """Whether a strict ``typed_record`` read the whole text and every field fitted its type."""
-    whole = parsed["seal"].eqNullSafe(_seal(text))
-    return F.coalesce(parsed[CORRUPT].isNull() & parsed["record"].isNotNull() & whole, F.lit(False))
+    leaves = text_leaves(StructType.fromDDL(ddl))
+    texts = ("texts",) if leaves else ()
+    names = ["record", *texts, "seal"]
+    framed = F.concat(
+        F.lit('{"record":'), text, *[part for _ in texts for part in (F.lit(',"texts":'), text)],
+        F.lit(',"seal":'), _seal(text).cast("string"), F.lit("}"),
+    )
+    kinds = f", texts {leaves.simpleString()}" if leaves else ""
+    shape = f"record struct<{ddl}>{kinds}, seal bigint, {CORRUPT} string"
+    return F.struct(
+        F.from_json(framed, shape, STRICT_JSON).alias("frame"),
+        F.json_object_keys(framed).eqNullSafe(F.array(*[F.lit(name) for name in names])).alias("names"),
+    )
+
+
+def strictly_parsed(parsed: Column, text: Column, ddl: str) -> Column:
+    """Whether a strict ``typed_record`` read the whole text as one value and every field fitted its type."""
+    frame, leaves = parsed["frame"], text_leaves(StructType.fromDDL(ddl))
+    whole = frame["seal"].eqNullSafe(_seal(text)) & parsed["names"]
+    fitting = frame[CORRUPT].isNull() & frame["record"].isNotNull()
+    if leaves:
+        fitting = fitting & only_texts(frame["texts"], leaves)
+    return F.coalesce(whole & fitting, F.lit(False))
 
 
 def variant_frame(text: Column) -> Column:

@@ -31,12 +31,12 @@ def decode(messages: DataFrame, keep: tuple = ("topic", "partition", "offset"))
     return messages.select(*lineage, payload_text("value").alias("json_data"))
 
 
-def refusal(parsed: Column, text: Column) -> Column:
+def refusal(parsed: Column, text: Column, ddl: str) -> Column:
     """Why a strict parse fails; NULL when it succeeds."""
     return (
         F.when(is_blank(text), "blank message")
         .when(~F.is_valid_utf8(text), "not valid UTF-8")
-        .when(~strictly_parsed(parsed, text), "malformed or mistyped JSON")
+        .when(~strictly_parsed(parsed, text, ddl), "malformed or mistyped JSON")
     )
 
 
@@ -55,11 +55,11 @@ def parse(texts: DataFrame, ddl: str, mode: str = STRICT, refuse: Column | None
         return rows.select(*rest, "parsed", text.alias("raw_json"), F.col("parsed").isNotNull().alias("schema_valid"))
     rows = compute_once(texts, attempt=typed_record(text, ddl, strict=True))
     rows = rows.select(
-        *rest, F.col("attempt.record").alias("parsed"), text.alias("raw_json"), refusal(F.col("attempt"), text).alias("reason")
+        *rest, F.col("attempt.frame.record").alias("parsed"), text.alias("raw_json"), refusal(F.col("attempt"), text, ddl).alias("_refused")
     )
-    if refuse is not None:
-        rows = rows.withColumn("reason", F.coalesce("reason", refuse))
-    return rows.withColumn("schema_valid", F.col("reason").isNull())
+    # Judging walks through arrays, so it is done once as well.
+    reason = F.col("_refused") if refuse is None else F.coalesce("_refused", refuse)
+    return compute_once(rows, reason=reason).drop("_refused").withColumn("schema_valid", F.col("reason").isNull())
 
 
 def parse_variant(texts: DataFrame, column: str = "json_data", alias: str = "doc") -> DataFrame:

@@ -97,15 +97,16 @@ def transaction_dead_letters(messages: DataFrame, settings: FeedSettings = FeedS
 def classify(messages: DataFrame, mode: str = STRICT, settings: FeedSettings = FeedSettings()) -> DataFrame:
     """Every output message of the feed with its target ``topic``, from one scan and one parse per record.
 
-    Columns: ``topic``, ``value``, ``reason``. A sink that takes the topic from a column, or a file sink
+    Columns: ``topic``, ``value``, ``reason``, and the input's ``partition`` and ``offset`` if it has them. A sink that takes the topic from a column, or a file sink
     partitioned by it, publishes all branches in a single query. Compat leaves unrouted messages out and may
     send one message to both outputs; strict gives exactly one row per message.
     """
     strict = check_mode(mode)
     texts, text = with_topic(decode(messages)), F.col("json_data")
+    rest = [name for name in ("partition", "offset") if name in texts.columns]
     tx_ddl, block_ddl = (TRANSACTION_STRICT_DDL, BLOCK_STRICT_DDL) if strict else (TRANSACTION_DDL, BLOCK_DDL)
     routed = compute_once(
-        texts.select("json_data", is_transaction(mode, settings).alias("_is_tx"), is_block(mode, settings).alias("_is_block")),
+        texts.select("json_data", *rest, is_transaction(mode, settings).alias("_is_tx"), is_block(mode, settings).alias("_is_block")),
         _tx=F.when(F.col("_is_tx"), typed_record(text, tx_ddl, strict)),
         _block=F.when(F.col("_is_block"), typed_record(text, block_ddl, strict)),
     )
@@ -119,10 +120,10 @@ def classify(messages: DataFrame, mode: str = STRICT, settings: FeedSettings = F
     if strict:
         tx, block = F.col("_tx"), F.col("_block")
         judged = routed.select(
-            "json_data", "_is_tx", "_is_block", tx["record"].alias("_tx"),
-            block_rows(normalized_block(block["record"])).alias("_block"),
-            tx_rows(F.coalesce(refusal(tx, text), _op_refusal(tx["record"]))).alias("_tx_reason"),
-            block_rows(F.coalesce(refusal(block, text), _height_refusal(block["record"]))).alias("_block_reason"),
+            "json_data", "_is_tx", "_is_block", *rest, tx["frame"]["record"].alias("_tx"),
+            block_rows(normalized_block(block["frame"]["record"])).alias("_block"),
+            tx_rows(F.coalesce(refusal(tx, text, tx_ddl), _op_refusal(tx["frame"]["record"]))).alias("_tx_reason"),
+            block_rows(F.coalesce(refusal(block, text, block_ddl), _height_refusal(block["frame"]["record"]))).alias("_block_reason"),
         )
     else:
         judged = routed.withColumns({
@@ -145,5 +146,5 @@ def classify(messages: DataFrame, mode: str = STRICT, settings: FeedSettings = F
         tx_out = F.coalesce(tx_out, out(is_tx & ~tx_ok, settings.invalid_transaction_topic, text, F.col("_tx_reason")))
         block_out = F.coalesce(block_out, out(~is_tx & ~is_blk, settings.unrouted_topic, text, F.lit("unrouted")))
     # An array of a fixed length: for one of unknown length Spark would first filter on its size, computing it twice.
-    outputs = judged.select(tx_out.alias("_tx_out"), block_out.alias("_block_out"))
-    return outputs.select(F.inline(F.array("_tx_out", "_block_out"))).filter(F.col("topic").isNotNull())
+    outputs = judged.select(*rest, tx_out.alias("_tx_out"), block_out.alias("_block_out"))
+    return outputs.select(F.inline(F.array("_tx_out", "_block_out")), *rest).filter(F.col("topic").isNotNull())

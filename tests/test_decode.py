@@ -17,7 +17,21 @@ CASES = {
     '{"hash":"a","height":5.0}': (("a", None, None, None), False),
     '{"hash":12,"height":"7"}': (("12", None, None, None), False),
     '{"height":true}': ((None,) * 4, False),
-    '{"height":1,"tx":[{"a":1},2]}': ((None, None, 1, ['{"a":1}', "2"]), True),
+    '{"height":1,"tx":[{"a":1},2]}': ((None, None, 1, ['{"a":1}', "2"]), False),
+    '{"height":1,"tx":["a",null]}': ((None, None, 1, ["a", None]), True),
+    # A string field takes strings and null only.
+    '{"hash":12}': (("12", None, None, None), False),
+    '{"hash":{"a":1}}': (('{"a":1}', None, None, None), False),
+    '{"hash":true}': (("true", None, None, None), False),
+    '{"hash":null,"height":3}': ((None, None, 3, None), True),
+    '{"height":4,"zzz":NaN}': ((None, None, 4, None), False),
+    # Text that would go on as fields of the frame it is parsed in.
+    '{"hash":"a"},"zzz":1': (("a", None, None, None), False),
+    '{"hash":"a"},"seal":5': (("a", None, None, None), False),
+    '{"hash":"a"},"texts":{"hash":"a"}': (("a", None, None, None), False),
+    '{"hash":"a"},"_corrupt_record":"x"': (("a", None, None, None), False),
+    '{"hash":"a"},"record":{"hash":"b"}': (("a", None, None, None), False),
+    '{"hash":"a","record":1,"seal":2,"_corrupt_record":3}': (("a", None, None, None), True),
     '[{"height":1}]': ((None,) * 4, False),
     "null": ((None,) * 4, False),
     '{"height":1,"height":2}': ((None, None, 2, None), True),
