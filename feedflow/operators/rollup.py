@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedflow.operators.shape import event_time, output_sum
+
 
 def bucket_rollup(
     df: DataFrame, time: str, width: str, keys: tuple = (), late: str | None = None, **aggregates: Column
@@ -27,18 +29,25 @@ def bucket_rollup(
 
 
 def transaction_rollup(transactions: DataFrame, width: str = "1 hour", late: str | None = None) -> DataFrame:
-    """Transactions, summed output value and average size per bucket."""
-    value = F.aggregate("x.out", F.lit(0).cast("bigint"), lambda total, coin: total + F.coalesce(coin["value"], F.lit(0)))
-    rows = transactions.select(
-        F.timestamp_seconds("x.time").alias("event_time"), value.alias("value"), F.col("x.size").alias("size")
-    )
+    """Transactions, summed output value and average size per bucket. Sums are decimals, so no message overflows them.
+
+    Transactions without a usable time are in no bucket; ``transaction_rollup_rejects`` accounts for them.
+    """
+    rows = transactions.select(event_time("x.time").alias("event_time"), output_sum().alias("value"), F.col("x.size").alias("size"))
     return bucket_rollup(
-        rows, "event_time", width, late=late, n=F.count("*"), value_sum=F.sum("value"), size_avg=F.avg("size")
+        rows.filter("event_time IS NOT NULL"), "event_time", width, late=late, n=F.count("*"), value_sum=F.sum("value").cast("decimal(38,0)"),
+        size_avg=F.avg("size"),
     )
 
 
+def transaction_rollup_rejects(transactions: DataFrame) -> DataFrame:
+    """The transactions that no bucket holds, with the reason."""
+    reason = F.when(F.col("x.time").isNull(), "time: missing").when(event_time("x.time").isNull(), "time: out of range")
+    return transactions.withColumn("reason", reason).filter("reason IS NOT NULL")
+
+
 def log_rollup(records: DataFrame, width: str = "1 hour", late: str | None = None) -> DataFrame:
-    """Parsed log records per bucket and level."""
+    """Parsed log records per bucket and level. Lines without a time have no bucket; count ``event_time IS NULL`` for them."""
     return bucket_rollup(records.filter("event_time IS NOT NULL"), "event_time", width, ("level",), late, n=F.count("*"))
 
 

@@ -32,9 +32,19 @@ def hash_or_na(column: str = "x.hash", default: str = "N/A") -> Column:
     return F.coalesce(F.nullif(F.col(column), F.lit("")), F.lit(default))
 
 
+# Epoch seconds of the years 1 to 9999; beyond them Spark's conversion fails the job.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
+
+
 def event_time(column: str = "time") -> Column:
-    """Epoch seconds as a timestamp."""
-    return F.timestamp_seconds(F.col(column))
+    """Epoch seconds as a timestamp; NULL outside the years 1 to 9999."""
+    return F.timestamp_seconds(F.when(F.col(column).between(FIRST_SECOND, LAST_SECOND), F.col(column)))
+
+
+def output_sum(outputs: str = "x.out") -> Column:
+    """Summed value of a transaction's outputs, wide enough for any of them."""
+    wide = "decimal(38,0)"
+    return F.aggregate(outputs, F.lit(0).cast(wide), lambda total, coin: (total + F.coalesce(coin["value"], F.lit(0)).cast(wide)).cast(wide))
 
 
 def transaction_outputs(transactions: DataFrame) -> DataFrame:

@@ -13,45 +13,53 @@ WITH base AS (
          CAST(l_quantity AS INT) AS q,
          'tx' || l_orderkey || '-' || l_linenumber AS h,
          l_orderkey * 10 + l_linenumber AS tx_index,
-         CAST(epoch(l_shipdate) AS BIGINT) AS t,
+         CASE CAST(l_quantity AS INT) WHEN 19 THEN NULL WHEN 20 THEN 9223372036854775807 ELSE CAST(epoch(l_shipdate) AS BIGINT) END AS t,
          CAST(round(l_extendedprice * 100) AS BIGINT) AS cents,
+         CASE CAST(l_quantity AS INT) WHEN 21 THEN 9223372036854775807 ELSE CAST(round(l_extendedprice * 100) AS BIGINT) END AS paid,
+         CAST(l_linenumber - 1 AS INT) AS part,
          CAST(round(l_extendedprice * 100) AS BIGINT) * CAST(round(l_tax * 100) AS BIGINT) // 100 AS tax
   FROM lineitem
 ), sized AS (
   SELECT *, 100 + q AS size, CASE WHEN q = 9 THEN 0 WHEN l_tax > 0 THEN 2 ELSE 1 END AS n_out FROM base
 ), plain AS (
   SELECT *,
-    '{' || CASE WHEN q = 4 THEN '' WHEN q = 8 THEN '"op":"block",' WHEN q = 3 THEN '"op": "utx",'
+    '{' || CASE WHEN q IN (4, 32) THEN '' WHEN q = 8 THEN '"op":"block",' WHEN q IN (3, 33) THEN '"op": "utx",'
                 WHEN q = 12 THEN '"op":"utx","note":{"seen":1},' WHEN q = 17 THEN '"op":"old","op":"utx",'
-                ELSE '"op":"utx",' END ||
+                WHEN q = 24 THEN '"op":"utx","note":NaN,' ELSE '"op":"utx",' END AS opening,
     '"x":{"lock_time":0,"ver":' || CASE WHEN q = 6 THEN '4294967295' WHEN q = 10 THEN 'true' ELSE '1' END ||
     ',"size":' || size || ',"inputs":[{"sequence":4294967295,"prev_out":{"spent":false,"tx_index":' || l_partkey ||
-    ',"type":0,"addr":"p' || l_partkey || '","value":' || (cents + 1) || ',"n":0,"script":""},"script":""}],"time":' || t ||
-    ',"tx_index":' || tx_index || ',"vin_sz":1,' ||
-    CASE WHEN q = 5 THEN '"hash":12,' WHEN q = 18 THEN '' ELSE '"hash":"' || h || '",' END ||
-    '"vout_sz":' || n_out || ',"relayed_by":"' || CASE WHEN q = 13 THEN 'height' ELSE '0.0.0.0' END || '","out":[' ||
+    ',"type":0,"addr":"p' || l_partkey || '","value":' || (cents + 1) || ',"n":0,"script":""},"script":""}],' || coalesce('"time":' || t || ',', '') ||
+    '"tx_index":' || tx_index || ',"vin_sz":1,' ||
+    CASE WHEN q = 5 THEN '"hash":12,' WHEN q = 26 THEN '"hash":true,' WHEN q = 18 THEN '' ELSE '"hash":"' || h || '",' END ||
+    '"vout_sz":' || n_out || ',"relayed_by":' || CASE WHEN q = 13 THEN '"height"' WHEN q = 25 THEN '{"a":1}' ELSE '"0.0.0.0"' END || ',"out":[' ||
     CASE WHEN n_out = 0 THEN '' ELSE
       '{"spent":false,"tx_index":' || l_orderkey || ',"type":0,' ||
       CASE WHEN q = 2 THEN '' WHEN q = 11 THEN '"addr":null,' ELSE '"addr":"s' || l_suppkey || '",' END ||
-      '"value":' || cents || CASE WHEN q = 7 THEN '.5' ELSE '' END || ',"n":0,"script":""}' END ||
+      '"value":' || paid || CASE WHEN q = 7 THEN '.5' ELSE '' END || ',"n":0,"script":""}' END ||
     CASE WHEN n_out < 2 THEN '' ELSE
       ',{"spent":false,"tx_index":' || l_orderkey || ',"type":0,"addr":"tax","value":' || tax || ',"n":1,"script":""}' END ||
-    ']}}' AS whole
+    ']}}' AS body
   FROM sized
+), whole AS (
+  SELECT *, opening || body AS whole, '{"op":"utx",' || replace(body, '"addr":null,', '') AS published FROM plain
 ), tx AS (
-  SELECT *, CASE WHEN q = 1 THEN left(whole, length(whole) - 7) WHEN q = 14 THEN whole || ' trailing'
+  SELECT *, CASE WHEN q = 22 THEN whole || ',"zzz":1' WHEN q = 23 THEN whole || ',"record":{"op":"utx","x":{"hash":"other"}}'
+                 WHEN q = 1 THEN left(whole, length(whole) - 7) WHEN q = 14 THEN whole || ' trailing'
                  WHEN q = 15 THEN '   ' WHEN q = 16 THEN '[' || whole || ']' ELSE whole END AS text,
-         CASE WHEN q = 5 THEN '12' WHEN q <> 18 THEN h END AS read_hash,
-         q NOT IN (3, 4, 8, 15) AS marked,
+         CASE WHEN q = 5 THEN '12' WHEN q = 26 THEN 'true' WHEN q <> 18 THEN h END AS read_hash,
+         q NOT IN (3, 4, 8, 15, 32, 33) AS marked,
          q IN (1, 16) AS unreadable,
-         q NOT IN (1, 4, 7, 8, 10, 14, 15, 16) AS strict_ok,
+         -- Without a topic and without an op, a message is no transaction in strict mode.
+         q <> 32 AS strict_tx,
+         q NOT IN (1, 4, 5, 7, 8, 10, 14, 15, 16, 22, 23, 24, 25, 26, 32) AS strict_ok,
          CASE WHEN q = 15 THEN 'blank message' WHEN q IN (4, 8) THEN 'op: not utx'
-              WHEN q IN (1, 7, 10, 14, 16) THEN 'malformed or mistyped JSON' END AS strict_reason,
-         CASE WHEN q IN (1, 14, 15) THEN 'malformed JSON' WHEN q = 2 THEN 'x.out[].addr: missing' WHEN q = 11 THEN 'x.out[].addr: not string'
+              WHEN q IN (1, 5, 7, 10, 14, 16, 22, 23, 24, 25, 26) THEN 'malformed or mistyped JSON' WHEN q = 32 THEN 'unrouted' END AS strict_reason,
+         CASE WHEN q IN (1, 14, 15, 22, 23, 24) THEN 'malformed JSON' WHEN q = 19 THEN 'x.time: missing'
+              WHEN q = 25 THEN 'x.relayed_by: not string' WHEN q = 26 THEN 'x.hash: not string' WHEN q = 32 THEN 'op: missing' WHEN q = 2 THEN 'x.out[].addr: missing' WHEN q = 11 THEN 'x.out[].addr: not string'
               WHEN q = 4 THEN 'op: missing' WHEN q = 5 THEN 'x.hash: not string' WHEN q = 8 THEN 'op: not utx'
               WHEN q = 10 THEN 'x.ver: not integer' WHEN q = 16 THEN 'root: not object'
               WHEN q = 18 THEN 'x.hash: missing' END AS contract_reason
-  FROM plain
+  FROM whole
 )
 """
 
@@ -74,7 +82,7 @@ ordered AS (
   FROM ordered
 ), blocks AS (
   SELECT *, CASE WHEN d = '1-URGENT' THEN left(whole, length(whole) - 7) ELSE whole END AS text,
-         d IS NULL OR d NOT IN ('1-URGENT', '2-HIGH', '5-LOW') AS strict_ok,
+         d IS NULL OR d = '3-MEDIUM' AS strict_ok,
          CASE WHEN d = '3-MEDIUM' THEN 4294967295 ELSE o_custkey END AS nonce
   FROM block_plain
 )
@@ -104,12 +112,23 @@ BLOCK_PARSE_STRICT = BLOCKS_ONLY + """
 SELECT k AS height, CAST(n AS BIGINT) AS n_tx, t AS time, nonce, true AS schema_valid FROM blocks WHERE strict_ok
 """
 
-FEED_TOPICS = BOTH + """
-SELECT topic, count(*) AS n FROM (
-  SELECT CASE WHEN strict_ok THEN 'processed_transactions' ELSE 'invalid_transactions' END AS topic FROM tx
+# Every message of the strict feed: where it goes, its text there, and why.
+FEED_ROWS = BOTH + """, feed AS (
+  SELECT CASE WHEN strict_ok THEN 'processed_transactions' WHEN strict_tx THEN 'invalid_transactions' ELSE 'unrouted_messages' END AS topic,
+         CASE WHEN strict_ok THEN published ELSE text END AS value, strict_reason AS reason, part AS "partition", l_orderkey AS "offset"
+  FROM tx
   UNION ALL
-  SELECT CASE WHEN strict_ok THEN 'processed_confirmed_blocks' ELSE 'invalid_confirmed_blocks' END FROM blocks
-) GROUP BY topic
+  SELECT CASE WHEN strict_ok THEN 'processed_confirmed_blocks' ELSE 'invalid_confirmed_blocks' END,
+         CASE WHEN strict_ok THEN left(text, length(text) - 1) || ',"schema_valid":true}' ELSE text END,
+         CASE WHEN NOT strict_ok THEN 'malformed or mistyped JSON' END, 0, k
+  FROM blocks
+)
+"""
+FEED_TEXTS = FEED_ROWS + 'SELECT topic, md5(value) AS text_md5, reason, "partition", "offset" FROM feed'
+VALUE_SUM = "CAST(CASE WHEN n_out = 0 THEN 0 WHEN n_out = 1 THEN paid ELSE CAST(paid AS HUGEINT) + tax END AS DECIMAL(38,0))"
+ROLLUP = TX + f"""
+SELECT date_trunc('hour', l_shipdate) AS bucket, count(*) AS n, CAST(sum({VALUE_SUM}) AS DECIMAL(38,0)) AS value_sum, avg(size) AS size_avg
+FROM tx WHERE strict_ok AND q NOT IN (19, 20) GROUP BY 1
 """
 
 ORACLES: dict[str, str] = {
@@ -119,18 +138,18 @@ SELECT read_hash AS hash, tx_index, t AS time, CAST(size AS BIGINT) AS size, CAS
        CASE WHEN q = 6 THEN 4294967295 ELSE 1 END AS ver
 FROM tx WHERE strict_ok
 """,
-    "tx_dead_letter": TX + "SELECT l_orderkey AS \"offset\", strict_reason AS reason FROM tx WHERE NOT strict_ok",
+    "tx_dead_letter": TX + "SELECT part AS \"partition\", l_orderkey AS \"offset\", strict_reason AS reason FROM tx WHERE NOT strict_ok AND strict_tx",
     "tx_route_counts": BOTH + """
 SELECT mode, route, count(*) AS n FROM (
   SELECT 'compat' AS mode, CASE WHEN NOT marked THEN 'unrouted' WHEN q = 13 THEN 'both' ELSE 'tx' END AS route FROM tx
   UNION ALL SELECT 'compat', 'block' FROM blocks
-  UNION ALL SELECT 'strict', 'tx' FROM tx
+  UNION ALL SELECT 'strict', CASE WHEN strict_tx THEN 'tx' ELSE 'unrouted' END FROM tx
   UNION ALL SELECT 'strict', 'block' FROM blocks
 ) GROUP BY mode, route
 """,
     "tx_outputs": TX + """
 SELECT read_hash AS hash, 0 AS n, CASE WHEN q NOT IN (2, 11) THEN 's' || l_suppkey END AS addr,
-       CASE WHEN q <> 7 THEN cents END AS value
+       CASE WHEN q <> 7 THEN paid END AS value
 FROM tx WHERE marked AND NOT unreadable AND n_out >= 1
 UNION ALL
 SELECT read_hash, 1, 'tax', tax FROM tx WHERE marked AND NOT unreadable AND n_out = 2
@@ -139,16 +158,12 @@ SELECT read_hash, 1, 'tax', tax FROM tx WHERE marked AND NOT unreadable AND n_ou
 SELECT read_hash AS hash, 4294967295 AS sequence, 'p' || l_partkey AS addr, cents + 1 AS value
 FROM tx WHERE marked AND NOT unreadable
 """,
-    "tx_encode_roundtrip": TX + """
-SELECT read_hash AS hash, t AS time,
-       CASE WHEN n_out = 0 THEN 0 WHEN n_out = 1 THEN cents ELSE cents + tax END AS value_sum
-FROM tx WHERE strict_ok
-""",
+    "tx_encode_roundtrip": TX + f"SELECT read_hash AS hash, t AS time, {VALUE_SUM} AS value_sum FROM tx WHERE strict_ok",
     "tx_valid_passthrough": TX + """
 SELECT 'unconfirmed_transactions' AS topic, md5(text) AS text_md5 FROM tx WHERE contract_reason IS NULL
 """,
     "tx_invalid": TX + """
-SELECT l_orderkey AS "offset", contract_reason AS reason FROM tx WHERE contract_reason IS NOT NULL
+SELECT part AS "partition", l_orderkey AS "offset", contract_reason AS reason FROM tx WHERE contract_reason IS NOT NULL
 """,
     "tx_hash_default": TX + """
 SELECT CASE WHEN NOT unreadable THEN tx_index END AS tx_index,
@@ -156,7 +171,7 @@ SELECT CASE WHEN NOT unreadable THEN tx_index END AS tx_index,
 FROM tx WHERE marked
 """,
     "tx_utf8": TX + """
-SELECT l_orderkey AS "offset", CAST(strlen(text) AS INT) AS n_bytes, trim(text) = '' AS blank FROM tx
+SELECT part AS "partition", l_orderkey AS "offset", CAST(strlen(text) AS INT) AS n_bytes, trim(text) = '' AS blank FROM tx
 """,
     "block_parse_strict": BLOCK_PARSE_STRICT,
     "block_parse_compat": BLOCKS_ONLY + """
@@ -171,9 +186,8 @@ FROM blocks
     "block_dead_letter": BLOCKS_ONLY + """
 SELECT text AS value, 'malformed or mistyped JSON' AS reason FROM blocks WHERE NOT strict_ok
 """,
-    "block_dead_letter_compat": BOTH + """
-SELECT text AS value FROM tx WHERE trim(text) = '' AND contains(text, '"height"')
-UNION ALL SELECT text FROM blocks WHERE trim(text) = '' AND contains(text, '"height"')
+    "block_dead_letter_compat": TX + """
+SELECT text AS value, false AS routed FROM tx WHERE trim(text) = ''
 """,
     "block_extract_normalize": BLOCKS_ONLY + """
 SELECT 'b' || k AS hash, k AS height, t AS time, CAST(n AS BIGINT) AS n_tx FROM blocks WHERE d IS NULL
@@ -196,14 +210,8 @@ FROM blocks WHERE d IS NOT NULL
 SELECT k AS height, 'tx' || k || '-' || i AS tx_hash
 FROM (SELECT k, unnest(range(1, n + 1)) AS i FROM blocks WHERE strict_ok)
 """,
-    "feed_outputs": BOTH + """
-SELECT topic, reason, count(*) AS n FROM (
-  SELECT CASE WHEN strict_ok THEN 'processed_transactions' ELSE 'invalid_transactions' END AS topic, strict_reason AS reason FROM tx
-  UNION ALL
-  SELECT CASE WHEN strict_ok THEN 'processed_confirmed_blocks' ELSE 'invalid_confirmed_blocks' END,
-         CASE WHEN NOT strict_ok THEN 'malformed or mistyped JSON' END FROM blocks
-) GROUP BY topic, reason
-""",
+    "feed_outputs": FEED_ROWS + "SELECT topic, reason, count(*) AS n FROM feed GROUP BY topic, reason",
+    "feed_texts": FEED_TEXTS,
     "feed_outputs_compat": BOTH + """
 SELECT topic, CAST(NULL AS VARCHAR) AS reason, count(*) AS n FROM (
   SELECT 'processed_transactions' AS topic FROM tx WHERE marked
@@ -213,7 +221,7 @@ SELECT topic, CAST(NULL AS VARCHAR) AS reason, count(*) AS n FROM (
 """,
     "feed_block_values": BLOCKS_ONLY + """
 SELECT k AS height,
-       md5(replace(left(text, length(text) - 1), '"hash":12,', '"hash":"12",') || ',"schema_valid":true}') AS text_md5
+       md5(left(text, length(text) - 1) || ',"schema_valid":true}') AS text_md5
 FROM blocks WHERE strict_ok
 """,
     "events_json_props": """
@@ -224,8 +232,8 @@ FROM events
     "events_encode": "SELECT event_id, user_id, event_type, value FROM events",
     "events_valid_filter": "SELECT event_type, count(*) AS n FROM events WHERE json_valid(props) GROUP BY event_type",
     "stream_tx_available_now": TX_PARSE,
-    "stream_single_pass": FEED_TOPICS,
-    "stream_fan_out": FEED_TOPICS,
+    "stream_single_pass": FEED_TEXTS,
+    "stream_fan_out": FEED_TEXTS,
     "stream_restart": TX_PARSE,
     "landed_blocks": BLOCK_PARSE_STRICT,
     "log_parse": LOGS + """
@@ -246,12 +254,12 @@ FROM logs WHERE event_type NOT IN ('error', 'click')
 SELECT '{"timestamp":"' || stamp || '","thread":"' || thread || '","level":"' || level || '","logger":"' || logger ||
        '","message":"' || replace(message, '"', '\\"') || '"}' AS value
 FROM logs WHERE event_type IN ('error', 'click', 'purchase')
+UNION ALL
+SELECT '{"message":"at feed.View(' || event_id || ')","log":"at feed.View(' || event_id || ')"}' FROM logs WHERE level IS NULL
 """,
-    "tx_hourly_rollup": TX + """
-SELECT date_trunc('hour', l_shipdate) AS bucket, count(*) AS n,
-       CAST(sum(CASE WHEN n_out = 0 THEN 0 WHEN n_out = 1 THEN cents ELSE cents + tax END) AS BIGINT) AS value_sum,
-       avg(size) AS size_avg
-FROM tx WHERE strict_ok GROUP BY 1
+    "tx_hourly_rollup": ROLLUP,
+    "tx_rollup_rejects": TX + """
+SELECT CASE q WHEN 19 THEN 'time: missing' ELSE 'time: out of range' END AS reason, tx_index FROM tx WHERE strict_ok AND q IN (19, 20)
 """,
     "events_hourly_rollup": """
 SELECT date_trunc('hour', ts) AS bucket, event_type, count(*) AS n FROM events GROUP BY 1, 2

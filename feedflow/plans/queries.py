@@ -16,7 +16,6 @@ from feedflow.operators.validate import well_formed
 from feedflow.plans import feed
 from feedflow.plans.table_feed import (
     block_messages,
-    feed_table,
     feed_table_stream,
     log_lines,
     mixed_message_stream,
@@ -25,7 +24,7 @@ from feedflow.plans.table_feed import (
     table,
     transaction_messages,
 )
-from feedflow.schemas import TRANSACTION_STRICT_DDL
+from feedflow.schemas import BLOCK_DDL, TRANSACTION_STRICT_DDL
 from feedflow.settings import FeedSettings, configure, shared_dir
 from feedflow.sources.files import land, landed_stream, landed_table
 from feedflow.streaming.runs import finish, start_fan_out_files, start_single_pass_files
@@ -38,15 +37,15 @@ HEADER = ("x.hash", "x.tx_index", "x.time", "x.size", "x.vout_sz")
 
 
 def _tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transaction_messages(feed_table(spark, sf_dir, "lineitem"))
+    return transaction_messages(table(spark, sf_dir, "lineitem"))
 
 
 def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return block_messages(feed_table(spark, sf_dir, "orders"))
+    return block_messages(table(spark, sf_dir, "orders"))
 
 
 def _producer_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return producer_block_messages(feed_table(spark, sf_dir, "orders"))
+    return producer_block_messages(table(spark, sf_dir, "orders"))
 
 
 # --- Transactions -------------------------------------------------------------------------------
@@ -61,16 +60,16 @@ def tx_parse_strict(spark, sf_dir):
 
 
 def tx_dead_letter(spark, sf_dir):
-    return feed.transaction_dead_letters(_tx(spark, sf_dir)).select("offset", "reason")
+    return feed.transaction_dead_letters(_tx(spark, sf_dir)).select("partition", "offset", "reason")
 
 
 def tx_route_counts(spark, sf_dir):
+    """Routes in both modes, from one scan."""
     texts = decode(mixed_messages(spark, sf_dir))
-    both_modes = [
-        route(texts, mode).groupBy("route").agg(F.count("*").alias("n")).select(F.lit(mode).alias("mode"), "route", "n")
-        for mode in (COMPAT, STRICT)
-    ]
-    return both_modes[0].unionByName(both_modes[1])
+    for mode in (COMPAT, STRICT):
+        texts = route(texts, mode).withColumnRenamed("route", mode)
+    routes = F.array(*[F.struct(F.lit(mode).alias("mode"), F.col(mode).alias("route")) for mode in (COMPAT, STRICT)])
+    return texts.select(F.inline(routes)).groupBy("mode", "route").agg(F.count("*").alias("n"))
 
 
 def tx_outputs(spark, sf_dir):
@@ -85,8 +84,7 @@ def tx_inputs(spark, sf_dir):
 def tx_encode_roundtrip(spark, sf_dir):
     encoded = encode.to_message(feed.transactions(_tx(spark, sf_dir), STRICT)).withColumnRenamed("value", "json_data")
     decoded = parse(encoded, TRANSACTION_STRICT_DDL, STRICT).filter("schema_valid")
-    total = F.aggregate("parsed.x.out", F.lit(0).cast("bigint"), lambda acc, coin: acc + coin["value"])
-    return decoded.select("parsed.x.hash", "parsed.x.time", total.alias("value_sum"))
+    return decoded.select("parsed.x.hash", "parsed.x.time", shape.output_sum("parsed.x.out").alias("value_sum"))
 
 
 def tx_valid_passthrough(spark, sf_dir):
@@ -95,7 +93,7 @@ def tx_valid_passthrough(spark, sf_dir):
 
 
 def tx_invalid(spark, sf_dir):
-    return feed.transaction_rejects(_tx(spark, sf_dir)).select("offset", "reason")
+    return feed.transaction_rejects(_tx(spark, sf_dir)).select("partition", "offset", "reason")
 
 
 def tx_hash_default(spark, sf_dir):
@@ -105,10 +103,10 @@ def tx_hash_default(spark, sf_dir):
 
 def tx_utf8(spark, sf_dir):
     """Payload text to bytes and back."""
-    texts = decode(_tx(spark, sf_dir), keep=("offset",))
-    wire = texts.select("offset", encode.utf8("json_data").alias("value"))
-    return decode(wire, keep=("offset",)).select(
-        "offset", F.octet_length("json_data").alias("n_bytes"), is_blank(F.col("json_data")).alias("blank")
+    place = ("partition", "offset")
+    wire = decode(_tx(spark, sf_dir), keep=place).select(*place, encode.utf8("json_data").alias("value"))
+    return decode(wire, keep=place).select(
+        *place, F.octet_length("json_data").alias("n_bytes"), is_blank(F.col("json_data")).alias("blank")
     )
 
 
@@ -128,8 +126,11 @@ def block_dead_letter(spark, sf_dir):
 
 
 def block_dead_letter_compat(spark, sf_dir):
-    """Blocks and transactions alike: the lenient parse fails for no text that can reach it."""
-    return feed.block_dead_letters(mixed_messages(spark, sf_dir), COMPAT)
+    """The lenient parse fails for blank text only. Routing by marker keeps that away from it, so a direct parse shows it."""
+    messages = mixed_messages(spark, sf_dir)
+    routed = feed.block_dead_letters(messages, COMPAT).withColumn("routed", F.lit(True))
+    direct = feed.dead_letters(parse(decode(messages), BLOCK_DDL, COMPAT)).withColumn("routed", F.lit(False))
+    return routed.unionByName(direct)
 
 
 def block_extract_normalize(spark, sf_dir):
@@ -165,6 +166,15 @@ def feed_outputs(spark, sf_dir):
     return outputs.groupBy("topic", "reason").agg(F.count("*").alias("n"))
 
 
+def _texts(outputs: DataFrame) -> DataFrame:
+    return outputs.select("topic", F.md5(F.col("value").cast("binary")).alias("text_md5"), "reason", "partition", "offset")
+
+
+def feed_texts(spark, sf_dir):
+    """Every output of the strict feed: the text published or refused, the reason, and the message it comes from."""
+    return _texts(feed.classify(mixed_messages(spark, sf_dir), STRICT))
+
+
 def feed_outputs_compat(spark, sf_dir):
     outputs = feed.classify(mixed_messages(spark, sf_dir), COMPAT)
     return outputs.groupBy("topic", "reason").agg(F.count("*").alias("n"))
@@ -220,20 +230,20 @@ def stream_single_pass(spark, sf_dir):
     """Every output of the feed from one streaming query with one scan."""
     out = shared_dir(spark, "stream-single-pass")
     finish(start_single_pass_files(mixed_message_stream(spark, sf_dir), f"{out}/data", f"{out}/checkpoint", once=True))
-    return spark.read.parquet(f"{out}/data").groupBy("topic").agg(F.count("*").alias("n"))
+    return _texts(spark.read.parquet(f"{out}/data"))
 
 
 def stream_fan_out(spark, sf_dir):
     """The same outputs through a callback with one sink per topic."""
     out = shared_dir(spark, "stream-fan-out")
     finish(start_fan_out_files(mixed_message_stream(spark, sf_dir), f"{out}/data", f"{out}/checkpoint", once=True))
-    return spark.read.parquet(f"{out}/data").groupBy("topic").agg(F.count("*").alias("n"))
+    return _texts(spark.read.parquet(f"{out}/data"))
 
 
 def stream_restart(spark, sf_dir):
     """Stop after the first half of a landed feed, land the second half, go on from the checkpoint."""
     out = shared_dir(spark, "stream-restart")
-    lineitem = feed_table(spark, sf_dir, "lineitem")
+    lineitem = table(spark, sf_dir, "lineitem")
     first_half = F.col("l_linestatus").eqNullSafe("O")
     for half in (first_half, ~first_half):
         land(transaction_messages(lineitem.filter(half)), f"{out}/landed")
@@ -253,18 +263,18 @@ def landed_blocks(spark, sf_dir):
 
 
 def log_parse(spark, sf_dir):
-    records = logs.drop_debug(logs.parse_lines(log_lines(feed_table(spark, sf_dir, "events")), STRICT))
+    records = logs.drop_debug(logs.parse_lines(log_lines(table(spark, sf_dir, "events")), STRICT))
     return records.groupBy("level", "thread", "parsed").agg(F.count("*").alias("n"))
 
 
 def log_parse_compat(spark, sf_dir):
-    records = logs.drop_debug(logs.parse_lines(log_lines(feed_table(spark, sf_dir, "events")), COMPAT))
+    records = logs.drop_debug(logs.parse_lines(log_lines(table(spark, sf_dir, "events")), COMPAT))
     return records.select("timestamp", "thread", "level", "logger", "message", "log")
 
 
 def log_messages(spark, sf_dir):
-    records = logs.drop_debug(logs.parse_lines(log_lines(feed_table(spark, sf_dir, "events")), STRICT))
-    return logs.log_messages(records.filter("parsed"))
+    records = logs.drop_debug(logs.parse_lines(log_lines(table(spark, sf_dir, "events")), STRICT))
+    return logs.log_messages(records)
 
 
 # --- Rollups ------------------------------------------------------------------------------------
@@ -275,13 +285,19 @@ def tx_hourly_rollup(spark, sf_dir):
     return rolled.withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
 
 
+def tx_rollup_rejects(spark, sf_dir):
+    """Transactions that no bucket of the rollup holds."""
+    rejects = rollup.transaction_rollup_rejects(feed.transactions(_tx(spark, sf_dir), STRICT))
+    return rejects.select("x.tx_index", "reason")
+
+
 def events_hourly_rollup(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     return rollup.bucket_rollup(events, "ts", "1 hour", ("event_type",), n=F.count("*"))
 
 
 def log_level_rollup(spark, sf_dir):
-    records = logs.parse_lines(log_lines(feed_table(spark, sf_dir, "events")), STRICT)
+    records = logs.parse_lines(log_lines(table(spark, sf_dir, "events")), STRICT)
     return rollup.log_rollup(records).withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
 
 
@@ -300,11 +316,11 @@ QUERIES: dict[str, Query] = {
         tx_valid_passthrough, tx_invalid, tx_hash_default, tx_utf8,
         block_parse_strict, block_parse_compat, block_dead_letter, block_dead_letter_compat, block_extract_normalize,
         block_ingest_compat, block_ingest_text, block_invalid, block_tx_explode,
-        feed_outputs, feed_outputs_compat, feed_block_values,
+        feed_outputs, feed_texts, feed_outputs_compat, feed_block_values,
         events_json_props, events_encode, events_valid_filter,
         stream_tx_available_now, stream_single_pass, stream_fan_out, stream_restart, landed_blocks,
         log_parse, log_parse_compat, log_messages,
-        tx_hourly_rollup, events_hourly_rollup, log_level_rollup, events_by_date,
+        tx_hourly_rollup, tx_rollup_rejects, events_hourly_rollup, log_level_rollup, events_by_date,
     )
 }
 

@@ -1,8 +1,8 @@
 """Feed messages derived from the driver's tables.
 
 Each row of ``lineitem`` becomes one transaction message, each row of ``orders`` one block message and
-each row of ``events`` one log line. Every derivation is row-local: no join, no grouping, no shuffle, so
-neither a hot key nor the size of a table changes how the work spreads. A share of the messages is
+each row of ``events`` one log line. Every derivation is row-local: no join, no grouping, no shuffle, and
+tables are read as they lie. A share of the messages is
 malformed on purpose. Which one depends on the row's own attributes, so plain SQL over the same table can
 state the expected outcome.
 """
@@ -36,7 +36,19 @@ TRANSACTION_DEFECTS = {
     16: "array_root",
     17: "duplicate_key",
     18: "no_hash",
+    19: "no_time",
+    20: "far_time",
+    21: "huge_value",
+    22: "more_fields",
+    23: "second_record",
+    24: "not_a_number",
+    25: "object_relay",
+    26: "boolean_hash",
+    30: "topicless",
+    32: "topicless_no_op",
+    33: "topicless_spaced",
 }
+LARGEST = 9223372036854775807
 
 # o_orderpriority -> what is unusual about the block message of an order with status P.
 BLOCK_DEFECTS = {
@@ -61,33 +73,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tasks_missing(df: DataFrame) -> int:
-    """How many tasks to spread a bounded scan over when its files give fewer than there are cores; 0 when not.
-
-    A file is split at its row groups, so a small table may come as a single task while JSON work per row is
-    expensive. A table worth a cluster has more splits than cores and is read as it lies, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return cores if df.rdd.getNumPartitions() < cores else 0
-
-
-def feed_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table to derive messages from, on at least as many tasks as there are cores."""
-    rows = table(spark, sf_dir, name)
-    tasks = tasks_missing(rows)
-    return rows.repartition(tasks) if tasks else rows
-
-
 def feed_table_stream(spark: SparkSession, sf_dir: str, name: str, **options: object) -> DataFrame:
-    """The same table as a file stream.
+    """A table as a file stream.
 
     The last letter stands in brackets to make the path a pattern: a pattern may name a single file as well
     as a directory of part files, while a plain path must be a directory.
     """
-    bounded = table(spark, sf_dir, name)
-    rows = spark.readStream.schema(bounded.schema).options(**options).parquet(f"{sf_dir}/{name}.parque[t]")
-    tasks = tasks_missing(bounded)
-    return rows.repartition(tasks) if tasks else rows
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).options(**options).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def _cases(key: Column, names: dict) -> Column:
@@ -123,12 +116,13 @@ def transaction_messages(lineitem: DataFrame, settings: FeedSettings = FeedSetti
     defect = F.col("defect")
     cents = _cents("l_extendedprice")
     tax = F.floor(cents * F.round(F.col("l_tax") * 100).cast("bigint") / 100).cast("bigint")
+    paid = F.when(defect == "huge_value", F.lit(LARGEST)).otherwise(cents)
     supplier = F.when(defect != "missing_addr", F.concat(F.lit("s"), "l_suppkey"))
     outputs = (
         F.when(defect == "no_outputs", F.array())
-        .when(F.col("l_tax") > 0, F.array(_coin(supplier, F.col("l_orderkey"), cents, 0),
+        .when(F.col("l_tax") > 0, F.array(_coin(supplier, F.col("l_orderkey"), paid, 0),
                                           _coin(F.lit("tax"), F.col("l_orderkey"), tax, 1)))
-        .otherwise(F.array(_coin(supplier, F.col("l_orderkey"), cents, 0)))
+        .otherwise(F.array(_coin(supplier, F.col("l_orderkey"), paid, 0)))
     )
     spend = F.struct(
         F.lit(4294967295).alias("sequence"),
@@ -136,13 +130,13 @@ def transaction_messages(lineitem: DataFrame, settings: FeedSettings = FeedSetti
         F.lit("").alias("script"),
     )
     transaction = F.struct(
-        F.when(defect == "wrong_op", "block").when(defect != "no_op", "utx").alias("op"),
+        F.when(defect == "wrong_op", "block").when(~defect.isin("no_op", "topicless_no_op"), "utx").alias("op"),
         F.struct(
             F.lit(0).alias("lock_time"),
             F.when(defect == "unsigned_ver", F.lit(4294967295)).otherwise(F.lit(1)).alias("ver"),
             (F.lit(100) + F.col("l_quantity").cast("int")).alias("size"),
             F.array(spend).alias("inputs"),
-            _epoch_seconds("l_shipdate").alias("time"),
+            F.when(defect == "far_time", F.lit(LARGEST)).when(defect != "no_time", _epoch_seconds("l_shipdate")).alias("time"),
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("tx_index"),
             F.lit(1).alias("vin_sz"),
             F.when(defect != "no_hash", F.col("hash")).alias("hash"),
@@ -154,13 +148,18 @@ def transaction_messages(lineitem: DataFrame, settings: FeedSettings = FeedSetti
     plain, marker = F.col("plain"), F.lit('"op":"utx"')
     text = (
         F.when(defect == "truncated", F.expr("substring(plain, 1, length(plain) - 7)"))
-        .when(defect == "spaced_marker", F.replace(plain, marker, F.lit('"op": "utx"')))
+        .when(defect.isin("spaced_marker", "topicless_spaced"), F.replace(plain, marker, F.lit('"op": "utx"')))
         .when(defect == "numeric_hash", F.replace(plain, F.concat(F.lit('"hash":"'), "hash", F.lit('"')), F.lit('"hash":12')))
         .when(defect == "fractional_value", F.replace(plain, F.concat(F.lit('"value":'), cents, F.lit(",")),
                                                       F.concat(F.lit('"value":'), cents, F.lit(".5,"))))
         .when(defect == "boolean_ver", F.replace(plain, F.lit('"ver":1,'), F.lit('"ver":true,')))
         .when(defect == "null_addr", F.replace(plain, F.concat(F.lit('"addr":"s'), "l_suppkey", F.lit('"')), F.lit('"addr":null')))
         .when(defect == "extra_property", F.replace(plain, marker, F.lit('"op":"utx","note":{"seen":1}')))
+        .when(defect == "not_a_number", F.replace(plain, marker, F.lit('"op":"utx","note":NaN')))
+        .when(defect == "object_relay", F.replace(plain, F.lit('"relayed_by":"0.0.0.0"'), F.lit('"relayed_by":{"a":1}')))
+        .when(defect == "boolean_hash", F.replace(plain, F.concat(F.lit('"hash":"'), "hash", F.lit('"')), F.lit('"hash":true')))
+        .when(defect == "more_fields", F.concat(plain, F.lit(',"zzz":1')))
+        .when(defect == "second_record", F.concat(plain, F.lit(',"record":{"op":"utx","x":{"hash":"other"}}')))
         .when(defect == "trailing_text", F.concat(plain, F.lit(" trailing")))
         .when(defect == "blank", F.lit("   "))
         .when(defect == "array_root", F.concat(F.lit("["), plain, F.lit("]")))
@@ -172,8 +171,9 @@ def transaction_messages(lineitem: DataFrame, settings: FeedSettings = FeedSetti
         .withColumn("hash", F.concat(F.lit("tx"), "l_orderkey", F.lit("-"), "l_linenumber"))
         .withColumn("outputs", outputs)
     )
-    return _envelope(rows.withColumn("plain", F.to_json(transaction)), text, settings.transaction_topic,
-                     F.col("l_orderkey"), F.col("l_shipdate"))
+    topic = F.when(~defect.startswith("topicless"), settings.transaction_topic)
+    return _envelope(rows.withColumn("plain", F.to_json(transaction)), text, topic,
+                     F.col("l_linenumber") - 1, F.col("l_orderkey"), F.col("l_shipdate"))
 
 
 def block_messages(orders: DataFrame, settings: FeedSettings = FeedSettings()) -> DataFrame:
@@ -207,8 +207,8 @@ def block_messages(orders: DataFrame, settings: FeedSettings = FeedSettings()) -
         .otherwise(plain)
     )
     rows = orders.withColumn("defect", _block_defect(BLOCK_DEFECTS))
-    return _envelope(rows.withColumn("plain", F.to_json(block)), text, settings.block_topic,
-                     F.col("o_orderkey"), F.col("o_orderdate"))
+    return _envelope(rows.withColumn("plain", F.to_json(block)), text, F.lit(settings.block_topic),
+                     F.lit(0), F.col("o_orderkey"), F.col("o_orderdate"))
 
 
 def producer_block_messages(orders: DataFrame, settings: FeedSettings = FeedSettings()) -> DataFrame:
@@ -231,13 +231,13 @@ def producer_block_messages(orders: DataFrame, settings: FeedSettings = FeedSett
     )
     rows = orders.withColumn("defect", _block_defect(PRODUCER_DEFECTS))
     return _envelope(rows.withColumn("plain", F.to_json(F.struct(block.alias("block")))), text,
-                     settings.block_topic, F.col("o_orderkey"), F.col("o_orderdate"))
+                     F.lit(settings.block_topic), F.lit(0), F.col("o_orderkey"), F.col("o_orderdate"))
 
 
 def mixed_messages(spark: SparkSession, sf_dir: str, settings: FeedSettings = FeedSettings()) -> DataFrame:
     """Transactions and blocks together, as one subscription to both topics sees them."""
-    transactions = transaction_messages(feed_table(spark, sf_dir, "lineitem"), settings)
-    return transactions.unionByName(block_messages(feed_table(spark, sf_dir, "orders"), settings))
+    transactions = transaction_messages(table(spark, sf_dir, "lineitem"), settings)
+    return transactions.unionByName(block_messages(table(spark, sf_dir, "orders"), settings))
 
 
 def mixed_message_stream(spark: SparkSession, sf_dir: str, settings: FeedSettings = FeedSettings(),
@@ -265,13 +265,14 @@ def _block_defect(names: dict) -> Column:
     return F.when(F.col("o_orderstatus") == "P", _cases(F.col("o_orderpriority"), names)).otherwise("none")
 
 
-def _envelope(rows: DataFrame, text: Column, topic: str, offset: Column, stamp: Column) -> DataFrame:
+def _envelope(rows: DataFrame, text: Column, topic: Column, partition: Column, offset: Column, stamp: Column) -> DataFrame:
+    """The Kafka envelope; partition and offset name a message of a topic."""
     # A filter on the text must not derive the message a second time.
     return compute_once(rows, value=utf8(text)).select(
         F.lit(None).cast("binary").alias("key"),
         "value",
-        F.lit(topic).alias("topic"),
-        F.lit(0).alias("partition"),
+        topic.alias("topic"),
+        partition.cast("int").alias("partition"),
         offset.cast("bigint").alias("offset"),
         stamp.cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),

@@ -64,7 +64,7 @@ def start_fan_out_files(
     ``path/<topic>``."""
 
     def of(topic: str):
-        return lambda prepared: prepared.filter(F.col("topic") == topic).select("value", "reason")
+        return lambda prepared: prepared.filter(F.col("topic") == topic).drop("topic")
 
     topics = [
         settings.processed_transaction_topic, settings.processed_block_topic, settings.invalid_block_topic,
