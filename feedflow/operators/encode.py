@@ -29,3 +29,12 @@ def utf8(text: Column | str) -> Column:
     """Text as UTF-8 bytes, the form a message value has on the wire. Spark keeps text as UTF-8, so this copies
     nothing, unlike ``encode``."""
     return (F.col(text) if isinstance(text, str) else text).cast("binary")
+
+
+def with_headers(messages: DataFrame, names: tuple = ("reason", "partition", "offset")) -> DataFrame:
+    """Columns that describe a message as its headers, the form a Kafka topic takes them in."""
+    present = [name for name in names if name in messages.columns]
+    if not present:
+        return messages
+    pairs = [F.when(F.col(name).isNotNull(), F.struct(F.lit(name).alias("key"), utf8(F.col(name).cast("string")).alias("value"))) for name in present]
+    return messages.withColumn("headers", F.array_compact(F.array(*pairs))).drop(*present)

@@ -131,6 +131,14 @@ SELECT date_trunc('hour', l_shipdate) AS bucket, count(*) AS n, CAST(sum({VALUE_
 FROM tx WHERE strict_ok AND q NOT IN (19, 20) GROUP BY 1
 """
 
+LOG_MESSAGES = LOGS + """
+SELECT '{"timestamp":"' || stamp || '","thread":"' || thread || '","level":"' || level || '","logger":"' || logger ||
+       '","message":"' || replace(message, '"', '\\"') || '"}' AS value
+FROM logs WHERE event_type IN ('error', 'click', 'purchase')
+UNION ALL
+SELECT '{"message":"at feed.View(' || event_id || ')","log":"at feed.View(' || event_id || ')"}' FROM logs WHERE level IS NULL
+"""
+
 ORACLES: dict[str, str] = {
     "tx_parse": TX_PARSE,
     "tx_parse_strict": TX + """
@@ -236,6 +244,23 @@ FROM events
     "stream_fan_out": FEED_TEXTS,
     "stream_restart": TX_PARSE,
     "landed_blocks": BLOCK_PARSE_STRICT,
+    "blocks_json_files": BLOCK_PARSE_STRICT,
+    "stream_publish_batches": FEED_ROWS + "SELECT topic, md5(value) AS text_md5 FROM feed WHERE starts_with(topic, 'processed')",
+    "stream_three_queries": FEED_ROWS + "SELECT topic, md5(value) AS text_md5, reason FROM feed WHERE topic <> 'unrouted_messages'",
+    "stream_ingest": BOTH + """
+SELECT CASE WHEN strict_ok THEN 'processed_transactions' ELSE 'invalid_transactions' END AS topic,
+       md5(CASE WHEN strict_ok THEN published ELSE text END) AS text_md5, strict_reason AS reason
+FROM tx WHERE contract_reason IS NULL
+UNION ALL
+SELECT 'processed_confirmed_blocks',
+       md5('{"hash":"b' || k || '","time":' || t || ',"n_tx":' || n || ',"height":' || k || ',"schema_valid":true}'), NULL
+FROM blocks WHERE d IS NULL
+""",
+    "stream_metrics": "SELECT count(*)::BIGINT AS input_rows, 0::BIGINT AS first_batch FROM lineitem",
+    "stream_tx_rollup": f"""
+SELECT * FROM ({ROLLUP}) WHERE bucket + INTERVAL 1 HOUR <= (SELECT max(l_shipdate) - INTERVAL 3 DAY FROM lineitem
+  WHERE l_quantity NOT IN (1, 4, 5, 7, 8, 10, 14, 15, 16, 19, 20, 22, 23, 24, 25, 26, 32))
+""",
     "log_parse": LOGS + """
 SELECT level, CASE WHEN level IS NOT NULL THEN thread END AS thread, level IS NOT NULL AS parsed, count(*) AS n
 FROM logs WHERE event_type <> 'signup' GROUP BY 1, 2, 3
@@ -250,13 +275,8 @@ SELECT NULL, NULL, NULL, NULL, NULL,
                        ELSE 'at feed.View(' || event_id || ')' END
 FROM logs WHERE event_type NOT IN ('error', 'click')
 """,
-    "log_messages": LOGS + """
-SELECT '{"timestamp":"' || stamp || '","thread":"' || thread || '","level":"' || level || '","logger":"' || logger ||
-       '","message":"' || replace(message, '"', '\\"') || '"}' AS value
-FROM logs WHERE event_type IN ('error', 'click', 'purchase')
-UNION ALL
-SELECT '{"message":"at feed.View(' || event_id || ')","log":"at feed.View(' || event_id || ')"}' FROM logs WHERE level IS NULL
-""",
+    "log_messages": LOG_MESSAGES,
+    "stream_logs": LOG_MESSAGES,
     "tx_hourly_rollup": ROLLUP,
     "tx_rollup_rejects": TX + """
 SELECT CASE q WHEN 19 THEN 'time: missing' ELSE 'time: out of range' END AS reason, tx_index FROM tx WHERE strict_ok AND q IN (19, 20)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,9 +27,18 @@ from feedflow.plans.table_feed import (
 )
 from feedflow.schemas import BLOCK_DDL, TRANSACTION_STRICT_DDL
 from feedflow.settings import FeedSettings, configure, shared_dir
-from feedflow.sources.files import land, landed_stream, landed_table
-from feedflow.streaming.runs import finish, start_fan_out_files, start_single_pass_files
-from feedflow.streaming.sinks import to_files
+from feedflow.sources.files import land, landed_stream, landed_table, log_files
+from feedflow.streaming.progress import ProgressLog
+from feedflow.streaming.runs import (
+    finish,
+    finish_all,
+    start_branches,
+    start_fan_out_files,
+    start_ingest,
+    start_logs,
+    start_single_pass_files,
+)
+from feedflow.streaming.sinks import block_batch_sink, to_batches, to_files, transaction_batch_sink, write_json
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -252,6 +262,88 @@ def stream_restart(spark, sf_dir):
     return spark.read.schema(parsed.schema).parquet(f"{out}/data")
 
 
+def _published(spark: SparkSession, settings: FeedSettings) -> DataFrame:
+    """What streams have published as files, every topic."""
+    return spark.read.format(settings.message_format).load(settings.message_path)
+
+
+def _file_settings(spark: SparkSession, name: str) -> FeedSettings:
+    out = shared_dir(spark, name)
+    return FeedSettings(checkpoint_base=f"{out}/checkpoints", message_format="parquet", message_path=f"{out}/messages")
+
+
+def stream_publish_batches(spark, sf_dir):
+    """Typed records published by the callbacks, one per kind."""
+    settings = _file_settings(spark, "publish")
+    messages = mixed_message_stream(spark, sf_dir)
+    finish_all({
+        "tx": to_batches(feed.transactions(messages), transaction_batch_sink(settings), settings.checkpoint("tx"), once=True),
+        "block": to_batches(feed.blocks(messages), block_batch_sink(settings), settings.checkpoint("block"), once=True),
+    })
+    return _published(spark, settings).select("topic", F.md5(F.col("value").cast("binary")).alias("text_md5"))
+
+
+def stream_three_queries(spark, sf_dir):
+    """The feed as one query per output, side by side, each with its own checkpoint; dead letters with their reason."""
+    settings = _file_settings(spark, "branches")
+    finish_all(start_branches(mixed_message_stream(spark, sf_dir), settings, STRICT, once=True))
+    topics = (settings.processed_transaction_topic, settings.processed_block_topic, settings.invalid_block_topic, settings.invalid_transaction_topic)
+    parts = [spark.read.parquet(settings.topic_path(topic)).withColumn("topic", F.lit(topic)) for topic in topics]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return rows.select("topic", F.md5(F.col("value").cast("binary")).alias("text_md5"), "reason")
+
+
+def stream_ingest(spark, sf_dir):
+    """Producers' messages to validated topics as streams, then through the feed."""
+    settings = _file_settings(spark, "ingest")
+    raw_transactions = transaction_messages(feed_table_stream(spark, sf_dir, "lineitem"))
+    raw_blocks = producer_block_messages(feed_table_stream(spark, sf_dir, "orders"))
+    finish_all(start_ingest(raw_transactions, raw_blocks, settings, once=True))
+    outputs = feed.classify(_published(spark, settings), STRICT)
+    return outputs.select("topic", F.md5(F.col("value").cast("binary")).alias("text_md5"), "reason")
+
+
+def stream_logs(spark, sf_dir):
+    """Log files as they are rotated in, parsed, without debug messages, to the log topic."""
+    settings = _file_settings(spark, "logs")
+    files = shared_dir(spark, "log-files")
+    log_lines(table(spark, sf_dir, "events")).write.text(files)
+    finish(start_logs(log_files(spark, files), settings, once=True))
+    return _published(spark, settings).select("value")
+
+
+def stream_metrics(spark, sf_dir):
+    """Rows read by a query, from the table of its micro-batches."""
+    out = shared_dir(spark, "metrics")
+    progress = ProgressLog(spark, f"{out}/metrics")
+    spark.streams.addListener(progress)
+    try:
+        parsed = feed.transactions(transaction_messages(feed_table_stream(spark, sf_dir, "lineitem")), COMPAT).select("x.hash")
+        query = finish(to_files(parsed, f"{out}/data", f"{out}/checkpoint", once=True))
+        progress.wait_for(str(query.id))
+    finally:
+        spark.streams.removeListener(progress)
+    own = progress.metrics().filter(F.col("query") == str(query.id))
+    return own.agg(F.sum("input_rows").alias("input_rows"), F.min("batch_id").alias("first_batch"))
+
+
+def stream_tx_rollup(spark, sf_dir):
+    """The hourly rollup of a stream: buckets that its watermark has closed."""
+    out = shared_dir(spark, "stream-rollup")
+    messages = transaction_messages(feed_table_stream(spark, sf_dir, "lineitem"))
+    rolled = rollup.transaction_rollup(feed.transactions(messages), late="3 days")
+    finish(to_files(rolled, f"{out}/data", f"{out}/checkpoint", once=True))
+    return spark.read.schema(rolled.schema).parquet(f"{out}/data").withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
+
+
+def blocks_json_files(spark, sf_dir):
+    """Typed blocks as JSON files, read back under their schema."""
+    out = shared_dir(spark, "json")
+    blocks = feed.blocks(_blocks(spark, sf_dir), STRICT)
+    write_json(blocks, out)
+    return spark.read.schema(blocks.schema).json(out).select("height", "n_tx", "time", "nonce", "schema_valid")
+
+
 def landed_blocks(spark, sf_dir):
     """Both feeds landed as raw messages, then one of them read back and parsed."""
     out = shared_dir(spark, "landed")
@@ -319,6 +411,7 @@ QUERIES: dict[str, Query] = {
         feed_outputs, feed_texts, feed_outputs_compat, feed_block_values,
         events_json_props, events_encode, events_valid_filter,
         stream_tx_available_now, stream_single_pass, stream_fan_out, stream_restart, landed_blocks,
+        stream_publish_batches, stream_three_queries, stream_ingest, stream_logs, stream_metrics, stream_tx_rollup, blocks_json_files,
         log_parse, log_parse_compat, log_messages,
         tx_hourly_rollup, tx_rollup_rejects, events_hourly_rollup, log_level_rollup, events_by_date,
     )

@@ -29,14 +29,26 @@ class FeedSettings:
     bootstrap_servers: str = field(
         default_factory=lambda: os.environ.get("KAFKA_BOOTSTRAP_SERVERS", "localhost:9092")
     )
-    checkpoint_base: str = "checkpoints"
+    # A folder that driver and executors share. There is no default: a relative one would be the driver's own disk.
+    checkpoint_base: str | None = None
+    # Where messages are published: Kafka topics, or files of another format in one directory per topic below the path.
+    message_format: str = "kafka"
+    message_path: str | None = None
     # Extra options for every Kafka reader and writer, for example TLS or SASL settings.
     kafka_options: dict = field(default_factory=dict)
 
     def checkpoint(self, query: str) -> str:
         """One checkpoint directory per query."""
+        if not self.checkpoint_base:
+            raise ValueError("checkpoint_base must name a folder that driver and executors share")
         return f"{self.checkpoint_base.rstrip('/')}/{query}"
 
+    def topic_path(self, topic: str | None) -> str:
+        """Where a topic's messages go if they go to files; without a topic, the directory of all."""
+        if not self.message_path:
+            raise ValueError("message_path must be set for messages that go to files")
+        return self.message_path if topic is None else f"{self.message_path.rstrip('/')}/topic={topic}"
+
 
 # Runtime settings the operators rely on.
 SESSION_CONF = {

@@ -59,7 +59,7 @@ def kafka_table(spark: SparkSession, settings: FeedSettings, topic: str, **offse
     return spark.read.format("kafka").options(**batch_options(settings, topic, **offsets)).load()
 
 
-def peek(spark: SparkSession, settings: FeedSettings, topic: str, n: int = 10) -> DataFrame:
-    """The text of ``n`` messages of a topic, from its start. To watch new messages only, send
+def topic_texts(spark: SparkSession, settings: FeedSettings, topic: str) -> DataFrame:
+    """The text of all messages a topic holds, to look at; the caller may limit it. To watch new messages, send
     ``kafka_stream(..., starting_offsets="latest")`` to ``feedflow.streaming.sinks.to_console``."""
-    return kafka_table(spark, settings, topic).selectExpr("CAST(value AS STRING) AS value").limit(n)
+    return kafka_table(spark, settings, topic).selectExpr("CAST(value AS STRING) AS value")

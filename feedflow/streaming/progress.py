@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import json
 import logging
-from collections import deque
+import threading
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
@@ -46,10 +47,17 @@ def undelivered(source: dict) -> int:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Logs every micro-batch and keeps the last ``keep`` of them as rows."""
+    """Logs every micro-batch and appends its numbers to a table at ``path``.
 
-    def __init__(self, keep: int = 1000) -> None:
-        self.rows: deque = deque(maxlen=keep)
+    Rows are written ``flush_rows`` at a time, when a query ends, and by ``flush``; none is dropped, and what is held in
+    memory is bounded by ``flush_rows``.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, flush_rows: int = 100) -> None:
+        self.spark, self.path, self.flush_rows = spark, path, flush_rows
+        self.rows: list[tuple] = []
+        self.lock = threading.Lock()
+        self.ended: set[str] = set()
 
     def onQueryStarted(self, event) -> None:
         log.info("query %s started", event.name or event.id)
@@ -57,17 +65,38 @@ class ProgressLog(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         progress = json.loads(event.progress.json)
         row = metrics_row(progress)
-        self.rows.append(row)
+        with self.lock:
+            self.rows.append(row)
+            full = len(self.rows) >= self.flush_rows
         log.info("query %s batch %s: %s rows in %s ms", row[0], row[1], row[3], row[5])
         for source in progress.get("sources", []):
             if lost := undelivered(source):
                 log.warning("query %s batch %s: %s rows of %s were not delivered", row[0], row[1], lost, source.get("description"))
+        if full:
+            self.flush()
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
         log.info("query %s ended: %s", event.id, event.exception or "stopped")
-
-    def metrics(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self.rows), METRICS_DDL)
+        self.flush()
+        self.ended.add(str(event.id))
+
+    def wait_for(self, query: str, seconds: float = 60) -> None:
+        """Until the end of a query, by its id, has reached this listener: reports arrive after the query's own end."""
+        deadline = time.monotonic() + seconds
+        while query not in self.ended and time.monotonic() < deadline:
+            time.sleep(0.05)
+
+    def flush(self) -> None:
+        """Write the rows held so far."""
+        with self.lock:
+            if self.rows:
+                self.spark.createDataFrame(self.rows, METRICS_DDL).coalesce(1).write.mode("append").parquet(self.path)
+                self.rows = []
+
+    def metrics(self) -> DataFrame:
+        """All micro-batches seen, from the table."""
+        self.flush()
+        return self.spark.read.schema(METRICS_DDL).parquet(self.path)

@@ -8,7 +8,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from feedflow.operators.decode import STRICT
 from feedflow.operators.logs import drop_debug, log_messages, parse_lines
-from feedflow.plans.feed import block_dead_letters, blocks, classify, transaction_dead_letters, transactions
+from feedflow.plans.feed import (
+    block_dead_letters,
+    blocks,
+    classify,
+    ingest_blocks,
+    ingest_transactions,
+    transaction_dead_letters,
+    transactions,
+)
 from feedflow.settings import FeedSettings
 from feedflow.streaming.sinks import (
     block_batch_sink,
@@ -16,38 +24,50 @@ from feedflow.streaming.sinks import (
     fan_out,
     to_batches,
     to_files,
-    to_kafka,
+    to_topic,
     transaction_batch_sink,
 )
 
 
-def start_branches(messages: DataFrame, settings: FeedSettings, mode: str = STRICT) -> dict[str, StreamingQuery]:
-    """One query per output, each with its own scan of the source and its own checkpoint, to Kafka.
+def start_branches(messages: DataFrame, settings: FeedSettings, mode: str = STRICT, once: bool = False) -> dict[str, StreamingQuery]:
+    """One query per output, each with its own scan of the source and its own checkpoint, to the settings' topics.
 
-    Strict adds a dead-letter query for transactions.
+    Strict adds a dead-letter query for transactions; dead letters carry their reason and where they come from.
     """
     started = {
-        "invalid_confirmed": to_kafka(
-            block_dead_letters(messages, mode, settings).select("value"),
-            settings.checkpoint("invalid_confirmed"), settings.invalid_block_topic, settings,
+        "invalid_confirmed": to_topic(
+            block_dead_letters(messages, mode, settings).drop("topic"),
+            settings.checkpoint("invalid_confirmed"), settings.invalid_block_topic, settings, once,
         ),
         "unconfirmed": to_batches(
-            transactions(messages, mode, settings), transaction_batch_sink(settings), settings.checkpoint("unconfirmed")
+            transactions(messages, mode, settings), transaction_batch_sink(settings), settings.checkpoint("unconfirmed"), once
         ),
-        "confirmed": to_batches(blocks(messages, mode, settings), block_batch_sink(settings), settings.checkpoint("confirmed")),
+        "confirmed": to_batches(blocks(messages, mode, settings), block_batch_sink(settings), settings.checkpoint("confirmed"), once),
     }
     if mode == STRICT:
-        started["invalid_unconfirmed"] = to_kafka(
-            transaction_dead_letters(messages, settings).select("value"),
-            settings.checkpoint("invalid_unconfirmed"), settings.invalid_transaction_topic, settings,
+        started["invalid_unconfirmed"] = to_topic(
+            transaction_dead_letters(messages, settings).drop("topic"),
+            settings.checkpoint("invalid_unconfirmed"), settings.invalid_transaction_topic, settings, once,
         )
     return started
 
 
-def start_single_pass(messages: DataFrame, settings: FeedSettings, mode: str = STRICT) -> StreamingQuery:
+def start_single_pass(messages: DataFrame, settings: FeedSettings, mode: str = STRICT, once: bool = False) -> StreamingQuery:
     """All outputs from one query: one scan, one parse, the topic taken from each row. The one to prefer."""
-    outputs = classify(messages, mode, settings).select("topic", "value")
-    return to_kafka(outputs, settings.checkpoint("feed"), None, settings)
+    return to_topic(classify(messages, mode, settings), settings.checkpoint("feed"), None, settings, once)
+
+
+def start_ingest(raw_transactions: DataFrame, raw_blocks: DataFrame, settings: FeedSettings, once: bool = False) -> dict[str, StreamingQuery]:
+    """Producers' messages, checked against their contracts, to the topics that the feed reads."""
+    return {
+        "ingest_transactions": to_topic(
+            ingest_transactions(raw_transactions, settings).drop("topic"),
+            settings.checkpoint("ingest_transactions"), settings.transaction_topic, settings, once,
+        ),
+        "ingest_blocks": to_topic(
+            ingest_blocks(raw_blocks, settings).drop("topic"), settings.checkpoint("ingest_blocks"), settings.block_topic, settings, once
+        ),
+    }
 
 
 def start_single_pass_files(
@@ -74,9 +94,9 @@ def start_fan_out_files(
     return to_batches(messages, fan_out(lambda batch: classify(batch, mode, settings), branches), checkpoint, once)
 
 
-def start_logs(lines: DataFrame, settings: FeedSettings, mode: str = STRICT) -> StreamingQuery:
+def start_logs(lines: DataFrame, settings: FeedSettings, mode: str = STRICT, once: bool = False) -> StreamingQuery:
     """Log lines, parsed and without debug messages, as JSON to the log topic."""
-    return to_kafka(log_messages(drop_debug(parse_lines(lines, mode))), settings.checkpoint("logs"), settings.log_topic, settings)
+    return to_topic(log_messages(drop_debug(parse_lines(lines, mode))), settings.checkpoint("logs"), settings.log_topic, settings, once)
 
 
 def await_any(queries: dict[str, StreamingQuery] | list[StreamingQuery], check_seconds: int = 5) -> None:
@@ -101,3 +121,9 @@ def finish(query: StreamingQuery) -> StreamingQuery:
     """Wait for a query that was started with ``once``."""
     query.awaitTermination()
     return query
+
+
+def finish_all(queries: dict[str, StreamingQuery]) -> None:
+    """Wait for queries that run side by side and were started with ``once``."""
+    for query in queries.values():
+        finish(query)

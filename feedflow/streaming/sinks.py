@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from feedflow.operators.encode import to_message
+from feedflow.operators.encode import to_message, with_headers
 from feedflow.settings import FeedSettings
 
 log = logging.getLogger(__name__)
@@ -26,40 +26,53 @@ def kafka_sink_options(settings: FeedSettings, topic: str | None) -> dict:
 # --- Per micro-batch ----------------------------------------------------------------------------
 
 
-def kafka_batch_sink(topic: str, settings: FeedSettings = FeedSettings(), skip_empty: bool = True) -> BatchSink:
-    """Callback that publishes each row of a micro-batch as JSON. Delivery is at least once: a replayed batch is
-    published again."""
+def topic_batch_sink(topic: str, settings: FeedSettings = FeedSettings(), skip_empty: bool = True) -> BatchSink:
+    """Callback that publishes each row of a micro-batch as JSON: to a Kafka topic, or to files in the settings' format.
+
+    Kafka delivery is at least once, a replayed batch is published again; files hold each batch once.
+    """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         if skip_empty and batch.isEmpty():
             log.info("batch %s for %s is empty", batch_id, topic)
             return
         log.info("batch %s goes to %s", batch_id, topic)
-        to_message(batch).write.format("kafka").options(**kafka_sink_options(settings, topic)).save()
+        messages = to_message(batch)
+        if settings.message_format == "kafka":
+            messages.write.format("kafka").options(**kafka_sink_options(settings, topic)).save()
+        else:
+            file_batch_sink(settings.topic_path(topic), settings.message_format)(messages, batch_id)
 
     return publish
 
 
 def transaction_batch_sink(settings: FeedSettings = FeedSettings()) -> BatchSink:
-    return kafka_batch_sink(settings.processed_transaction_topic, settings)
+    return topic_batch_sink(settings.processed_transaction_topic, settings)
 
 
 def block_batch_sink(settings: FeedSettings = FeedSettings()) -> BatchSink:
-    return kafka_batch_sink(settings.processed_block_topic, settings)
+    return topic_batch_sink(settings.processed_block_topic, settings)
+
+
+def query_id(batch: DataFrame) -> str:
+    """The id of the streaming query a micro-batch belongs to. It lies in the query's checkpoint, so a restart keeps it and a
+    new checkpoint has another one."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
 
 
 def file_batch_sink(path: str, fmt: str = "parquet", skip_empty: bool = False) -> BatchSink:
-    """Callback that writes each micro-batch to its own ``batch_id=<n>`` directory.
+    """Callback that writes each micro-batch to its own ``run=<query id>/batch_id=<n>`` directory.
 
-    A replayed batch overwrites its directory, so the table holds every batch once. An empty write is harmless,
-    so nothing is scanned to find out beforehand.
+    A replay of the same query overwrites its directory, so the table holds every batch once; a query with a new
+    checkpoint counts its batches from 0 again, but in a directory of its own. An empty write is harmless, so nothing is
+    scanned to find out beforehand.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if skip_empty and batch.isEmpty():
             log.info("batch %s for %s is empty", batch_id, path)
             return
-        batch.write.format(fmt).mode("overwrite").save(f"{path}/batch_id={batch_id}")
+        batch.write.format(fmt).mode("overwrite").save(f"{path}/run={query_id(batch)}/batch_id={batch_id}")
 
     return write
 
@@ -68,8 +81,8 @@ def fan_out(prepare: Callable[[DataFrame], DataFrame], branches: dict[str, tuple
     """Callback that feeds several sinks from one evaluation of ``prepare``.
 
     Each branch is a selection over the prepared batch and the sink it goes to. The prepared batch is kept for
-    the length of the micro-batch, in memory and beyond it on disk; a lost executor's part is worked out again from
-    the source. A failure replays all branches, so their sinks should be idempotent.
+    the length of the micro-batch, in memory and beyond it on disk, so give the source a rate; a lost executor's part is
+    worked out again from the source. A failure replays all branches, so their sinks should be idempotent.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -93,9 +106,17 @@ def _append(df: DataFrame, checkpoint: str, once: bool) -> DataStreamWriter:
     return writer.trigger(availableNow=True) if once else writer
 
 
-def to_kafka(df: DataFrame, checkpoint: str, topic: str | None = None, settings: FeedSettings = FeedSettings(), once: bool = False) -> StreamingQuery:
-    """Stream of messages (``value``, perhaps ``key`` and ``topic``) to Kafka."""
-    return _append(df, checkpoint, once).format("kafka").options(**kafka_sink_options(settings, topic)).start()
+def to_topic(df: DataFrame, checkpoint: str, topic: str | None = None, settings: FeedSettings = FeedSettings(), once: bool = False) -> StreamingQuery:
+    """Stream of messages (``value``, perhaps ``key``, ``topic`` and what describes them) to Kafka, or to files.
+
+    In Kafka, ``reason``, ``partition`` and ``offset`` become headers; the value stays the text. Without a topic, the rows' own
+    ``topic`` column decides.
+    """
+    if settings.message_format == "kafka":
+        messages = with_headers(df)
+        return _append(messages, checkpoint, once).format("kafka").options(**kafka_sink_options(settings, topic)).start()
+    by = ("topic",) if topic is None else ()
+    return to_files(df, settings.topic_path(topic), checkpoint, settings.message_format, by, once)
 
 
 def to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", partition_by: tuple = (), once: bool = False) -> StreamingQuery:
@@ -110,6 +131,7 @@ def to_batches(df: DataFrame, sink: BatchSink, checkpoint: str, once: bool = Fal
 
 
 def to_console(df: DataFrame, checkpoint: str, rows: int = 20, once: bool = False) -> StreamingQuery:
+    """The first ``rows`` of every micro-batch on the driver's console: a display aid, no output to work with."""
     return _append(df, checkpoint, once).format("console").option("numRows", rows).option("truncate", False).start()
 
 

@@ -4,10 +4,11 @@ import json
 
 import pytest
 
+from feedflow.operators.rollup import transaction_rollup, transaction_rollup_rejects
 from feedflow.operators.shape import block_transactions, hash_or_na, transaction_inputs, transaction_outputs
 from feedflow.plans import feed
 from feedflow.sources.literal import literal, messages
-from tests.examples import BLOCK, COIN, TRANSACTION, transaction
+from tests.examples import BLOCK, COIN, TRANSACTION, transaction, without
 
 TRUNCATED = '{"hash":"a","height":5'
 MIXED = [
@@ -17,7 +18,7 @@ MIXED = [
     '{"op":"utx","x":{"hash":"height"}}',
     '{"op":"utx","x":{"hash":"h"},"height":1}',
     '{"op": "utx","x":{"hash":"spaced"}}',
-    '{"txid": "abc123", "amount": 0.5, "currency": "BTC"}',
+    '{"kind": "quote", "price": 17.25, "pair": "A/B"}',
 ]
 
 
@@ -28,25 +29,25 @@ def mixed(spark):
 
 def test_compat_transactions(mixed):
     rows = feed.transactions(mixed, "compat").collect()
-    assert sorted(row.x.hash for row in rows) == ["abcd", "h", "height"]
+    assert sorted(row.x.hash for row in rows) == ["h", "height", "t-77"]
     assert rows[0].asDict(recursive=True).keys() == {"op", "x"}
 
 
 def test_compat_blocks_let_malformed_text_through(mixed):
     rows = feed.blocks(mixed, "compat").collect()
-    assert sorted(str(row.height) for row in rows) == ["1", "99999", "None", "None"]
+    assert sorted(str(row.height) for row in rows) == ["1", "811000", "None", "None"]
     assert all(row.schema_valid for row in rows)
     assert feed.block_dead_letters(mixed, "compat").isEmpty()
 
 
 def test_strict_diverts_malformed_text(mixed):
-    assert [row.height for row in feed.blocks(mixed, "strict").collect()] == [99999]
+    assert [row.height for row in feed.blocks(mixed, "strict").collect()] == [811000]
     dead = feed.block_dead_letters(mixed, "strict").collect()
     assert [(row.value, row.reason) for row in dead] == [(TRUNCATED, "malformed or mistyped JSON")]
 
 
 def test_strict_transactions(mixed):
-    assert sorted(row.x.hash for row in feed.transactions(mixed).collect()) == ["abcd", "h", "height", "spaced"]
+    assert sorted(row.x.hash for row in feed.transactions(mixed).collect()) == ["h", "height", "spaced", "t-77"]
 
 
 def test_strict_keeps_unsigned_numbers(spark):
@@ -96,12 +97,33 @@ def test_one_pass_accounts_for_every_message(spark):
 def test_unnesting(spark):
     transactions = feed.transactions(messages(spark, [transaction(hash="h"), transaction(hash="e", inputs=[], out=[])]))
     outputs = transaction_outputs(transactions)
-    assert [(row.hash, row.n, row.addr, row.value) for row in outputs.orderBy("n").collect()] == [("h", 0, "a", 5), ("h", 1, "a", 5)]
+    assert [(row.hash, row.n, row.addr, row.value) for row in outputs.orderBy("n").collect()] == [("h", 0, "addr-7", 5), ("h", 1, "addr-7", 5)]
     assert [(row.hash, row.sequence, row.value) for row in transaction_inputs(transactions).collect()] == [("h", 1, 5)]
     blocks = feed.blocks(messages(spark, [json.dumps(BLOCK)]))
-    assert sorted(block_transactions(blocks).collect()) == [(99999, "tx1"), (99999, "tx2")]
+    assert sorted(block_transactions(blocks).collect()) == [(811000, "t-77"), (811000, "t-78"), (811000, "t-79")]
 
 
 def test_hash_default(spark):
     rows = literal(spark, [(("a",),), (("",),), ((None,),), (None,)], "x struct<hash: string>")
     assert [row[0] for row in rows.select(hash_or_na()).collect()] == ["a", "N/A", "N/A", "N/A"]
+
+
+@pytest.mark.parametrize("tail", [',"zzz":1', ',"seal":5', ',"_corrupt_record":"x"', ',"record":{"op":"utx","x":{"hash":"evil"},"height":7}', " x"])
+def test_text_that_goes_on_is_a_dead_letter(spark, tail):
+    for record, topic, target in ((TRANSACTION, "unconfirmed_transactions", "invalid_transactions"), (BLOCK, "confirmed_blocks", "invalid_confirmed_blocks")):
+        text = json.dumps(record) + tail
+        raw = messages(spark, [text], topic)
+        assert [tuple(r)[:3] for r in feed.classify(raw).collect()] == [(target, text, "malformed or mistyped JSON")]
+        assert feed.transactions(raw).isEmpty() and feed.blocks(raw).isEmpty()
+
+
+def test_rollup_survives_any_message(spark):
+    most = 9223372036854775807
+    texts = [
+        transaction(hash="a", out=[dict(COIN, value=most), dict(COIN, value=1)]), transaction(hash="b", out=[dict(COIN, value=most)]),
+        transaction(hash="c", time=most), transaction(hash="d", time=-most), without(transaction(hash="e"), "x", "time"),
+    ]
+    transactions = feed.transactions(messages(spark, texts, "unconfirmed_transactions"))
+    assert [(r.n, int(r.value_sum)) for r in transaction_rollup(transactions).collect()] == [(2, 2 * most + 1)]
+    rejects = {r.x.hash: r.reason for r in transaction_rollup_rejects(transactions).collect()}
+    assert rejects == {"c": "time: out of range", "d": "time: out of range", "e": "time: missing"}

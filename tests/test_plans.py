@@ -2,12 +2,13 @@
 
 import pytest
 
+import __spark_entry__ as contract
 from feedflow.operators.decode import decode
 from feedflow.operators.logs import parse_lines
 from feedflow.operators.rollup import store_by_date
 from feedflow.operators.validate import check_transactions
 from feedflow.plans import feed
-from feedflow.plans.table_feed import tasks_missing, transaction_messages
+from feedflow.plans.table_feed import mixed_message_stream, transaction_messages
 from feedflow.sources.files import land, landed_table
 from feedflow.sources.literal import messages
 
@@ -72,9 +73,22 @@ def test_messages_are_derived_without_a_shuffle(spark, sf_dir):
     assert "Exchange" not in plan and plan.count("StructsToJson") == 1
 
 
-def test_only_small_tables_are_spread(spark):
-    assert tasks_missing(spark.range(0, 10, 1, 1)) == spark.sparkContext.defaultParallelism
-    assert tasks_missing(spark.range(0, 10, 1, 64)) == 0
+PASSES = ("tx_parse", "tx_parse_strict", "tx_dead_letter", "tx_outputs", "tx_invalid", "tx_valid_passthrough", "block_parse_strict",
+          "block_invalid", "feed_texts", "events_json_props", "log_messages", "tx_rollup_rejects")
+
+
+@pytest.mark.parametrize("name", PASSES)
+def test_registered_feed_queries_do_not_shuffle(spark, sf_dir, name):
+    assert "Exchange" not in physical(contract.queries()[name](spark, sf_dir))
+
+
+def test_route_counts_scan_each_table_once(spark, sf_dir):
+    assert physical(contract.queries()["tx_route_counts"](spark, sf_dir)).count("FileScan") == 2
+
+
+def test_streams_are_not_dealt_again(spark, sf_dir):
+    stream = feed.classify(mixed_message_stream(spark, sf_dir))
+    assert "Repartition" not in stream._jdf.queryExecution().analyzed().toString()
 
 
 def test_store_by_date(spark, tmp_path):

@@ -10,7 +10,7 @@ CASES = {
     '{"op":"utx","x":{"hash":"h"},"height":1}': ("both", "tx"),
     '{"op": "utx","x":{"hash":"spaced"}}': ("unrouted", "tx"),
     '{"hash":"tx-1","tx_index":1,"time":2,"inputs":[],"outputs":[]}': ("unrouted", "unrouted"),
-    '{"txid": "abc123", "amount": 0.5, "currency": "BTC"}': ("unrouted", "unrouted"),
+    '{"kind": "quote", "price": 17.25, "pair": "A/B"}': ("unrouted", "unrouted"),
     "": ("unrouted", "unrouted"),
 }
 

@@ -4,7 +4,7 @@ from unittest.mock import patch
 
 import pytest
 
-from feedflow.operators.encode import to_message, utf8, variant_text
+from feedflow.operators.encode import to_message, utf8, variant_text, with_headers
 from feedflow.settings import FeedSettings, shared_dir
 from feedflow.sources import kafka
 from feedflow.sources.files import land, landed_stream, landed_table, text_table
@@ -16,19 +16,41 @@ from tests.examples import BLOCK, TRANSACTION
 SETTINGS = FeedSettings(bootstrap_servers="broker:9092", checkpoint_base="/shared/checkpoints/", kafka_options={"kafka.security.protocol": "SSL"})
 
 
-@patch("pyspark.sql.DataFrameWriter.save")
 @pytest.mark.parametrize(
-    "record, ddl, sink",
-    [(TRANSACTION, TRANSACTION_DDL, sinks.transaction_batch_sink), (BLOCK, BLOCK_DDL, sinks.block_batch_sink)],
+    "record, ddl, sink, topic",
+    [(TRANSACTION, TRANSACTION_DDL, sinks.transaction_batch_sink, "processed_transactions"),
+     (BLOCK, BLOCK_DDL, sinks.block_batch_sink, "processed_confirmed_blocks")],
 )
-def test_batch_sinks_publish_once_and_skip_empty_batches(save, spark, record, ddl, sink):
-    df = literal(spark, [record], ddl)
-    sink(SETTINGS)(df, 0)
-    save.assert_called_once()
-    sink(SETTINGS)(df.limit(0), 1)
+def test_batch_sinks_publish_what_they_get_and_skip_empty_batches(spark, tmp_path, record, ddl, sink, topic):
+    settings = FeedSettings(message_format="parquet", message_path=str(tmp_path / "m"))
+    df = literal(spark, [record, record], ddl)
+    sink(settings)(df, 0)
+    sink(settings)(df.limit(0), 1)
+    rows = spark.read.parquet(str(tmp_path / "m")).collect()
+    assert [(json.loads(row.value), row.topic, row.batch_id) for row in rows] == [(record, topic, 0)] * 2
+    sinks.topic_batch_sink("t", settings, skip_empty=False)(df.limit(0), 2)
+    assert (tmp_path / "m" / "topic=t" / "run=none" / "batch_id=2").exists()
+
+
+@patch("pyspark.sql.DataFrameWriter.save")
+def test_batch_sinks_write_to_kafka_by_default(save, spark):
+    sinks.transaction_batch_sink(SETTINGS)(literal(spark, [TRANSACTION], TRANSACTION_DDL), 0)
     save.assert_called_once()
-    sinks.kafka_batch_sink("t", SETTINGS, skip_empty=False)(df.limit(0), 2)
-    assert save.call_count == 2
+
+
+def test_headers(spark):
+    df = literal(spark, [("v", "bad", 3, 9), ("w", None, None, None)], "value string, reason string, partition int, offset bigint")
+    rows = with_headers(df).collect()
+    assert rows[0].asDict(recursive=True) == {"value": "v", "headers": [
+        {"key": "reason", "value": bytearray(b"bad")}, {"key": "partition", "value": bytearray(b"3")}, {"key": "offset", "value": bytearray(b"9")}]}
+    assert rows[1].headers == [] and with_headers(df.select("value")).columns == ["value"]
+
+
+def test_settings_name_shared_places():
+    with pytest.raises(ValueError, match="checkpoint_base"):
+        FeedSettings().checkpoint("x")
+    with pytest.raises(ValueError, match="message_path"):
+        FeedSettings().topic_path("x")
 
 
 @pytest.mark.parametrize("record, ddl", [(TRANSACTION, TRANSACTION_DDL), (BLOCK, BLOCK_DDL)])
@@ -73,9 +95,9 @@ def test_kafka_options():
 
 
 @patch("pyspark.sql.DataFrameReader.load")
-def test_peek_reads_a_topic_from_its_start(load, spark):
-    load.return_value = messages(spark, ["a", "b", "c"])
-    assert [row.value for row in kafka.peek(spark, SETTINGS, "t", 2).collect()] == ["a", "b"]
+def test_topic_texts_are_whole(load, spark):
+    load.return_value = messages(spark, ["a", "b", "c"] * 20)
+    assert len(kafka.topic_texts(spark, SETTINGS, "t").collect()) == 60
 
 
 def test_replayed_batch_is_written_once(spark, tmp_path):
@@ -125,5 +147,5 @@ def test_shared_dir():
 
 
 def test_smoke_table_shows(spark, capsys):
-    literal(spark, [("Hello, PySpark!",)], "message string").show()
-    assert "Hello, PySpark!" in capsys.readouterr().out
+    literal(spark, [("one row, shown",)], "message string").show()
+    assert "one row, shown" in capsys.readouterr().out

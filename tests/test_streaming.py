@@ -1,12 +1,12 @@
 import json
-import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from feedflow.operators.rollup import transaction_rollup
+from feedflow.operators.shape import event_time
 from feedflow.plans import feed
-from feedflow.plans.table_feed import feed_table, mixed_messages, transaction_messages
+from feedflow.plans.table_feed import mixed_messages, table, transaction_messages
 from feedflow.settings import FeedSettings
 from feedflow.sources.files import land, landed_stream, landed_table, log_files
 from feedflow.sources.literal import messages
@@ -29,16 +29,16 @@ def test_stream_equals_batch(spark, landed_path, tmp_path, mode):
             landed_stream(spark, landed_path, max_files_per_trigger=3), f"{tmp_path}/d", f"{tmp_path}/c", mode, once=True
         )
     )
-    streamed = spark.read.parquet(f"{tmp_path}/d").select("topic", "value", "reason")
     batch = feed.classify(landed_table(spark, landed_path), mode)
+    streamed = spark.read.parquet(f"{tmp_path}/d").select(batch.columns)
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
 
 
 def test_fan_out_equals_single_pass(spark, landed_path, tmp_path):
     runs.finish(runs.start_fan_out_files(landed_stream(spark, landed_path), f"{tmp_path}/d", f"{tmp_path}/c", once=True))
-    streamed = spark.read.parquet(f"{tmp_path}/d").select("topic", "value", "reason")
     batch = feed.classify(landed_table(spark, landed_path))
+    streamed = spark.read.parquet(f"{tmp_path}/d").select(batch.columns)
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
 
 
@@ -60,19 +60,31 @@ def test_callback_sink_runs_per_batch(spark, landed_path, tmp_path):
     assert written.select("batch_id").distinct().count() > 1
 
 
-def test_progress_rows(spark, landed_path, tmp_path):
-    listener = ProgressLog()
+def test_progress_rows_are_all_kept(spark, landed_path, tmp_path):
+    listener = ProgressLog(spark, f"{tmp_path}/m", flush_rows=2)
     spark.streams.addListener(listener)
     try:
-        runs.finish(sinks.to_files(landed_stream(spark, landed_path), f"{tmp_path}/d", f"{tmp_path}/c", once=True))
-        deadline = time.time() + 30
-        while not listener.rows and time.time() < deadline:
-            time.sleep(0.2)
+        stream = landed_stream(spark, landed_path, max_files_per_trigger=1)
+        query = runs.finish(sinks.to_files(stream, f"{tmp_path}/d", f"{tmp_path}/c", once=True))
+        listener.wait_for(str(query.id))
     finally:
         spark.streams.removeListener(listener)
-    metrics = listener.metrics(spark)
+    metrics = listener.metrics()
     assert metrics.columns == [part.split()[0] for part in METRICS_DDL.split(", ")]
     assert metrics.agg(F.sum("input_rows")).first()[0] == landed_table(spark, landed_path).count()
+    assert metrics.select("batch_id").distinct().count() == metrics.count() > 2
+
+
+def test_new_checkpoint_keeps_what_was_published(spark, landed_path, tmp_path):
+    def publish(checkpoint):
+        blocks = feed.blocks(landed_stream(spark, landed_path))
+        runs.finish(sinks.to_batches(blocks, sinks.file_batch_sink(f"{tmp_path}/d"), checkpoint, once=True))
+        return spark.read.parquet(f"{tmp_path}/d").count()
+
+    once = publish(f"{tmp_path}/c1")
+    assert publish(f"{tmp_path}/c1") == once
+    assert publish(f"{tmp_path}/c2") == 2 * once
+    assert spark.read.parquet(f"{tmp_path}/d").filter("run = 'none'").isEmpty()
 
 
 def test_undelivered_rows():
@@ -84,7 +96,7 @@ def test_undelivered_rows():
 
 def test_branches_have_own_topics_and_checkpoints(spark, landed_path, monkeypatch):
     started = []
-    monkeypatch.setattr(runs, "to_kafka", lambda df, checkpoint, topic=None, settings=None, once=False: started.append((df.columns, checkpoint, topic)))
+    monkeypatch.setattr(runs, "to_topic", lambda df, checkpoint, topic=None, settings=None, once=False: started.append((df.columns, checkpoint, topic)))
     monkeypatch.setattr(runs, "to_batches", lambda df, sink, checkpoint, once=False: started.append((df.columns[:2], checkpoint, None)))
     settings = FeedSettings(checkpoint_base="/c")
     stream = landed_stream(spark, landed_path)
@@ -96,10 +108,10 @@ def test_branches_have_own_topics_and_checkpoints(spark, landed_path, monkeypatc
     ]
     started.clear()
     runs.start_branches(stream, settings, "strict")
-    assert started[-1] == (["value"], "/c/invalid_unconfirmed", "invalid_transactions")
+    assert started[-1] == (["value", "partition", "offset", "reason"], "/c/invalid_unconfirmed", "invalid_transactions")
     started.clear()
     runs.start_single_pass(stream, settings)
-    assert started == [(["topic", "value"], "/c/feed", None)]
+    assert started == [(["topic", "value", "reason", "partition", "offset"], "/c/feed", None)]
     started.clear()
     runs.start_logs(log_files(spark, landed_path), settings)
     assert started == [(["value"], "/c/logs", "spark-logs")]
@@ -122,11 +134,11 @@ def test_console(spark, landed_path, tmp_path):
 
 
 def test_rollup_of_a_stream_gives_final_buckets(spark, sf_dir, tmp_path):
-    land(transaction_messages(feed_table(spark, sf_dir, "lineitem")), f"{tmp_path}/l")
+    land(transaction_messages(table(spark, sf_dir, "lineitem")), f"{tmp_path}/l")
     rolled = transaction_rollup(feed.transactions(landed_stream(spark, f"{tmp_path}/l")), late="3 days")
     runs.finish(sinks.to_files(rolled, f"{tmp_path}/d", f"{tmp_path}/c", once=True))
     transactions = feed.transactions(landed_table(spark, f"{tmp_path}/l"))
-    last = transactions.agg(F.timestamp_seconds(F.max("x.time"))).first()[0]
+    last = transactions.agg(F.max(event_time("x.time"))).first()[0]
     final = F.col("bucket") + F.expr("INTERVAL 1 HOUR") <= F.lit(last) - F.expr("INTERVAL 3 DAYS")
     expected = transaction_rollup(transactions).filter(final)
     streamed = spark.read.schema(rolled.schema).parquet(f"{tmp_path}/d")
