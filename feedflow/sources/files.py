@@ -14,7 +14,7 @@ def landed_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
 
 
 def landed_stream(
-    spark: SparkSession, path: str, fmt: str = "parquet", max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None
+    spark: SparkSession, path: str, fmt: str = "parquet", max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None
 ) -> DataFrame:
     """The same directory as a stream: files already there first, then new ones, each once per checkpoint."""
     reader = spark.readStream.schema(ENVELOPE_DDL).format(fmt)
