@@ -13,7 +13,7 @@ from operator import and_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedflow.functions.json_text import is_kind
+from feedflow.functions.json_text import is_kind, leaf_is
 
 # --- Fixed values: fields and types the producers require. --------------------------------------
 
@@ -70,15 +70,42 @@ def conforms(doc: Column, contract: Contract, path: str = "$") -> Column:
     return is_kind(doc, path, contract)
 
 
-def violations(doc: Column, contract: Contract) -> Column:
+def shape_type(contract: Contract) -> str:
+    """Type to cast a document to once, so that its leaves need no path of their own."""
+    if isinstance(contract, dict):
+        return "struct<" + ", ".join(f"{name}: {shape_type(part)}" for name, part in contract.items()) + ">"
+    return "array<variant>" if isinstance(contract, list) else "variant"
+
+
+def shape(doc: Column, contract: Contract) -> Column:
+    """The document's required fields; what is missing or of another structure is NULL."""
+    return F.try_variant_get(doc, "$", shape_type(contract))
+
+
+def fits(shaped: Column, contract: Contract) -> Column:
+    """Whether a document keeps the contract, told from its ``shape``. Never NULL."""
+    if isinstance(contract, dict):
+        return reduce(and_, [fits(shaped[name], part) for name, part in contract.items()])
+    if isinstance(contract, list):
+        usual = usual_shape(contract[0])
+        each = F.forall(shaped, lambda item: (F.schema_of_variant(item) == usual) | conforms(item, contract[0]))
+        return F.coalesce(each, F.lit(False))
+    if isinstance(contract, tuple):
+        named = F.try_variant_get(shaped, "$", "string").isin(*contract)
+        return leaf_is(shaped, "string") & F.coalesce(named, F.lit(False))
+    return leaf_is(shaped, contract)
+
+
+def violations(doc: Column, contract: Contract, fitting: Column | None = None) -> Column:
     """Array of reasons why ``doc`` breaks the contract; empty when it keeps it, one reason when it is NULL.
 
-    Reasons are only worked out for documents that fail the plain test. Elements of an array share their reasons.
+    ``fitting`` is the plain test if it has been made. Reasons are only worked out for documents that fail it. Elements of
+    an array share their reasons.
     """
     listed = F.array_distinct(F.array_compact(_reasons(doc, contract, "$", "")))
     return (
         F.when(doc.isNull(), F.array(F.lit("malformed JSON")))
-        .when(conforms(doc, contract), F.array().cast("array<string>"))
+        .when(conforms(doc, contract) if fitting is None else fitting, F.array().cast("array<string>"))
         .otherwise(listed)
     )
 

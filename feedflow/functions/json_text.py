@@ -134,6 +134,17 @@ def is_kind(doc: Column, path: str, kind: str) -> Column:
     return F.coalesce(test, F.lit(False))
 
 
+def leaf_is(value: Column, kind: str) -> Column:
+    """The same test for a VARIANT that is no object and no array; its type is looked up once."""
+    found = F.schema_of_variant(value)
+    if kind in ("string", "boolean"):
+        return F.coalesce(found == kind.upper(), F.lit(False))
+    fractional = found.startswith("DECIMAL") | (found == "DOUBLE")
+    if kind == "integer":
+        fractional = fractional & (F.try_variant_get(value, "$", "double") % 1 == 0)
+    return F.coalesce((found == "BIGINT") | fractional, F.lit(False))
+
+
 def row_to_json(columns: list, ignore_nulls: bool = True) -> Column:
     """Columns packed into one JSON object. NULL fields are left out unless ``ignore_nulls`` is false."""
     return F.to_json(F.struct(*columns), {"ignoreNullFields": str(ignore_nulls).lower()})

@@ -5,18 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedflow.functions.contract import BLOCK_CONTRACT, TRANSACTION_CONTRACT, Contract, violations
+from feedflow.functions.contract import BLOCK_CONTRACT, TRANSACTION_CONTRACT, Contract, fits, shape, violations
 from feedflow.functions.json_text import is_kind
 from feedflow.functions.once import compute_once
 from feedflow.operators.decode import parse_variant
 
 
+def judge(documents: DataFrame, contract: Contract, column: str = "doc") -> DataFrame:
+    """Append ``fitting``: whether the VARIANT in ``column`` keeps the contract. The fields are taken out of it once."""
+    shaped = compute_once(documents, _shape=shape(F.col(column), contract))
+    return compute_once(shaped, fitting=fits(F.col("_shape"), contract)).drop("_shape")
+
+
 def check(documents: DataFrame, contract: Contract, column: str = "doc") -> DataFrame:
     """Append ``errors`` (array of reasons) and ``valid`` for the VARIANT in ``column``."""
-    checked = compute_once(documents, errors=violations(F.col(column), contract))
+    judged = judge(documents, contract, column)
+    checked = compute_once(judged, errors=violations(F.col(column), contract, F.col("fitting"))).drop("fitting")
     return checked.withColumn("valid", F.size("errors") == 0)
 
 
+def conforming_transactions(texts: DataFrame) -> DataFrame:
+    """The ``json_data`` that keeps the transaction contract; no reasons are worked out for the rest."""
+    return judge(parse_variant(texts), TRANSACTION_CONTRACT).filter("fitting").drop("fitting", "doc")
+
+
 def check_transactions(texts: DataFrame) -> DataFrame:
     """``json_data`` against the transaction contract."""
     return check(parse_variant(texts), TRANSACTION_CONTRACT)

@@ -11,7 +11,7 @@ from feedflow.operators.decode import STRICT, check_mode, decode, parse, refusal
 from feedflow.operators.encode import utf8, variant_text
 from feedflow.operators.route import is_block, is_transaction, with_topic
 from feedflow.operators.shape import BLOCK_FIELDS, flatten, normalized_block
-from feedflow.operators.validate import accepted, check_blocks, check_transactions, rejected
+from feedflow.operators.validate import accepted, check_blocks, check_transactions, conforming_transactions, rejected
 from feedflow.schemas import BLOCK_DDL, BLOCK_STRICT_DDL, TRANSACTION_DDL, TRANSACTION_STRICT_DDL
 from feedflow.settings import FeedSettings
 
@@ -20,7 +20,7 @@ from feedflow.settings import FeedSettings
 
 def ingest_transactions(messages: DataFrame, settings: FeedSettings = FeedSettings()) -> DataFrame:
     """Messages that keep the transaction contract, with their original text."""
-    valid = accepted(check_transactions(decode(messages)))
+    valid = conforming_transactions(decode(messages))
     return valid.select(F.lit(settings.transaction_topic).alias("topic"), utf8("json_data").alias("value"))
 
 
@@ -49,11 +49,20 @@ def _height_refusal(record: Column) -> Column:
     return F.when(record["height"].isNull(), "height: missing")
 
 
-def transaction_attempts(messages: DataFrame, mode: str = STRICT, settings: FeedSettings = FeedSettings()) -> DataFrame:
-    """Every message routed as a transaction, parsed, with its validity."""
+def transaction_attempts(
+    messages: DataFrame, mode: str = STRICT, settings: FeedSettings = FeedSettings(), fields: str | None = None
+) -> DataFrame:
+    """Every message routed as a transaction, parsed, with its validity.
+
+    ``fields`` is DDL of the fields that are wanted, for compat: a parse of those alone gives the same values and is cheaper.
+    Strict judges whole records, so it reads them whole.
+    """
     strict = check_mode(mode)
+    if strict and fields:
+        raise ValueError("strict parsing judges whole records; fields are for compat")
     texts = with_topic(decode(messages)).filter(is_transaction(mode, settings))
-    return parse(texts, TRANSACTION_STRICT_DDL if strict else TRANSACTION_DDL, mode, _op_refusal(F.col("parsed")) if strict else None)
+    ddl = TRANSACTION_STRICT_DDL if strict else fields or TRANSACTION_DDL
+    return parse(texts, ddl, mode, _op_refusal(F.col("parsed")) if strict else None)
 
 
 def block_attempts(messages: DataFrame, mode: str = STRICT, settings: FeedSettings = FeedSettings()) -> DataFrame:
@@ -63,9 +72,11 @@ def block_attempts(messages: DataFrame, mode: str = STRICT, settings: FeedSettin
     return parse(texts, BLOCK_STRICT_DDL if strict else BLOCK_DDL, mode, _height_refusal(F.col("parsed")) if strict else None)
 
 
-def transactions(messages: DataFrame, mode: str = STRICT, settings: FeedSettings = FeedSettings()) -> DataFrame:
-    """Typed transactions: ``op``, ``x``."""
-    return flatten(transaction_attempts(messages, mode, settings).filter("schema_valid"), "parsed")
+def transactions(
+    messages: DataFrame, mode: str = STRICT, settings: FeedSettings = FeedSettings(), fields: str | None = None
+) -> DataFrame:
+    """Typed transactions: ``op``, ``x``, or the ``fields`` asked for (compat)."""
+    return flatten(transaction_attempts(messages, mode, settings, fields).filter("schema_valid"), "parsed")
 
 
 def blocks(messages: DataFrame, mode: str = STRICT, settings: FeedSettings = FeedSettings()) -> DataFrame:

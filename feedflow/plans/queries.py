@@ -44,6 +44,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Fields of a transaction that most queries report.
 HEADER = ("x.hash", "x.tx_index", "x.time", "x.size", "x.vout_sz")
+# What compat queries read of a transaction.
+HEADER_DDL = "x struct<hash: string, tx_index: bigint, time: bigint, size: int, vout_sz: int>"
+COIN_DDL = "struct<spent: boolean, tx_index: bigint, type: int, addr: string, value: bigint, n: int, script: string>"
+OUTPUTS_DDL = f"x struct<hash: string, out: array<{COIN_DDL}>>"
+INPUTS_DDL = f"x struct<hash: string, inputs: array<struct<sequence: bigint, prev_out: {COIN_DDL}>>>"
 
 
 def _tx(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +67,7 @@ def _producer_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tx_parse(spark, sf_dir):
-    return feed.transactions(_tx(spark, sf_dir), COMPAT).select(*HEADER)
+    return feed.transactions(_tx(spark, sf_dir), COMPAT, fields=HEADER_DDL).select(*HEADER)
 
 
 def tx_parse_strict(spark, sf_dir):
@@ -83,11 +88,11 @@ def tx_route_counts(spark, sf_dir):
 
 
 def tx_outputs(spark, sf_dir):
-    return shape.transaction_outputs(feed.transactions(_tx(spark, sf_dir), COMPAT)).select("hash", "n", "addr", "value")
+    return shape.transaction_outputs(feed.transactions(_tx(spark, sf_dir), COMPAT, fields=OUTPUTS_DDL)).select("hash", "n", "addr", "value")
 
 
 def tx_inputs(spark, sf_dir):
-    inputs = shape.transaction_inputs(feed.transactions(_tx(spark, sf_dir), COMPAT))
+    inputs = shape.transaction_inputs(feed.transactions(_tx(spark, sf_dir), COMPAT, fields=INPUTS_DDL))
     return inputs.select("hash", "sequence", "addr", "value")
 
 
@@ -107,7 +112,7 @@ def tx_invalid(spark, sf_dir):
 
 
 def tx_hash_default(spark, sf_dir):
-    transactions = feed.transactions(_tx(spark, sf_dir), COMPAT)
+    transactions = feed.transactions(_tx(spark, sf_dir), COMPAT, fields=HEADER_DDL)
     return transactions.select("x.tx_index", shape.hash_or_na("x.hash").alias("hash_or_na"))
 
 
@@ -231,7 +236,7 @@ def stream_tx_available_now(spark, sf_dir):
     """The table as a file stream, through the feed, into Parquet files."""
     out = shared_dir(spark, "stream-tx")
     messages = transaction_messages(feed_table_stream(spark, sf_dir, "lineitem"))
-    parsed = feed.transactions(messages, COMPAT).select(*HEADER)
+    parsed = feed.transactions(messages, COMPAT, fields=HEADER_DDL).select(*HEADER)
     finish(to_files(parsed, f"{out}/data", f"{out}/checkpoint", once=True))
     return spark.read.schema(parsed.schema).parquet(f"{out}/data")
 
@@ -257,7 +262,7 @@ def stream_restart(spark, sf_dir):
     first_half = F.col("l_linestatus").eqNullSafe("O")
     for half in (first_half, ~first_half):
         land(transaction_messages(lineitem.filter(half)), f"{out}/landed")
-        parsed = feed.transactions(landed_stream(spark, f"{out}/landed"), COMPAT).select(*HEADER)
+        parsed = feed.transactions(landed_stream(spark, f"{out}/landed"), COMPAT, fields=HEADER_DDL).select(*HEADER)
         finish(to_files(parsed, f"{out}/data", f"{out}/checkpoint", once=True))
     return spark.read.schema(parsed.schema).parquet(f"{out}/data")
 

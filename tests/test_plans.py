@@ -82,6 +82,18 @@ def test_registered_feed_queries_do_not_shuffle(spark, sf_dir, name):
     assert "Exchange" not in physical(contract.queries()[name](spark, sf_dir))
 
 
+@pytest.mark.parametrize("name", ["tx_parse", "tx_outputs", "tx_hash_default"])
+def test_compat_queries_parse_what_they_report(spark, sf_dir, name):
+    plan = physical(contract.queries()[name](spark, sf_dir))
+    shape = plan[plan.index("from_json(StructField(x"):].split("StringType")[0]
+    assert "relayed_by" not in shape and "lock_time" not in shape
+
+
+def test_strict_reads_whole_records(landed):
+    with pytest.raises(ValueError, match="compat"):
+        feed.transactions(landed, "strict", fields="op string")
+
+
 def test_route_counts_scan_each_table_once(spark, sf_dir):
     assert physical(contract.queries()["tx_route_counts"](spark, sf_dir)).count("FileScan") == 2
 

@@ -3,7 +3,7 @@ import json
 import pytest
 
 from feedflow.operators.decode import decode
-from feedflow.operators.validate import accepted, check_blocks, check_transactions, rejected, well_formed
+from feedflow.operators.validate import accepted, check_blocks, check_transactions, conforming_transactions, rejected, well_formed
 from feedflow.plans import feed
 from feedflow.sources.literal import literal, messages
 from tests.examples import COIN, TRANSACTION, transaction, without
@@ -72,6 +72,11 @@ def test_reasons(spark, cases, check):
     assert {row.json_data for row in accepted(checked).collect()} == {text for text, reason in cases.items() if reason is None}
 
 
+def test_conforming_is_the_check_without_reasons(spark):
+    texts = decode(messages(spark, list(TRANSACTIONS)))
+    assert {row.json_data for row in conforming_transactions(texts).collect()} == {text for text, reason in TRANSACTIONS.items() if reason is None}
+
+
 def test_transactions_pass_on_their_original_text(spark):
     spaced = json.dumps(TRANSACTION, indent=1)
     out = feed.ingest_transactions(messages(spark, [spaced, "{}"])).collect()
