@@ -212,6 +212,11 @@ def hyperplane(x: np.ndarray, y: np.ndarray, cost: float = 1.0, rounds: int = 30
     return theta
 
 
+def kernels(texts: list[str], table: np.ndarray, part: int = 1000) -> np.ndarray:
+    """Kernels of words with all landmarks, some words at a time: a row of them takes a kilobyte for every letter."""
+    return np.vstack([kernel(as_words(texts[at : at + part]), table)[0] for at in range(0, len(texts), part)])
+
+
 def fitted(toxic: list[str], clean: list[str]) -> Machine:
     """Fit on words of both classes; landmarks are spread over both."""
     landmarks = sorted(set(toxic[: LANDMARKS // 2]) | set(clean[: LANDMARKS // 2]))
@@ -220,8 +225,7 @@ def fitted(toxic: list[str], clean: list[str]) -> Machine:
     gram = gram[: len(landmarks)] if len(gram) == len(landmarks) else table.T @ table
     values, vectors = np.linalg.eigh((gram + gram.T) / 2 + 1e-6 * np.eye(len(landmarks)))
     whiten = vectors / np.sqrt(np.maximum(values, 1e-3))
-    positive, _ = kernel(as_words(toxic), table)
-    negative, _ = kernel(as_words(clean), table)
+    positive, negative = kernels(toxic, table), kernels(clean, table)
     x = np.vstack([positive, negative]).astype(np.float64) @ whiten
     theta = hyperplane(x, np.repeat([1.0, -1.0], [len(positive), len(negative)]))
     return Machine((table @ (whiten @ theta[:-1])).astype(np.float32), float(theta[-1]))
