@@ -178,14 +178,18 @@ def candidates(sets: DataFrame) -> DataFrame:
     return sharing.filter("lead <> key").select("lead", "key").distinct()
 
 
+def broadcast_if_small(table: DataFrame) -> DataFrame:
+    """A written table of ids, marked for broadcast if it is counted small."""
+    return F.broadcast(table) if table.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else table
+
+
 def members(docs: DataFrame, sets: DataFrame, clusters: DataFrame, rule: Rule) -> DataFrame:
     """``cluster, key, n, shingles`` of the sets in clusters, computed again from one document of each."""
     spark = docs.sparkSession
     firsts = sets.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"))
     wanted = written(spark, firsts.join(clusters, F.col("key") == F.col("node")).select("first", "key", F.col("root").alias("cluster")), "members")
-    if wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    texts = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"]).join(wanted, F.col("doc_id") == F.col("first"))
+    texts = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"])
+    texts = texts.join(broadcast_if_small(wanted), F.col("doc_id") == F.col("first"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(rule.words)
@@ -287,24 +291,30 @@ def blocks_of(total, count):
     return F.greatest(F.ceil(total / BLOCK_SHINGLES), F.ceil(count / BLOCK_SETS)).cast("int")
 
 
-def hub_links(sets: DataFrame, rule: Rule) -> DataFrame:
+def several_blocks(sets: DataFrame) -> DataFrame:
+    """``of, parts``: the clusters that take more than one block."""
+    sizes = sets.groupBy("cluster").agg(blocks_of(F.sum("n"), F.count("*")).alias("parts")).filter("parts > 1")
+    return written(sets.sparkSession, sizes.withColumnRenamed("cluster", "of"), "large-clusters")
+
+
+def hub_links(sets: DataFrame, large: DataFrame, rule: Rule) -> DataFrame:
     """Links of every block of a cluster with its first block. Clusters of one block are done with this."""
-    sizes = sets.groupBy("cluster").agg(blocks_of(F.sum("n"), F.count("*")).alias("parts")).withColumnRenamed("cluster", "of")
-    dealt = sets.join(sizes, F.col("cluster") == F.col("of")).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    dealt = sets.join(broadcast_if_small(large), F.col("cluster") == F.col("of"), "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
     meets = F.when(F.col("part") == 0, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("part"))
     rows = dealt.withColumn("other", F.explode(meets))
     return compared(rows.select(F.struct("cluster", "other").alias("pair"), "key", "n", "shingles",
                                 F.when((F.col("part") > 0), 1).otherwise(0).alias("side")), rule)
 
 
-def open_links(sets: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
+def open_links(sets: DataFrame, large: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
     """Links among the blocks of clusters of several blocks that still hold different components.
 
     Components that fill blocks of their own are not compared with themselves; the smaller ones of a cluster share blocks.
     """
     spark = sets.sparkSession
-    large = sets.groupBy("cluster").agg(blocks_of(F.sum("n"), F.count("*")).alias("parts")).filter("parts > 1").select(F.col("cluster").alias("of"))
-    own = sets.join(large, F.col("cluster") == F.col("of")).drop("of").join(found, F.col("key") == F.col("node"), "left")
+    own = sets.join(broadcast_if_small(large.select("of")), F.col("cluster") == F.col("of"), "left_semi")
+    own = own.join(found, F.col("key") == F.col("node"), "left")
     own = own.withColumn("component", F.coalesce("root", "key"))
     counted = own.groupBy("cluster", "component").agg(F.sum("n").alias("total"), F.count("*").alias("sets"))
     counted = counted.withColumn("big", F.col("sets") * 2 > BLOCK_SETS)
@@ -339,8 +349,9 @@ def join(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
         raise ValueError("two different shingle sets have the same 64-bit key")
     clusters = components(candidates(sets))
     held = written(spark, members(docs, sets, clusters, rule), "shingles")
-    found = components(hub_links(held, rule))
-    links = written(spark, found.unionByName(open_links(held, found, rule)), "links")
+    large = several_blocks(held)
+    found = components(hub_links(held, large, rule))
+    links = written(spark, found.unionByName(open_links(held, large, found, rule)), "links")
     linked = components(links)
     # Sets with one document and no link need no look-up: their component is the document itself.
     firsts = sets.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
@@ -357,9 +368,7 @@ def one_of_each(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
     spark = docs.sparkSession
     found = written(spark, join(docs, rule), "components")
     gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("__copy_id")).distinct()
-    if gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        gone = F.broadcast(gone)
-    kept = docs.join(gone, column(docs, "doc_id") == F.col("__copy_id"), "left_anti")
+    kept = docs.join(broadcast_if_small(gone), column(docs, "doc_id") == F.col("__copy_id"), "left_anti")
     # Rows that repeat an id are copies as well; only then is a shuffle of the texts needed.
     if found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
         return kept
