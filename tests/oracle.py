@@ -61,7 +61,7 @@ if __name__ == "__main__":
     spark.sparkContext.setLogLevel("ERROR")
     connection = database(sf_dir)
     bad = 0
-    for name in sys.argv[2:] or contract.queries():
+    for name in sys.argv[2:] or contract.oracle_sql():
         started = time.time()
         try:
             problem = difference(spark, connection, name, sf_dir)
