@@ -10,7 +10,8 @@ strings with the costs under all languages side by side, and a block of texts is
 the longest table is priced by its escape and the next shorter one, which is the same sum as walking the tree.
 
 Defined results: ``und`` with score 0 if a text is null or has no letter, or if there is nothing to learn from; ties go to
-the language first in order of names; repeated rows are rows of their own; an empty table gives an empty result;
+the language first in order of names; repeated rows are rows of their own; rows without an id are not learned from and
+not held out; an empty table gives an empty result;
 extra columns are ignored.
 """
 
@@ -225,4 +226,4 @@ def report(docs: DataFrame) -> DataFrame:
     prepared(docs.sparkSession)
     trees = learn(docs.filter(fold(FOLDS) != HELD_OUT))
     found = identify(docs, trees).select(F.col("row.doc_id").cast("bigint").alias("doc_id"), "lang_pred", "score")
-    return found.select("doc_id", (fold(FOLDS) == HELD_OUT).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", F.coalesce(fold(FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"), "lang_pred", "score")

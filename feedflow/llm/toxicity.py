@@ -13,7 +13,7 @@ over landmarks, hence one weight per triple, and a whole text is scored by look-
 word, turned into a probability by a logistic curve fitted on the sample.
 
 Defined results: null and empty texts score as a text without words; if a class has no labelled text, every score is 0;
-repeated rows are rows of their own; null labels are not used; labels of unknown documents are ignored; an empty table gives an
+repeated rows are rows of their own; rows without an id are not learned from and not held out; null labels are not used; labels of unknown documents are ignored; an empty table gives an
 empty result; extra columns are ignored.
 """
 
@@ -360,7 +360,7 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     prepared(docs.sparkSession)
     machine = learn(sampled(docs, labels))
     found = applied(docs, machine, ["doc_id"]).select(F.col("row.doc_id").cast("bigint").alias("doc_id"), F.col("value").alias("score"))
-    return found.select("doc_id", (fold(FOLDS) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return found.select("doc_id", F.coalesce(fold(FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -55,14 +55,14 @@ def test_tables_price_what_the_trees_say():
 
 def test_predictions_and_edge_cases(spark, documents):
     rows = [(i, (ENGLISH + GERMAN)[i % 4] + f" {i}", "en" if i % 4 < 2 else "de") for i in range(80)]
-    rows += [(100, None, "en"), (101, "", "de"), (102, "123 ?!", "en"), (103, "der Hund " * 30_000, None), (104, "the house", None), (104, "the house", None)]
+    rows += [(100, None, "en"), (101, "", "de"), (102, "123 ?!", "en"), (103, "der Hund " * 30_000, None), (104, "the house", None), (104, "the house", None), (None, "der Hund", "de")]
     found = language.report(documents(rows)).collect()
     assert len(found) == len(rows)
     by_id = {r["doc_id"]: r for r in found}
     assert [by_id[i]["lang_pred"] for i in (100, 101, 102)] == ["und"] * 3 and by_id[100]["score"] == 0
     assert by_id[103]["lang_pred"] == "de" and by_id[104]["lang_pred"] == "en"
     assert all(by_id[i]["lang_pred"] == rows[i][2] for i in range(80))
-    assert all(0 <= r["score"] <= 1 for r in found)
+    assert all(0 <= r["score"] <= 1 and r["held_out"] is not None for r in found)
 
 
 def test_nothing_to_learn_from(spark, documents):
