@@ -180,6 +180,9 @@ FROM tx WHERE marked
 """,
     "tx_utf8": TX + """
 SELECT part AS "partition", l_orderkey AS "offset", CAST(strlen(text) AS INT) AS n_bytes, trim(text) = '' AS blank FROM tx
+""",
+    "tx_well_formed": TX + """
+SELECT part AS "partition", count(*) AS n FROM tx WHERE contract_reason IS DISTINCT FROM 'malformed JSON' GROUP BY 1
 """,
     "block_parse_strict": BLOCK_PARSE_STRICT,
     "block_parse_compat": BLOCKS_ONLY + """

@@ -125,6 +125,12 @@ def tx_utf8(spark, sf_dir):
     )
 
 
+def tx_well_formed(spark, sf_dir):
+    """Messages that hold one well-formed JSON value, by partition."""
+    kept = well_formed(decode(_tx(spark, sf_dir)), "json_data")
+    return kept.groupBy("partition").agg(F.count("*").alias("n"))
+
+
 # --- Blocks -------------------------------------------------------------------------------------
 
 
@@ -410,7 +416,7 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         tx_parse, tx_parse_strict, tx_dead_letter, tx_route_counts, tx_outputs, tx_inputs, tx_encode_roundtrip,
-        tx_valid_passthrough, tx_invalid, tx_hash_default, tx_utf8,
+        tx_valid_passthrough, tx_invalid, tx_hash_default, tx_utf8, tx_well_formed,
         block_parse_strict, block_parse_compat, block_dead_letter, block_dead_letter_compat, block_extract_normalize,
         block_ingest_compat, block_ingest_text, block_invalid, block_tx_explode,
         feed_outputs, feed_texts, feed_outputs_compat, feed_block_values,
