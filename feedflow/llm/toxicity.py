@@ -19,6 +19,7 @@ empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,7 +40,8 @@ CELL = 4
 # Words are normalised as if they had at least a four-letter word's triples, so one shared triple doesn't make a word.
 LEAST_NORM = 2 + 2 * DECAY**2
 LANDMARKS, NEGATIVES, HARD = 128, 20_000, 4000
-# Support for a toxic word: log-likelihood ratio of its surroundings, and how much more frequent it is than in clean texts.
+# Support for a toxic word: log-likelihood ratio of its surroundings, and how much more frequent it is than in clean texts. The
+# ratio a word must reach grows with the number of words tested (2 ln n), so that chance alone makes about one of them toxic.
 LEAST_G, LEAST_RATIO = 12.0, 6.0
 KNOWN = 0x3000
 
@@ -282,11 +284,12 @@ def vocabulary(sample: DataFrame) -> DataFrame:
 def support(words: DataFrame, toxic: int, clean: int) -> DataFrame:
     """Words far more frequent in toxic texts; ``g`` is the log-likelihood ratio against equal frequency."""
     share = toxic / (toxic + clean)
+    least = max(LEAST_G, 2 * math.log(max(1, words.count())))
     seen = F.col("toxic") + F.col("clean")
     term = lambda n, p: F.when(n > 0, n * F.log(n / (seen * p))).otherwise(0.0)
     g = 2 * (term(F.col("toxic"), share) + term(F.col("clean"), 1 - share))
     ratio = (F.col("toxic") / toxic) / ((F.col("clean") + 0.5) / clean)
-    return words.withColumn("g", g).filter((F.col("g") >= LEAST_G) & (ratio >= LEAST_RATIO))
+    return words.withColumn("g", g).filter((F.col("g") >= least) & (ratio >= LEAST_RATIO))
 
 
 def sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
