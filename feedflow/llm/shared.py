@@ -6,7 +6,9 @@ executor costs only its own tasks, and lineage ends there. Python code sees rows
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +26,19 @@ ARROW_BYTES = 16 << 20
 BLOCK_BYTES = 1 << 20
 
 
+# Where this package lies; workers started on the same machine or with the same image import it from there.
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def prepared(spark: SparkSession) -> SparkSession:
-    """Bound the Arrow batches that Python workers receive."""
+    """Bound the Arrow batches that Python workers receive, and let workers import this package from where the driver has it.
+
+    On a cluster whose executors don't have that path, ship the package with ``--py-files``.
+    """
+    environment = spark.sparkContext.environment
+    paths = [path for path in environment.get("PYTHONPATH", "").split(os.pathsep) if path]
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     return spark
