@@ -8,6 +8,11 @@ A host has at most (lines per page / ``MAX_RATIO``) boilerplate lines, so they f
 small row per line, host and task; a frequent line arrives as one row per task. Pages meet their host's array by a broadcast
 where all arrays together are proven small, else by a join in which a host's pages are dealt over ``SALTS`` keys.
 
+Copies of one text would make all their lines frequent. With ``copies_once`` (the pipeline, which drops copies later) a line is
+therefore counted once for each group of copies and near copies of a host, and so are the pages: near copies have ``COPY_PERCENT``
+per cent of their ``COPY_WORDS``-word shingles in common. Pages that share one of their ``SKETCH`` smallest shingle hashes are compared with
+the first of them. Without it (the registered query, as its SQL has it) every row is a page.
+
 Defined results: null text stays null and counts as a page without lines; pages without a host share the host null; repeated
 rows are pages of their own (a row's repeated line counts once); an empty table gives an empty result; other columns pass
 through untouched, whatever their names.
@@ -18,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedflow.llm.components import components
 from feedflow.llm.shared import column, written
 
 MAX_RATIO = 0.1
@@ -25,6 +31,10 @@ MIN_PAGES = 3
 # Boilerplate lines (8 bytes each) of all hosts that are broadcast at most; beyond it, pages are joined by host.
 BROADCAST_LINES = 1_000_000
 SALTS = 32
+# Near copies, as the pipeline links them, and the smallest shingle hashes by which they are found.
+COPY_WORDS, COPY_PERCENT, SKETCH = 5, 80, 8
+# Pages (16 bytes each) with a group that are broadcast at most.
+BROADCAST_PAGES = 1_000_000
 BREAK = "\n"
 
 
@@ -38,21 +48,64 @@ def codes(text: Column) -> Column:
     return F.array_compact(F.array_distinct(F.transform(F.split(text, BREAK), code)))
 
 
-def boilerplate(docs: DataFrame, host: str, text: str, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def page() -> Column:
+    """Identity of a text on its host."""
+    return F.xxhash64("host", "text")
+
+
+def shingles(text: Column) -> Column:
+    """Distinct hashes of a text's word sequences; one for a text with fewer words, none for a text without any."""
+    words = F.filter(F.split(F.lower(text), r"\s+"), lambda word: word != "")
+    begins = lambda own: F.sequence(F.lit(1), F.greatest(F.size(own) - COPY_WORDS + 1, F.lit(1)))
+    made = F.transform(F.array(words), lambda own: F.transform(begins(own), lambda i: F.xxhash64(F.slice(own, i, COPY_WORDS))))
+    return F.when(F.trim(text) != "", F.array_distinct(made[0]))
+
+
+def groups(own: DataFrame) -> DataFrame:
+    """``node, root``: texts (as ``page``) that are near copies of another of their host, and the one that stands for their group."""
+    spark = own.sparkSession
+    pages = written(spark, own.filter("text IS NOT NULL").select("host", page().alias("page"), shingles(F.col("text")).alias("shingles")), "line-pages")
+    keys = pages.select("host", "page", F.explode(F.slice(F.array_sort("shingles"), 1, SKETCH)).alias("key")).distinct()
+    firsts = keys.groupBy(F.col("host").alias("of"), F.col("key").alias("of_key")).agg(F.min("page").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    met = keys.join(firsts, F.col("host").eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key"))).filter("first <> page")
+    pairs = written(spark, met.select("page", "first").distinct(), "line-page-pairs")
+    held = pages.select("page", "shingles")
+    ends = pairs.select("page").union(pairs.select("first")).distinct()
+    held = held.join(ends, "page", "left_semi").dropDuplicates(["page"])
+    both = pairs.join(held, "page").join(held.select(F.col("page").alias("first"), F.col("shingles").alias("others")), "first")
+    common = F.size(F.array_intersect("shingles", "others"))
+    alike = 100 * common >= COPY_PERCENT * (F.size("shingles") + F.size("others") - common)
+    return components(both.filter(alike).select(F.col("page").alias("node"), F.col("first").alias("root")))
+
+
+def counts(own: DataFrame, copies_once: bool) -> tuple[DataFrame, DataFrame]:
+    """``host, pages`` and ``host, line, n``: pages of each host, and those that contain each line."""
+    if not copies_once:
+        counted = own.select("host", F.explode(codes(F.col("text"))).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"))
+        return own.groupBy("host").agg(F.count("*").alias("pages")), counted
+    found = groups(own)
+    found = F.broadcast(found) if found.limit(BROADCAST_PAGES + 1).count() <= BROADCAST_PAGES else found
+    rows = own.withColumn("page", page()).join(found, F.col("page") == F.col("node"), "left").withColumn("of", F.coalesce("root", "page"))
+    totals = rows.select("host", "of").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    lines = rows.select("host", "of", F.explode(codes(F.col("text"))).alias("line")).distinct()
+    return totals, lines.groupBy("host", "line").agg(F.count("*").alias("n"))
+
+
+def boilerplate(docs: DataFrame, host: str, text: str, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
     """``host, pages, frequent``: hosts that have boilerplate, their page totals and the identities of those lines."""
     own = docs.select(column(docs, host).alias("host"), column(docs, text).alias("text"))
-    totals = own.groupBy("host").agg(F.count("*").alias("pages"))
-    counted = own.select("host", F.explode(codes(F.col("text"))).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"))
+    totals, counted = counts(own, copies_once)
     totals = totals.withColumnRenamed("host", "of")
     joined = counted.filter(F.col("n") >= min_pages).join(totals, F.col("host").eqNullSafe(F.col("of")))
     above = joined.filter(F.col("n") > F.col("pages") * max_ratio)
     return above.groupBy("host").agg(F.first("pages").alias("pages"), F.collect_list("line").alias("frequent"))
 
 
-def marked(docs: DataFrame, host: str = "source", text: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def marked(docs: DataFrame, host: str = "source", text: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES,
+           copies_once: bool = False) -> DataFrame:
     """``row`` (all columns), ``lines`` (null for null text) and ``kept``, the lines that stay."""
     spark = docs.sparkSession
-    found = written(spark, boilerplate(docs, host, text, max_ratio, min_pages), "line-boilerplate")
+    found = written(spark, boilerplate(docs, host, text, max_ratio, min_pages, copies_once), "line-boilerplate")
     size = found.agg(F.sum(F.size("frequent")).alias("n")).first()["n"] or 0
     rows = docs.select(F.struct(*[column(docs, c).alias(c) for c in docs.columns]).alias("row"), column(docs, host).alias("host"),
                        column(docs, text).alias("text"))
@@ -70,9 +123,9 @@ def marked(docs: DataFrame, host: str = "source", text: str = "text", max_ratio:
     return present.select("row", "lines", kept.alias("kept"))
 
 
-def without_boilerplate(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
+def without_boilerplate(docs: DataFrame, host: str = "source", text: str = "text", copies_once: bool = False) -> DataFrame:
     """The documents with their boilerplate lines cut out; all columns and rows stay."""
-    cut = marked(docs, host, text)
+    cut = marked(docs, host, text, copies_once=copies_once)
     return cut.select(*[F.array_join("kept", BREAK).alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 

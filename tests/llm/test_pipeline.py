@@ -56,3 +56,26 @@ def test_stages_take_empty_tables_and_nulls(spark, sf_dir):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, sf_dir).isEmpty(), name
         assert stage(spark, odd, sf_dir).count() == (3 if name == "jaccard_join" else 4), name
+
+
+def copied():
+    """A source in which copies and near copies of one text are two thirds of the pages; all pages but two have the same menu."""
+    word = lambda *at: hashlib.md5(repr(at).encode()).hexdigest()[:6]
+    page = lambda i: [[word(i, line, k) for k in range(12)] for line in range(10)]
+    rows = [(i, "\n".join(["Menu", *map(" ".join, page(i))])) for i in range(10)]
+    for i in range(20):
+        own = page(-1)
+        if i % 2:
+            own[i // 2][5] = word("changed", i)
+        rows.append((100 + i, "\n".join(map(" ".join, own))))
+    return rows
+
+
+def test_one_of_a_group_of_copies_comes_out_whole(spark, sf_dir):
+    schema = table(spark, sf_dir, "documents").schema
+    rows = copied()
+    docs = spark.createDataFrame([(i, text, "en", "s", len(text)) for i, text in rows], schema)
+    for stage in (corpus_pipeline.drop_boilerplate_lines, corpus_pipeline.keep_one_copy):
+        docs = stage(spark, docs, sf_dir)
+    kept = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert kept == {**{i: text.removeprefix("Menu\n") for i, text in rows if i < 100}, 100: rows[10][1]}
