@@ -31,7 +31,7 @@ MIN_PAGES = 3
 # Boilerplate lines (8 bytes each) of all hosts that are broadcast at most; beyond it, pages are joined by host.
 BROADCAST_LINES = 1_000_000
 SALTS = 32
-# Near copies, as the pipeline links them, and the smallest shingle hashes by which they are found.
+# Near copies for the counting (wider than the three words and 90 per cent by which the pipeline drops them), and the smallest shingle hashes by which they are found.
 COPY_WORDS, COPY_PERCENT, SKETCH = 5, 80, 8
 # Pages (16 bytes each) with a group that are broadcast at most.
 BROADCAST_PAGES = 1_000_000
