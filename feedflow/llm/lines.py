@@ -13,6 +13,8 @@ therefore counted once for each group of copies and near copies of a host, and s
 per cent of their ``COPY_WORDS``-word shingles in common. Pages that share one of their ``SKETCH`` smallest shingle hashes are compared with
 the first of them. Without it (the registered query, as its SQL has it) every row is a page.
 
+The pipeline also has lower ratios: ``LINE_RATIO``, and ``LONG_RATIO`` for lines of ``LONG_WORDS`` words, which do not repeat by chance.
+
 Defined results: null text stays null and counts as a page without lines; pages without a host share the host null; repeated
 rows are pages of their own (a row's repeated line counts once); an empty table gives an empty result; other columns pass
 through untouched, whatever their names.
@@ -28,6 +30,8 @@ from feedflow.llm.shared import column, written
 
 MAX_RATIO = 0.1
 MIN_PAGES = 3
+# The pipeline's ratios, of groups of copies: for lines in general, and for those of ``LONG_WORDS`` words or more.
+LINE_RATIO, LONG_RATIO, LONG_WORDS = 1 / 16, 1 / 100, 50
 # Boilerplate lines (8 bytes each) of all hosts that are broadcast at most; beyond it, pages are joined by host.
 BROADCAST_LINES = 1_000_000
 SALTS = 32
@@ -48,6 +52,12 @@ def codes(text: Column) -> Column:
     return F.array_compact(F.array_distinct(F.transform(F.split(text, BREAK), code)))
 
 
+def sized_codes(text: Column) -> Column:
+    """Distinct ``line, long`` of a text: identities, and whether the line has ``LONG_WORDS`` words."""
+    sized = lambda line: F.struct(code(line).alias("line"), (F.size(F.split(F.trim(line), r"\s+")) >= LONG_WORDS).alias("long"))
+    return F.array_distinct(F.filter(F.transform(F.split(text, BREAK), sized), lambda own: own["line"].isNotNull()))
+
+
 def page() -> Column:
     """Identity of a text on its host."""
     return F.xxhash64("host", "text")
@@ -87,8 +97,8 @@ def counts(own: DataFrame, copies_once: bool) -> tuple[DataFrame, DataFrame]:
     found = F.broadcast(found) if found.limit(BROADCAST_PAGES + 1).count() <= BROADCAST_PAGES else found
     rows = own.withColumn("page", page()).join(found, F.col("page") == F.col("node"), "left").withColumn("of", F.coalesce("root", "page"))
     totals = rows.select("host", "of").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    lines = rows.select("host", "of", F.explode(codes(F.col("text"))).alias("line")).distinct()
-    return totals, lines.groupBy("host", "line").agg(F.count("*").alias("n"))
+    lines = rows.select("host", "of", F.explode(sized_codes(F.col("text"))).alias("own")).select("host", "of", "own.*").distinct()
+    return totals, lines.groupBy("host", "line").agg(F.count("*").alias("n"), F.max("long").alias("long"))
 
 
 def boilerplate(docs: DataFrame, host: str, text: str, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
@@ -97,7 +107,8 @@ def boilerplate(docs: DataFrame, host: str, text: str, max_ratio: float = MAX_RA
     totals, counted = counts(own, copies_once)
     totals = totals.withColumnRenamed("host", "of")
     joined = counted.filter(F.col("n") >= min_pages).join(totals, F.col("host").eqNullSafe(F.col("of")))
-    above = joined.filter(F.col("n") > F.col("pages") * max_ratio)
+    ratio = F.when(F.col("long"), LONG_RATIO).otherwise(LINE_RATIO) if copies_once else F.lit(max_ratio)
+    above = joined.filter(F.col("n") > F.col("pages") * ratio)
     return above.groupBy("host").agg(F.first("pages").alias("pages"), F.collect_list("line").alias("frequent"))
 
 

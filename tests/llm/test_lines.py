@@ -58,3 +58,20 @@ def test_no_python_in_the_plan(spark, documents):
 
 def test_empty_table(spark, documents):
     assert lines.report(documents([])).isEmpty()
+
+
+def test_the_pipeline_has_lower_ratios_and_lower_ones_for_long_lines(spark, documents):
+    import random
+
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    notice, short = " ".join(word() for _ in range(60)), "A sentence like others."
+    rows = []
+    for i in range(200):
+        body = [" ".join(word() for _ in range(150))]
+        body += ["Read on"] * (i < 15) + [short] * (100 <= i < 110) + [notice] * (150 <= i < 154)
+        rows.append((i, "\n".join(body), None, "a"))
+    kept = {r["doc_id"]: r["text"].split("\n") for r in lines.without_boilerplate(documents(rows), copies_once=True).collect()}
+    dropped = {i for i, text, *_ in rows if kept[i] != text.split("\n")}
+    assert dropped == {*range(15), *range(150, 154)}
+    assert all(kept[i] == [rows[i][1].split("\n")[0]] for i in dropped)
