@@ -233,19 +233,21 @@ def fitted(toxic: list[str], clean: list[str]) -> Machine:
     return Machine((table @ (whiten @ theta[:-1])).astype(np.float32), float(theta[-1]))
 
 
-def calibrated(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Slope and shift: probability one half lies at the cut with the fewest errors on the sample, in the middle of its gap;
-    the slope has the smallest log loss of a geometric series."""
+def calibrated(margin: np.ndarray, label: np.ndarray, clean_share: float = 1.0, toxic_share: float = 1.0) -> tuple[float, float]:
+    """Slope and shift: probability one half lies at the cut with the fewest errors, in the middle of its gap; the slope has
+    the smallest log loss of a geometric series. A text of the sample stands for as many of the corpus as its class's share
+    says, so the cut is for the corpus's own mix of classes at every size."""
     order = np.argsort(margin, kind="stable")
-    m, y = margin[order], label[order]
+    stands_for = np.where(label > 0, 1 / toxic_share, 1 / clean_share)
+    m, y, w = margin[order], label[order], stands_for[order]
     # Errors of a cut below each value: toxic texts under it and clean ones from it on.
-    errors = np.concatenate([[0], np.cumsum(y)]) + np.concatenate([np.cumsum((1 - y)[::-1])[::-1], [0]])
+    errors = np.concatenate([[0], np.cumsum(y * w)]) + np.concatenate([np.cumsum(((1 - y) * w)[::-1])[::-1], [0]])
     allowed = np.concatenate([[True], np.diff(m) > 0, [True]])
     best = int(np.argmin(np.where(allowed, errors, np.inf)))
     cut = (m[max(0, best - 1)] + m[min(best, len(m) - 1)]) / 2
     slopes = np.geomspace(1, 256, 33)
     sign = 2 * label - 1
-    losses = [np.logaddexp(0, -slope * sign * (margin - cut)).mean() for slope in slopes]
+    losses = [np.average(np.logaddexp(0, -slope * sign * (margin - cut)), weights=stands_for) for slope in slopes]
     slope = float(slopes[int(np.argmin(losses))])
     return slope, -slope * float(cut)
 
@@ -292,8 +294,9 @@ def support(words: DataFrame, toxic: int, clean: int) -> DataFrame:
     return words.withColumn("g", g).filter((F.col("g") >= least) & (ratio >= LEAST_RATIO))
 
 
-def sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, text, label`` of about ``TOXIC_TEXTS`` and ``CLEAN_TEXTS`` documents that may be learned from.
+def sampled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, tuple[float, float]]:
+    """``doc_id, text, label`` of about ``TOXIC_TEXTS`` and ``CLEAN_TEXTS`` documents that may be learned from, and which shares
+    of the clean and of the toxic documents they are.
 
     The ids are picked from the labels by their hashes, so what is broadcast to find the texts has those bounds too. A
     document with both labels counts as toxic.
@@ -301,14 +304,15 @@ def sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     usable = labels.filter("toxic IN (0, 1)").filter(fold(FOLDS) != HELD_OUT)
     of_each = usable.groupBy(F.col("doc_id").alias("of")).agg(F.max("toxic").cast("int").alias("label"))
     sizes = {row[0]: row[1] for row in of_each.groupBy("label").count().collect()}
-    share = F.when(F.col("label") == 1, min(1.0, TOXIC_TEXTS / sizes.get(1, 1))).otherwise(min(1.0, CLEAN_TEXTS / sizes.get(0, 1)))
+    shares = min(1.0, CLEAN_TEXTS / sizes.get(0, 1)), min(1.0, TOXIC_TEXTS / sizes.get(1, 1))
+    share = F.when(F.col("label") == 1, shares[1]).otherwise(shares[0])
     ids = of_each.filter(F.pmod(F.xxhash64("of"), F.lit(1 << 20)) < share * (1 << 20))
     texts = docs.filter("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("of"))
-    return written(docs.sparkSession, texts.select("doc_id", "text", "label"), "toxicity-sample")
+    return written(docs.sparkSession, texts.select("doc_id", "text", "label"), "toxicity-sample"), shares
 
 
-def learn(sample: DataFrame) -> Machine | None:
-    """Fit on the rows ``doc_id, text, label``; None if a class is missing."""
+def learn(sample: DataFrame, shares: tuple[float, float] = (1.0, 1.0)) -> Machine | None:
+    """Fit on the rows ``doc_id, text, label``, which are these shares of the clean and the toxic texts; None if a class is missing."""
     spark = sample.sparkSession
     picked = {row[0]: row[1] for row in sample.groupBy("label").count().collect()}
     if not picked.get(0) or not picked.get(1):
@@ -327,7 +331,7 @@ def learn(sample: DataFrame) -> Machine | None:
     hard = hardest(clean, machine).collect()
     machine = fitted(toxic, list(dict.fromkeys([*negative, *(r[0] for r in hard if r[0] not in known)])))
     margins = applied(sample, machine, ["label"], "margins").select("row.label", "value").toArrow().to_pandas()
-    machine.slope, machine.shift = calibrated(margins["value"].to_numpy(), margins["label"].to_numpy(np.float64))
+    machine.slope, machine.shift = calibrated(margins["value"].to_numpy(), margins["label"].to_numpy(np.float64), *shares)
     return machine
 
 
@@ -361,12 +365,12 @@ def applied(docs: DataFrame, machine: Machine | None, keep: list[str], what: str
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Learn on the folds that are not held out and score every document: ``doc_id, held_out, score, predicted``."""
     prepared(docs.sparkSession)
-    machine = learn(sampled(docs, labels))
+    machine = learn(*sampled(docs, labels))
     found = applied(docs, machine, ["doc_id"]).select(F.col("row.doc_id").cast("bigint").alias("doc_id"), F.col("value").alias("score"))
     return found.select("doc_id", F.coalesce(fold(FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic, with all their columns."""
-    machine = learn(sampled(docs, labels))
+    machine = learn(*sampled(docs, labels))
     return applied(docs, machine, docs.columns).filter("value < 0.5").select("row.*")

@@ -80,3 +80,20 @@ def test_nothing_to_learn_from(spark, documents):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert toxicity.report(documents([]), none).isEmpty()
     assert [tuple(r) for r in toxicity.report(documents([(1, "a")]), none).select("score", "predicted").collect()] == [(0.0, 0)]
+
+
+def test_cut_is_for_the_mix_of_the_corpus_not_of_the_sample():
+    rng = np.random.default_rng(3)
+    margin = np.concatenate([rng.normal(0, 1, 8000), rng.normal(1.5, 1, 1000)])
+    label = np.repeat([0.0, 1.0], [8000, 1000])
+    picked = np.concatenate([np.arange(0, 8000, 8), np.arange(8000, 9000)])
+    whole, sample = toxicity.calibrated(margin, label), toxicity.calibrated(margin[picked], label[picked], 1 / 8, 1.0)
+    assert abs(whole[1] / whole[0] - sample[1] / sample[0]) < 0.3
+
+
+def test_sample_knows_its_shares(spark, documents, monkeypatch):
+    monkeypatch.setattr(toxicity, "CLEAN_TEXTS", 60)
+    rows, labels = corpus()
+    sample, shares = toxicity.sampled(documents(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    usable = spark.createDataFrame(labels, "doc_id long, quality int, toxic int").filter(toxicity.fold(toxicity.FOLDS) != toxicity.HELD_OUT)
+    assert shares == (60 / usable.filter("toxic = 0").count(), 1.0) and sample.filter("label = 0").count() < 120
