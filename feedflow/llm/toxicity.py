@@ -8,7 +8,8 @@ Words are what stands between white space, letters only, so ``id-iot`` is a word
 Training takes labelled sentences: the words of a bounded sample of labelled texts, with the text's label. Words that stand
 in clearly more surroundings of toxic texts than of clean ones are the toxic examples (surroundings, not occurrences, so that
 copies of a text do not make its words toxic); words of clean texts are the others, and those that score highest after a first fit
-are added for a second one. Words are mapped to their kernels with the landmarks, whitened; the fitted hyperplane is a sum
+are added for a second one. Words are mapped to their kernels with the landmarks, whitened; landmarks are the most common clean words, and
+toxic words picked by pivoted Cholesky until they cover every toxic word, so their number follows from the words' variety; the fitted hyperplane is a sum
 over landmarks, hence one weight per triple, and a whole text is scored by look-ups. A text's score is that of its worst
 word, turned into a probability by a logistic curve fitted on the sample.
 
@@ -39,7 +40,8 @@ TRIPLES = ((1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4))
 CELL = 4
 # Words are normalised as if they had at least a four-letter word's triples, so one shared triple doesn't make a word.
 LEAST_NORM = 2 + 2 * DECAY**2
-LANDMARKS, NEGATIVES, HARD = 128, 20_000, 4000
+# Clean landmarks; toxic ones are added until the part of any toxic word that they leave out is at most RESIDUAL of it.
+CLEAN_LANDMARKS, RESIDUAL, NEGATIVES, HARD = 64, 0.1, 20_000, 4000
 # Support for a toxic word: log-likelihood ratio of its surroundings, and how much more frequent it is than in clean texts. The
 # ratio a word must reach grows with the number of words tested (2 ln n), so that chance alone makes about one of them toxic.
 LEAST_G, LEAST_RATIO = 12.0, 6.0
@@ -197,16 +199,54 @@ def landmark_table(landmarks: list[str]) -> np.ndarray:
     return table / np.sqrt(np.maximum(norm, LEAST_NORM)).astype(np.float32)
 
 
+def pivots(texts: list[str], known: list[str], residual: float = RESIDUAL) -> list[str]:
+    """Words of ``texts`` to add to the landmarks ``known``, by pivoted Cholesky: the one that is covered least, until each is covered
+    but for ``residual`` of its squared length."""
+    every = [*known, *texts]
+    words = as_words(every)
+    owner = np.repeat(np.arange(len(every)), np.diff(words.starts, append=len(words.letters)))
+    found = [(owner[at], code, np.full(len(at), weight)) for at, code, weight in triples(words)]
+    rows, codes, values = (np.concatenate(x) for x in zip(*found, strict=True))
+    # A triple that a word holds more than once has one entry, as lengths are of sums.
+    both, where = np.unique(rows.astype(np.int64) << 15 | codes, return_inverse=True)
+    values, rows, codes = np.bincount(where, values, len(both)), both >> 15, both & 0x7FFF
+    full = np.bincount(rows, values**2, len(every))
+    values = values / np.sqrt(np.maximum(full, 1e-12))[rows]
+    bounds = np.searchsorted(rows, np.arange(len(every) + 1))
+    left, columns, chosen = (full > 0).astype(float), [], []
+    while len(columns) < len(every):
+        at = len(columns) if len(columns) < len(known) else len(known) + int(np.argmax(left[len(known) :]))
+        if at >= len(known) and left[at] <= residual:
+            break
+        vector = np.zeros(1 << 15)
+        vector[codes[bounds[at] : bounds[at + 1]]] = values[bounds[at] : bounds[at + 1]]
+        column = np.bincount(rows, values * vector[codes], len(every))
+        for before in columns:
+            column -= before[at] * before
+        column = column / np.sqrt(left[at]) if left[at] > 1e-6 else np.zeros(len(every))
+        columns.append(column)
+        left = np.maximum(left - column**2, 0)
+        if at >= len(known):
+            left[at] = 0
+            chosen.append(every[at])
+    return chosen
+
+
 def hyperplane(x: np.ndarray, y: np.ndarray, cost: float = 1.0, rounds: int = 30) -> np.ndarray:
     """Squared-hinge support vector machine by Newton steps on the active examples; classes weigh the same."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * len(y) * cost
     ridge = np.eye(x.shape[1])
     ridge[-1, -1] = 1e-6
     theta, active = np.zeros(x.shape[1]), np.ones(len(y), bool)
     for _ in range(rounds):
-        own = x[active] * share[active][:, None]
-        theta = np.linalg.solve(ridge + own.T @ x[active], own.T @ y[active])
+        gram, pull = ridge.copy(), np.zeros(x.shape[1])
+        for at in np.array_split(np.flatnonzero(active), active.sum() // 2000 + 1):
+            own = x[at].astype(np.float64)
+            weighted = own * share[at][:, None]
+            gram += weighted.T @ own
+            pull += weighted.T @ y[at]
+        theta = np.linalg.solve(gram, pull)
         now = y * (x @ theta) < 1
         if (now == active).all():
             break
@@ -214,21 +254,23 @@ def hyperplane(x: np.ndarray, y: np.ndarray, cost: float = 1.0, rounds: int = 30
     return theta
 
 
-def kernels(texts: list[str], table: np.ndarray, part: int = 1000) -> np.ndarray:
-    """Kernels of words with all landmarks, some words at a time: a row of them takes a kilobyte for every letter."""
-    return np.vstack([kernel(as_words(texts[at : at + part]), table)[0] for at in range(0, len(texts), part)])
+def kernels(texts: list[str], table: np.ndarray, whiten: np.ndarray, part: int = 250) -> np.ndarray:
+    """Whitened kernels of words with all landmarks, some words at a time: every letter takes a number for each landmark."""
+    parts = [(kernel(as_words(texts[at : at + part]), table)[0] @ whiten).astype(np.float32) for at in range(0, len(texts), part)]
+    return np.vstack(parts)
 
 
 def fitted(toxic: list[str], clean: list[str]) -> Machine:
-    """Fit on words of both classes; landmarks are spread over both."""
-    landmarks = sorted(set(toxic[: LANDMARKS // 2]) | set(clean[: LANDMARKS // 2]))
+    """Fit on words of both classes; landmarks are common clean words, and what it takes to cover all toxic ones."""
+    common = clean[:CLEAN_LANDMARKS]
+    landmarks = sorted({*common, *pivots(toxic, common)})
     table = landmark_table(landmarks)
     gram, _ = kernel(as_words(landmarks), table)
     gram = gram[: len(landmarks)] if len(gram) == len(landmarks) else table.T @ table
     values, vectors = np.linalg.eigh((gram + gram.T) / 2 + 1e-6 * np.eye(len(landmarks)))
     whiten = vectors / np.sqrt(np.maximum(values, 1e-3))
-    positive, negative = kernels(toxic, table), kernels(clean, table)
-    x = np.vstack([positive, negative]).astype(np.float64) @ whiten
+    positive, negative = kernels(toxic, table, whiten), kernels(clean, table, whiten)
+    x = np.vstack([positive, negative])
     theta = hyperplane(x, np.repeat([1.0, -1.0], [len(positive), len(negative)]))
     return Machine((table @ (whiten @ theta[:-1])).astype(np.float32), float(theta[-1]))
 

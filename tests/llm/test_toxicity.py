@@ -97,3 +97,21 @@ def test_sample_knows_its_shares(spark, documents, monkeypatch):
     sample, shares = toxicity.sampled(documents(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
     usable = spark.createDataFrame(labels, "doc_id long, quality int, toxic int").filter(toxicity.fold(toxicity.FOLDS) != toxicity.HELD_OUT)
     assert shares == (60 / usable.filter("toxic = 0").count(), 1.0) and sample.filter("label = 0").count() < 120
+
+
+def test_landmarks_cover_every_toxic_word():
+    rng = random.Random(4)
+    forms = ["".join(rng.choice("aeiou") if c == "*" else c for c in "b*st*rdl*k*") for _ in range(400)]
+    rare = ["xwqzvy", "jkqpxz", "vzzxjw"]
+    toxic = [*dict.fromkeys(forms)][:100] + rare
+    clean = ["".join(rng.choices("abcdefghilmnorstu", k=rng.randint(3, 9))) for _ in range(500)]
+    assert len(toxic) == 103
+    added = toxicity.pivots(toxic, clean[:64])
+    assert set(rare) <= set(added) and len(added) < len(toxic)
+    table = toxicity.landmark_table([*clean[:64], *added]).astype(np.float64)
+    basis = np.linalg.svd(table, full_matrices=False)[0]
+    words = toxicity.landmark_table(toxic).astype(np.float64)
+    covered = ((basis.T @ words) ** 2).sum(axis=0) / (words**2).sum(axis=0)
+    assert covered.min() > 1 - toxicity.RESIDUAL - 1e-6
+    machine = toxicity.fitted(toxic, clean)
+    assert (toxicity.kernel(toxicity.as_words(rare), machine.weights)[0] + machine.bias > 0).all()
