@@ -3,8 +3,8 @@
 A page becomes lines, one for each block of text; markup, scripts and whatever is marked as menu, header, footer, sidebar,
 notice, advert, form or comments leaves blank lines in its place, as do lines that are mostly links. The lengths of the lines are
 summed over sliding windows. The text starts where a window's sum surges above a threshold and ends where it dives to
-nothing; the lines between are kept as they are. If a page marks its article, lines outside count as blank. If no window
-surges, the stretch with the most text is kept.
+nothing; the lines between are kept as they are. Marks of an article do not decide over a surge: text outside them that surges is
+kept too. If no window surges, the stretch with the most text is kept, of those in a marked article if there is one.
 
 Defined results: null and empty html have empty text; pages that repeat are rows of their own; an empty table gives an empty
 result; other columns are ignored. Tags that are never closed end with the element around them, comments and scripts that are
@@ -146,8 +146,8 @@ def distribution(lengths: list[int]) -> list[int]:
     return [sum(lengths[i : i + WINDOW]) for i in range(len(lengths))]
 
 
-def stretches(lengths: list[int]) -> list[tuple[int, int]]:
-    """Line ranges from a surge to the following dive; if there is none, the range with the most text."""
+def stretches(lengths: list[int], inside: list[bool] | None = None) -> list[tuple[int, int]]:
+    """Line ranges from a surge to the following dive; if there is none, the range with the most text, ``inside`` lines first."""
     sums, found, at = distribution(lengths), [], 0
     spans = []
     while at < len(sums):
@@ -161,7 +161,8 @@ def stretches(lengths: list[int]) -> list[tuple[int, int]]:
         if max(sums[start:at]) > SURGE:
             # Windows of the same rise begin up to a window before it; the lines they hold belong to the text.
             found.append((start, at))
-    return found or sorted(spans, key=lambda s: -sum(lengths[s[0] : s[1]]))[:1]
+    marked = lambda s: any(n and own for n, own in zip(lengths[s[0] : s[1]], inside[s[0] : s[1]], strict=True)) if inside else False
+    return found or sorted(spans, key=lambda s: (not marked(s), -sum(lengths[s[0] : s[1]])))[:1]
 
 
 def main_text(page: str | None) -> str:
@@ -173,10 +174,10 @@ def main_text(page: str | None) -> str:
         lines = [(line, text) for line, text in lines if not (line.inside and line.aside)]
     rows: list[tuple[int, str]] = []
     for line, text in lines:
-        keep = line.inside if marked else not line.aside and line.linked < LINK_SHARE * len(text)
+        keep = line.inside or not line.aside and line.linked < LINK_SHARE * len(text)
         rows.append((len(text), text) if keep else (0, ""))
     lengths = [n for n, _ in rows]
-    return "\n\n".join(text for a, b in stretches(lengths) for n, text in rows[a:b] if n)
+    return "\n\n".join(text for a, b in stretches(lengths, [line.inside for line, _ in lines]) for n, text in rows[a:b] if n)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -37,3 +37,12 @@ def test_table(spark):
     assert by_id[2]["text"] == "" and by_id[2]["n_chars"] == 0 and by_id[4]["text"] == LONG.strip() and by_id[None]["text"] == "x"
     assert all(r["n_chars"] == len(r["text"]) for r in found)
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).isEmpty()
+
+
+def test_marks_do_not_decide_over_a_surge():
+    main = "Sentence of the main text. " * 20
+    page = f"<body><div class=story><p>{main}</p><p>{main}end</p></div><hr><article><h2>x</h2><p>Teaser of about forty characters, ok</p></article>"
+    assert main.strip() in main_text(page) and main + "end" in main_text(page)
+    lines = "".join(f"<p>{main}{i}</p>" for i in range(3))
+    between = main_text(f"<body><article><p>{main}a</p></article>{lines}<article><p>{main}b</p></article>")
+    assert between.split("\n\n") == [main + str(i) for i in ("a", 0, 1, 2, "b")]
