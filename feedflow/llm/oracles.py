@@ -123,6 +123,94 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce((SEL
 FROM documents LEFT JOIN sizes USING (doc_id)
 """
 
+OP11 = """
+WITH turns AS MATERIALIZED (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS MATERIALIZED (
+    SELECT c, xor(list_reduce(list_prepend(4294967295::BIGINT, [ascii(x)::BIGINT FOR x IN string_split(c::VARCHAR, '')]),
+        lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda x, step: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)),
+        4294967295::BIGINT) % 6 AS h
+    FROM (SELECT DISTINCT c FROM turns)
+), rebuilt AS (
+    SELECT convs.c, 0 AS part, i, role, text FROM convs JOIN turns ON turns.c = convs.c - convs.c % 100 WHERE i <= h
+    UNION ALL SELECT turns.c, 1, i, role, text FROM convs JOIN turns USING (c) WHERE i > h
+), numbered AS (
+    SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, i) AS d, length(text) AS chars, md5(length(role) || ':' || role || text) AS turn FROM rebuilt
+), steps AS MATERIALIZED (
+    SELECT c, d, chars, md5(string_agg(turn, ',') OVER (PARTITION BY c ORDER BY d)) AS node FROM numbered
+    UNION ALL SELECT c, 0, 0, '' FROM convs
+), nodes AS MATERIALIZED (
+    SELECT node, d, min(c) AS c, count(*) AS n_convs, any_value(chars) AS chars FROM steps GROUP BY node, d
+), parents AS MATERIALIZED (
+    SELECT n.*, p.node AS parent, o.c AS parent_c FROM nodes n LEFT JOIN steps p ON p.c = n.c AND p.d = n.d - 1 LEFT JOIN nodes o ON o.node = p.node AND o.d = p.d
+), children AS (
+    SELECT parent AS node, count(*) AS n_children FROM parents WHERE parent IS NOT NULL GROUP BY parent
+), own AS (
+    SELECT nodes.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * chars AS saved FROM nodes LEFT JOIN children USING (node)
+), sums AS (
+    SELECT a.node, sum((n_children = 0)::INT) AS n_leaves, sum(saved) AS saved_tokens FROM own JOIN steps a ON a.c = own.c AND a.d <= own.d GROUP BY a.node
+), lasts AS (
+    SELECT c, arg_max(node, d) AS node FROM steps GROUP BY c
+), ended AS (
+    SELECT node, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids FROM lasts GROUP BY node
+)
+SELECT own.c AS conv_id, own.d::BIGINT AS depth, parent_c AS parent_conv_id, own.n_convs::BIGINT AS n_convs, n_children::BIGINT AS n_children,
+    n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM own JOIN parents USING (node) JOIN sums USING (node) LEFT JOIN ended USING (node)
+"""
+
+# Each round of op12: distances of all vectors and centroids, the nearest one, and the floors of the means.
+OP12_NEAREST = """near{r} AS MATERIALIZED (
+    SELECT row, v, cluster, distance FROM (
+        SELECT row, v, cluster, list_sum([(v[i] - m[i]) * (v[i] - m[i]) FOR i IN range(1, 65)])::BIGINT AS distance FROM vectors, means{r}
+    ) QUALIFY row_number() OVER (PARTITION BY row ORDER BY distance, cluster) = 1
+)"""
+OP12_MEANS = """means{r} AS MATERIALIZED (
+    SELECT cluster, coalesce(moved.m, means{b}.m) AS m FROM means{b} LEFT JOIN (
+        SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS m FROM (
+            SELECT cluster, i, sum(x) AS s, count(*) AS n FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM near{b}) GROUP BY cluster, i
+        ) GROUP BY cluster
+    ) moved USING (cluster)
+)"""
+OP12 = (
+    """
+WITH vectors AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), means0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id::VARCHAR), v) - 1 AS cluster, v AS m FROM vectors ORDER BY cluster LIMIT 40
+), """
+    + ", ".join(f"{OP12_NEAREST.format(r=r)}, {OP12_MEANS.format(r=r + 1, b=r)}" for r in range(5)) + ", " + OP12_NEAREST.format(r=5)
+    + """
+SELECT vec_id, cluster::INTEGER AS cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia, sum(distance) OVER ()::BIGINT AS inertia,
+    sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM near5 JOIN vectors USING (row) JOIN means5 USING (cluster)
+"""
+)
+
+OP13 = """
+WITH RECURSIVE usable AS (
+    SELECT row_number() OVER () AS row, vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), unit AS MATERIALIZED (
+    SELECT row, vec_id, v, sqrt(list_sum([x * x FOR x IN v])) AS norm FROM usable
+), links AS MATERIALIZED (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b ON a.row < b.row AND list_sum([a.v[i] * b.v[i] FOR i IN range(1, len(a.v) + 1)]) / (a.norm * b.norm) >= 0.95
+), ways AS MATERIALIZED (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(a, b) AS (
+    SELECT a, b FROM ways UNION SELECT reach.a, ways.b FROM reach JOIN ways ON reach.b = ways.a
+), least AS (
+    SELECT a, min(b) AS b FROM reach GROUP BY a
+), counted AS (
+    SELECT a, count(*) AS n FROM ways GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(least.b, vec_id)) AS component_id, vec_id <= coalesce(least.b, vec_id) AS kept
+FROM embeddings LEFT JOIN counted ON counted.a = vec_id LEFT JOIN least ON least.a = vec_id
+"""
+
 ORACLES = {
     "op7_jaccard_join": OP7,
     "op4_top_k": OP4,
@@ -130,4 +218,7 @@ ORACLES = {
     "op8_warc": OP8,
     "op9_line_dedup": OP9,
     "op10_chat_format": OP10,
+    "op11_prefix_trie": OP11,
+    "op12_centroid_clustering": OP12,
+    "op13_embedding_near_dedup": OP13,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedflow.llm import bpe, chat, decontaminate, html_text, jaccard, language, lines, topk, toxicity, warc
+from feedflow.llm import bpe, centroids, chat, decontaminate, html_text, jaccard, language, lines, near_vectors, prefix_trie, topk, toxicity, warc
 from feedflow.llm.shared import prepared
 
 
@@ -67,6 +67,18 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.segments(rows.unionByName(marked)))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.join(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_html_text": op2_html_text,
@@ -78,4 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
     "op10_chat_format": op10_chat_format,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_embedding_near_dedup": op13_embedding_near_dedup,
 }

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import numpy as np
@@ -44,9 +46,41 @@ def prepared(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, read any number of times."""
+# Paths of the tables that the open scopes have written, the innermost last.
+SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a table of the shared folder, wherever it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``written`` makes inside are removed at the end, but for those that outlive it.
+
+    What leaves the scope must therefore be a written table that outlives it, not a plan over tables of the scope.
+    """
+    paths: list[str] = []
+    token = SCOPES.set((*SCOPES.get(), paths))
+    try:
+        yield
+    finally:
+        SCOPES.reset(token)
+        for path in paths:
+            removed(spark, path)
+
+
+def written(spark: SparkSession, df: DataFrame, name: str, outlives: bool = False) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, read any number of times.
+
+    It goes with the scope (``scratch``) around it; with ``outlives``, with the scope around that one. Outside of scopes it stays.
+    """
     path = shared_dir(spark, name)
+    scopes = SCOPES.get()[: -1 if outlives else None]
+    if scopes:
+        scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -25,7 +25,7 @@ def test_query_equals_sql(spark, connection, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_bpe_equals_the_tokenizer(spark):
