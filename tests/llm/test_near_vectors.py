@@ -78,7 +78,7 @@ def test_rows_without_and_with_repeated_ids_and_empty_tables(spark):
 def test_the_descent_finds_what_its_start_does_not(spark):
     """From lists that hold a fraction of the links, rounds of neighbours of neighbours find nearly all; the audit measures it."""
     rng = np.random.default_rng(6)
-    rows = planted(rng, 1500, [2] * 150, width=16, near=0.05)
+    rows = planted(rng, 1000, [2] * 100, width=16, near=0.2)
     search, width = Search(room=16, start=8), 16
     ids = near_vectors.identified(frame(spark, rows), width)
     vectors = written(spark, near_vectors.halved(near_vectors.distinct(ids), width), "v")
