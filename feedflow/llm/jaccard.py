@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from feedflow.llm.components import components
-from feedflow.llm.shared import Rolling, blocks, column, lower_ascii_table, mix, prepared, words, written
+from feedflow.llm.shared import Rolling, annotated, blocks, column, lower_ascii_table, mix, prepared, scratch, words, written
 
 # Members and shingles of a block of sets.
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 400_000
@@ -145,35 +145,43 @@ def keys(shingles: np.ndarray) -> tuple[int, int]:
     return tuple(x - (1 << 64) if x >> 63 else x for x in sums)
 
 
+def shingled(docs: DataFrame, rule: Rule) -> DataFrame:
+    """``doc_id, n, key, other``: the size and identity of each document's set."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(rule.words)
+        for rows, data, bounds in blocks(batches, "text"):
+            found = [(len(s), *keys(s)) for s in shingler.sets(data, bounds)]
+            sizes, first, second = zip(*found, strict=True) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays([rows.column(0), *(pa.array(x, pa.int64()) for x in (sizes, first, second))], names=["doc_id", "n", "key", "other"])
+
+    rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"])
+    return rows.mapInArrow(run, "doc_id bigint, n bigint, key bigint, other bigint")
+
+
 def signed(docs: DataFrame, rule: Rule) -> DataFrame:
-    """``doc_id, n, key, other, signatures``; a task signs each distinct set once."""
+    """``key, signatures``; a task signs each distinct set once. Signatures are never written: they go from here into the shuffle."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, signer, seen = Shingler(rule.words), Signer(rule), set()
         for rows, data, bounds in blocks(batches, "text"):
-            sizes, first, second, codes = [], [], [], []
+            found, codes = [], []
             for shingles in shingler.sets(data, bounds):
-                key, other = keys(shingles)
-                fresh = key not in seen
-                seen.add(key)
-                sizes.append(len(shingles))
-                first.append(key)
-                second.append(other)
-                codes.append(signer.sign(shingles).view(np.int64) if fresh else np.empty(0, np.int64))
+                key = keys(shingles)[0]
+                if key not in seen:
+                    seen.add(key)
+                    found.append(key)
+                    codes.append(signer.sign(shingles).view(np.int64))
             offsets = np.cumsum([0, *map(len, codes)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(codes) if codes else np.empty(0, np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), lists],
-                names=["doc_id", "n", "key", "other", "signatures"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), lists], names=["key", "signatures"])
 
-    rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"])
-    return rows.mapInArrow(run, "doc_id bigint, n bigint, key bigint, other bigint, signatures array<bigint>")
+    return docs.select("text").mapInArrow(run, "key bigint, signatures array<bigint>")
 
 
-def candidates(sets: DataFrame) -> DataFrame:
+def candidates(signatures: DataFrame) -> DataFrame:
     """``lead, key``: every set that shares a signature with others, with the smallest of them."""
-    rows = sets.select(F.explode("signatures").alias("signature"), "key")
+    rows = signatures.select(F.explode("signatures").alias("signature"), "key")
     sharing = rows.withColumn("lead", F.min("key").over(Window.partitionBy("signature")))
     return sharing.filter("lead <> key").select("lead", "key").distinct()
 
@@ -339,37 +347,65 @@ def open_links(sets: DataFrame, large: DataFrame, found: DataFrame, rule: Rule)
     return compared(rows, rule)
 
 
+def placed(docs: DataFrame, rule: Rule) -> DataFrame:
+    """``doc_id, n, key, component_id, lead`` of every document; ``lead`` is the set that stands for the component, one that the document
+    with the smallest id has."""
+    spark = prepared(docs.sparkSession)
+    with scratch(spark):
+        sets = written(spark, shingled(docs, rule), "sets")
+        clash = sets.groupBy("key").agg(F.min("other").alias("a"), F.max("other").alias("b")).filter("a <> b")
+        if not clash.isEmpty():
+            raise ValueError("two different shingle sets have the same 64-bit key")
+        clusters = components(candidates(signed(docs, rule)))
+        held = written(spark, members(docs, sets, clusters, rule), "shingles")
+        large = several_blocks(held)
+        found = components(hub_links(held, large, rule))
+        links = written(spark, found.unionByName(open_links(held, large, found, rule)), "links")
+        linked = components(links)
+        # Sets with one document and no link need no look-up: their component is the document itself.
+        firsts = sets.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
+        own = firsts.join(linked, F.col("key") == F.col("node"), "left").filter("copies > 1 OR node IS NOT NULL")
+        own = own.select("key", "first", F.coalesce("root", "key").alias("component"))
+        # Sets of which no document has an id come last.
+        order = F.struct(F.col("first").isNull().alias("none"), "first", "key")
+        least = own.groupBy("component").agg(F.min(order).alias("least"))
+        of_key = own.join(least, "component").select(F.col("key").alias("of"), F.col("least.first").alias("component_id"), F.col("least.key").alias("lead"))
+        rows = sets.select("doc_id", "n", F.when(F.col("n") > 0, F.col("key")).alias("key")).join(of_key, F.col("key") == F.col("of"), "left")
+        found = rows.select("doc_id", "n", "key", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("lead", "key").alias("lead"))
+        return written(spark, found, "components", outlives=True)
+
+
 def join(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document: its set's size, and the smallest id that links lead to."""
-    rule = rule or Rule()
-    spark = prepared(docs.sparkSession)
-    sets = written(spark, signed(docs, rule), "signatures")
-    clash = sets.groupBy("key").agg(F.min("other").alias("a"), F.max("other").alias("b")).filter("a <> b")
-    if not clash.isEmpty():
-        raise ValueError("two different shingle sets have the same 64-bit key")
-    clusters = components(candidates(sets))
-    held = written(spark, members(docs, sets, clusters, rule), "shingles")
-    large = several_blocks(held)
-    found = components(hub_links(held, large, rule))
-    links = written(spark, found.unionByName(open_links(held, large, found, rule)), "links")
-    linked = components(links)
-    # Sets with one document and no link need no look-up: their component is the document itself.
-    firsts = sets.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
-    placed = firsts.join(linked, F.col("key") == F.col("node"), "left").filter("copies > 1 OR node IS NOT NULL")
-    placed = placed.select("key", "first", F.coalesce("root", "key").alias("component"))
-    least = placed.groupBy("component").agg(F.min("first").alias("component_id"))
-    of_key = placed.join(least, "component").select(F.col("key").alias("of"), "component_id")
-    rows = sets.select("doc_id", "n", F.when(F.col("n") > 0, F.col("key")).alias("key")).join(of_key, F.col("key") == F.col("of"), "left")
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return placed(docs, rule or Rule()).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def one_of_each(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
-    """The documents, with one of each component, that with the smallest id; rows without an id stay."""
-    spark = docs.sparkSession
-    found = written(spark, join(docs, rule), "components")
-    gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("__copy_id")).distinct()
-    kept = docs.join(broadcast_if_small(gone), column(docs, "doc_id") == F.col("__copy_id"), "left_anti")
-    # Rows that repeat an id are copies as well; only then is a shuffle of the texts needed.
+    """The documents, with one of each component, that with the smallest id.
+
+    Rows without an id and texts without words stay. Rows that repeat an id are told apart by their sets: of equal sets one row stays, and
+    a different set under the same id is a document of its own.
+    """
+    rule = rule or Rule()
+    found = placed(docs, rule)
+    stays = F.col("n").eqNullSafe(0) | F.col("doc_id").isNull() | ((F.col("doc_id") == F.col("component_id")) & (F.col("key") == F.col("lead")))
+    gone = found.filter(~stays).select(F.col("doc_id").alias("gone"), F.col("key").alias("gone_key")).distinct()
     if found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        return kept
-    return kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id IS NULL"))
+        rows = docs.select(F.struct(*[column(docs, c).alias(c) for c in docs.columns]).alias("row"), column(docs, "doc_id").cast("bigint").alias("id"))
+        kept = rows.join(broadcast_if_small(gone.select("gone")), F.col("id") == F.col("gone"), "left_anti")
+        return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+    def identity():
+        shingler = Shingler(rule.words)
+
+        def step(data, bounds):
+            sets = list(shingler.sets(data, bounds))
+            return [len(s) for s in sets], [keys(s)[0] for s in sets]
+
+        return step
+
+    rows = annotated(docs, "text", "n bigint, key bigint", identity).withColumn("id", F.col("row.doc_id").cast("bigint"))
+    kept = rows.join(broadcast_if_small(gone), (F.col("id") == F.col("gone")) & (F.col("key") == F.col("gone_key")), "left_anti")
+    own = (F.col("n") == 0) | F.col("id").isNull()
+    single = kept.filter(~own).dropDuplicates(["id", "key"]).unionByName(kept.filter(own))
+    return single.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -9,9 +9,10 @@ small row per line, host and task; a frequent line arrives as one row per task.
 where all arrays together are proven small, else by a join in which a host's pages are dealt over ``SALTS`` keys.
 
 Copies of one text would make all their lines frequent. With ``copies_once`` (the pipeline, which drops copies later) a line is
-therefore counted once for each group of copies and near copies of a host, and so are the pages: near copies have ``COPY_PERCENT``
-per cent of their ``COPY_WORDS``-word shingles in common. Pages that share one of their ``SKETCH`` smallest shingle hashes are compared with
-the first of them. Without it (the registered query, as its SQL has it) every row is a page.
+therefore counted once for each group of copies of a host, and so are the pages. A line belongs to the first page (by a hash) of the host that
+has it. A page is a copy of another one if lines that belong to that one make up ``COPY_SHARE`` of its characters, or ``LINES_SHARE`` in
+``COPY_LINES`` lines or more; copies of copies are one group. Only sharing whole lines matters here, since only lines are counted: copies
+with a change in every line share none. Without it (the registered query, as its SQL has it) every row is a page.
 
 The pipeline also has lower ratios: ``LINE_RATIO``, and ``LONG_RATIO`` for lines of ``LONG_WORDS`` words, which do not repeat by chance.
 
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedflow.llm.components import components
-from feedflow.llm.shared import column, written
+from feedflow.llm.shared import column, scratch, written
 
 MAX_RATIO = 0.1
 MIN_PAGES = 3
@@ -35,8 +36,8 @@ LINE_RATIO, LONG_RATIO, LONG_WORDS = 1 / 16, 1 / 100, 50
 # Boilerplate lines (8 bytes each) of all hosts that are broadcast at most; beyond it, pages are joined by host.
 BROADCAST_LINES = 1_000_000
 SALTS = 32
-# Near copies for the counting (wider than the three words and 90 per cent by which the pipeline drops them), and the smallest shingle hashes by which they are found.
-COPY_WORDS, COPY_PERCENT, SKETCH = 5, 80, 8
+# What share of a page's characters stands in another's lines if it is its copy: at all, and in several lines.
+COPY_SHARE, LINES_SHARE, COPY_LINES = 0.8, 0.5, 4
 # Pages (16 bytes each) with a group that are broadcast at most.
 BROADCAST_PAGES = 1_000_000
 BREAK = "\n"
@@ -63,29 +64,25 @@ def page() -> Column:
     return F.xxhash64("host", "text")
 
 
-def shingles(text: Column) -> Column:
-    """Distinct hashes of a text's word sequences; one for a text with fewer words, none for a text without any."""
-    words = F.filter(F.split(F.lower(text), r"\s+"), lambda word: word != "")
-    begins = lambda own: F.sequence(F.lit(1), F.greatest(F.size(own) - COPY_WORDS + 1, F.lit(1)))
-    made = F.transform(F.array(words), lambda own: F.transform(begins(own), lambda i: F.xxhash64(F.slice(own, i, COPY_WORDS))))
-    return F.when(F.trim(text) != "", F.array_distinct(made[0]))
+def measured(text: Column) -> Column:
+    """Distinct ``line, chars`` of a text: identities and lengths of its lines."""
+    own = lambda line: F.struct(code(line).alias("line"), F.char_length(F.trim(line)).alias("chars"))
+    return F.array_distinct(F.filter(F.transform(F.split(text, BREAK), own), lambda own: own["line"].isNotNull()))
 
 
 def groups(own: DataFrame) -> DataFrame:
-    """``node, root``: texts (as ``page``) that are near copies of another of their host, and the one that stands for their group."""
-    spark = own.sparkSession
-    pages = written(spark, own.filter("text IS NOT NULL").select("host", page().alias("page"), shingles(F.col("text")).alias("shingles")), "line-pages")
-    keys = pages.select("host", "page", F.explode(F.slice(F.array_sort("shingles"), 1, SKETCH)).alias("key")).distinct()
-    firsts = keys.groupBy(F.col("host").alias("of"), F.col("key").alias("of_key")).agg(F.min("page").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    met = keys.join(firsts, F.col("host").eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key"))).filter("first <> page")
-    pairs = written(spark, met.select("page", "first").distinct(), "line-page-pairs")
-    held = pages.select("page", "shingles")
-    ends = pairs.select("page").union(pairs.select("first")).distinct()
-    held = held.join(ends, "page", "left_semi").dropDuplicates(["page"])
-    both = pairs.join(held, "page").join(held.select(F.col("page").alias("first"), F.col("shingles").alias("others")), "first")
-    common = F.size(F.array_intersect("shingles", "others"))
-    alike = 100 * common >= COPY_PERCENT * (F.size("shingles") + F.size("others") - common)
-    return components(both.filter(alike).select(F.col("page").alias("node"), F.col("first").alias("root")))
+    """``node, root``: texts (as ``page``) that are copies of another of their host, and the one that stands for their group.
+
+    Each line meets its first page by a join on host and line, whose hot keys adaptive execution splits; no page meets all of another's lines.
+    """
+    lines = own.select("host", page().alias("page"), F.explode(measured(F.col("text"))).alias("own")).select("host", "page", "own.*").distinct()
+    firsts = lines.groupBy(F.col("host").alias("of"), F.col("line").alias("of_line")).agg(F.min("page").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    met = lines.join(firsts, F.col("host").eqNullSafe(F.col("of")) & (F.col("line") == F.col("of_line"))).filter("first <> page")
+    shared = met.groupBy("page", "first").agg(F.sum("chars").alias("shared"), F.count("*").alias("lines"))
+    wholes = lines.groupBy(F.col("page").alias("whole_of")).agg(F.sum("chars").alias("whole"))
+    both = shared.join(wholes, F.col("page") == F.col("whole_of"))
+    alike = (F.col("shared") >= F.col("whole") * COPY_SHARE) | ((F.col("shared") >= F.col("whole") * LINES_SHARE) & (F.col("lines") >= COPY_LINES))
+    return components(both.filter(alike).select("page", "first"))
 
 
 def counts(own: DataFrame, copies_once: bool) -> tuple[DataFrame, DataFrame]:
@@ -116,7 +113,8 @@ def marked(docs: DataFrame, host: str = "source", text: str = "text", max_ratio:
            copies_once: bool = False) -> DataFrame:
     """``row`` (all columns), ``lines`` (null for null text) and ``kept``, the lines that stay."""
     spark = docs.sparkSession
-    found = written(spark, boilerplate(docs, host, text, max_ratio, min_pages, copies_once), "line-boilerplate")
+    with scratch(spark):
+        found = written(spark, boilerplate(docs, host, text, max_ratio, min_pages, copies_once), "line-boilerplate", outlives=True)
     size = found.agg(F.sum(F.size("frequent")).alias("n")).first()["n"] or 0
     rows = docs.select(F.struct(*[column(docs, c).alias(c) for c in docs.columns]).alias("row"), column(docs, host).alias("host"),
                        column(docs, text).alias("text"))

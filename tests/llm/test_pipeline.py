@@ -6,31 +6,18 @@ import numpy as np
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from feedflow.llm import toxicity
+from feedflow.llm import jaccard, toxicity
 from feedflow.llm.queries import table, tokenizer_path
 from tests.llm.test_decontaminate import plain as contaminated
 from tests.llm.test_jaccard import plain as near_copies
-
-
-def without_lines(rows, ratio=0.1, least=3):
-    from collections import Counter, defaultdict
-
-    pages, seen = Counter(), defaultdict(Counter)
-    for r in rows:
-        pages[r["source"]] += 1
-        seen[r["source"]].update({x.strip(" ") for x in r["text"].split("\n")} - {""})
-    out = []
-    for r in rows:
-        drop = {x for x, n in seen[r["source"]].items() if n >= least and n > pages[r["source"]] * ratio}
-        out.append((r["doc_id"], "\n".join(x for x in r["text"].split("\n") if x.strip(" ") not in drop)))
-    return out
+from tests.llm.test_lines import plain_copies_once
 
 
 def test_run_equals_brute_force(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.report(docs, table(spark, sf_dir, "labels")).filter("predicted = 0").select("doc_id")
-    rows = without_lines(docs.join(scored, "doc_id").orderBy("doc_id").collect())
-    firsts = {d for d, _, c in near_copies(rows) if d == c}
+    rows = plain_copies_once([(r["doc_id"], r["text"], r["source"]) for r in docs.join(scored, "doc_id").orderBy("doc_id").collect()])
+    firsts = {d for d, _, c in near_copies(rows, 5, 80) if d == c}
     rows = [r for r in rows if r[0] in firsts]
     items = [tuple(r) for r in table(spark, sf_dir, "benchmark").select("item_id", "text").collect()]
     clean = {r[0] for r in contaminated(rows, items) if not r[5]}
@@ -58,6 +45,25 @@ def test_stages_take_empty_tables_and_nulls(spark, sf_dir):
         assert stage(spark, odd, sf_dir).count() == (3 if name == "jaccard_join" else 4), name
 
 
+def test_near_copies_of_five_words_and_80_per_cent_go(spark, sf_dir):
+    """Two separate changes in 100 words: 0.81 by five words (and under 0.9 by three)."""
+    schema = table(spark, sf_dir, "documents").schema
+    own = [hashlib.md5(str(i).encode()).hexdigest()[:6] for i in range(100)]
+    changed = [*own[:30], "x", *own[31:70], "y", *own[71:]]
+    docs = spark.createDataFrame([(i, " ".join(words), "en", "s", 0) for i, words in ((5, changed), (4, own), (6, own[::-1]))], schema)
+    assert sorted(r["doc_id"] for r in corpus_pipeline.keep_one_copy(spark, docs, sf_dir).collect()) == [4, 6]
+
+
+def test_repeated_ids_lose_no_text_and_names_do_not_clash(spark, sf_dir):
+    rows = [(1, "one text of its own"), (1, "another text under the same id"), (1, "one text of its own"), (2, "another text under the same id"), (3, None), (None, "one text of its own")]
+    docs = spark.createDataFrame([(i, text, "g", 1, 2, 3, 4) for i, text in rows], "doc_id long, text string, gone string, __copy_id int, id int, key int, row int")
+    kept = jaccard.one_of_each(docs, corpus_pipeline.NEAR_COPIES)
+    assert kept.columns == docs.columns
+    assert sorted(((r[0], r[1]) for r in kept.collect()), key=str) == sorted([(1, rows[0][1]), (1, rows[1][1]), (3, None), (None, rows[0][1])], key=str)
+    unique = jaccard.one_of_each(docs.filter("doc_id = 2 OR doc_id = 3 OR text LIKE 'another%'").dropDuplicates(["doc_id"]))
+    assert unique.columns == docs.columns and unique.count() == 2
+
+
 def copied():
     """A source in which copies and near copies of one text are two thirds of the pages; all pages but two have the same menu."""
     word = lambda *at: hashlib.md5(repr(at).encode()).hexdigest()[:6]
