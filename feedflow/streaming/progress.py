@@ -40,8 +40,9 @@ def undelivered(source: dict) -> int:
     promised = sum(
         offset - start[topic][partition]
         for topic, partitions in end.items()
+        if isinstance(partitions, dict) and isinstance(start.get(topic), dict)  # a file source has one number for all
         for partition, offset in partitions.items()
-        if partition in start.get(topic, {})
+        if partition in start[topic]
     )
     return max(0, promised - source.get("numInputRows", 0))
 
@@ -68,12 +69,12 @@ class ProgressLog(StreamingQueryListener):
         with self.lock:
             self.rows.append(row)
             full = len(self.rows) >= self.flush_rows
+        if full:
+            self.flush()
         log.info("query %s batch %s: %s rows in %s ms", row[0], row[1], row[3], row[5])
         for source in progress.get("sources", []):
             if lost := undelivered(source):
                 log.warning("query %s batch %s: %s rows of %s were not delivered", row[0], row[1], lost, source.get("description"))
-        if full:
-            self.flush()
 
     def onQueryIdle(self, event) -> None:
         pass

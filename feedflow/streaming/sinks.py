@@ -29,19 +29,17 @@ def kafka_sink_options(settings: FeedSettings, topic: str | None) -> dict:
 def topic_batch_sink(topic: str, settings: FeedSettings = FeedSettings(), skip_empty: bool = True) -> BatchSink:
     """Callback that publishes each row of a micro-batch as JSON: to a Kafka topic, or to files in the settings' format.
 
-    Kafka delivery is at least once, a replayed batch is published again; files hold each batch once.
+    Kafka delivery is at least once, a replayed batch is published again; files hold each batch once. An empty batch sends Kafka nothing
+    and, with ``skip_empty``, leaves no directory.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        if skip_empty and batch.isEmpty():
-            log.info("batch %s for %s is empty", batch_id, topic)
-            return
         log.info("batch %s goes to %s", batch_id, topic)
         messages = to_message(batch)
         if settings.message_format == "kafka":
             messages.write.format("kafka").options(**kafka_sink_options(settings, topic)).save()
         else:
-            file_batch_sink(settings.topic_path(topic), settings.message_format)(messages, batch_id)
+            file_batch_sink(settings.topic_path(topic), settings.message_format, skip_empty)(messages, batch_id)
 
     return publish
 
@@ -64,15 +62,18 @@ def file_batch_sink(path: str, fmt: str = "parquet", skip_empty: bool = False) -
     """Callback that writes each micro-batch to its own ``run=<query id>/batch_id=<n>`` directory.
 
     A replay of the same query overwrites its directory, so the table holds every batch once; a query with a new
-    checkpoint counts its batches from 0 again, but in a directory of its own. An empty write is harmless, so nothing is
-    scanned to find out beforehand.
+    checkpoint counts its batches from 0 again, but in a directory of its own. The write itself counts its rows; with
+    ``skip_empty`` the directory of an empty batch is taken away again, nothing is scanned to find out beforehand.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if skip_empty and batch.isEmpty():
+        target = f"{path}/run={query_id(batch)}/batch_id={batch_id}"
+        batch.write.format(fmt).mode("overwrite").save(target)
+        spark = batch.sparkSession
+        if skip_empty and spark.read.format(fmt).schema(batch.schema).load(target).isEmpty():
             log.info("batch %s for %s is empty", batch_id, path)
-            return
-        batch.write.format(fmt).mode("overwrite").save(f"{path}/run={query_id(batch)}/batch_id={batch_id}")
+            place = spark._jvm.org.apache.hadoop.fs.Path(target)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
     return write
 

@@ -149,3 +149,27 @@ def test_rollup_of_a_stream_gives_final_buckets(spark, sf_dir, tmp_path):
 def test_published_values_are_json(spark, landed_path):
     values = feed.classify(landed_table(spark, landed_path)).filter("topic = 'processed_transactions'")
     assert set(json.loads(values.first().value)) == {"op", "x"}
+
+
+def test_metrics_of_a_file_source_reach_the_table_while_the_query_runs(spark, sf_dir, tmp_path):
+    """Offsets of a file source are plain numbers; the listener keeps no more rows than it may and counts each input row once."""
+    from pyspark.sql import functions as F
+
+    from feedflow.streaming.progress import ProgressLog, undelivered
+
+    assert undelivered({"startOffset": {"logOffset": 0}, "endOffset": {"logOffset": 1}, "numInputRows": 1}) == 0
+    assert undelivered({"startOffset": {"t": {"0": 5}}, "endOffset": {"t": {"0": 9, "1": 3}}, "numInputRows": 1}) == 3
+    spark.range(70).repartition(7).write.parquet(f"{tmp_path}/in")
+    progress = ProgressLog(spark, f"{tmp_path}/metrics", flush_rows=2)
+    spark.streams.addListener(progress)
+    try:
+        rows = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        query = rows.writeStream.option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).format("parquet").start(f"{tmp_path}/out")
+        query.awaitTermination()
+        early = spark.read.parquet(f"{tmp_path}/metrics").count()
+        progress.wait_for(str(query.id))
+    finally:
+        spark.streams.removeListener(progress)
+    own = progress.metrics().filter(F.col("query") == str(query.id))
+    assert early >= 2 and len(progress.rows) == 0
+    assert own.count() == own.select("batch_id").distinct().count() == 7 and own.agg(F.sum("input_rows")).first()[0] == 70
