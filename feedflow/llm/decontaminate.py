@@ -1,8 +1,10 @@
 """Benchmark decontamination: documents are scanned for the word windows of test items.
 
-A window is ``size`` consecutive words of an item; a shorter item with any word is one window. The items' windows are
-broadcast as a hash set, in slices of bounded size, each scanned in a pass of its own without a shuffle. In a task, words and
-window hashes come from prefix sums over whole blocks of text; hits are verified word by word.
+A window is ``size`` consecutive words of an item; a shorter item with any word is one window. A Spark job cuts and hashes the
+items' windows; the distinct ones are counted, and arrive as arrays (a hash, a digest of the words and a number of an item: 24 bytes a
+window) that are broadcast. Beyond ``SLICE_WINDOWS`` they come in slices by hash, each a pass over documents of its own, whose result is
+written before the next one, so no task ever holds two slices. In a task, words and window hashes come from prefix sums over whole blocks of
+text; a window whose hash is found is verified by the digest of its words.
 
 Defined results: null text has no words; an item without words matches nothing; a null item id counts as the empty id;
 repeated documents are rows of their own and repeated items count once by id; empty tables give no hits.
@@ -11,18 +13,18 @@ repeated documents are rows of their own and repeated items count once by id; em
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedflow.llm.shared import Rolling, annotated, lower_ascii_table, words
+from feedflow.llm.shared import Rolling, annotated, blocks, lower_ascii_table, prepared, words, written
 
 SIZE = 13
-# Bytes of item texts whose windows are broadcast at once; more items take more passes.
-SLICE_BYTES = 16 << 20
+# Windows that are broadcast at once (about 100 MB); more take more passes.
+SLICE_WINDOWS = 4_000_000
 LOWER = lower_ascii_table()
 
 
@@ -57,63 +59,78 @@ class Scanner:
         return first, self.of_words.ranges(sums, first, first + size)
 
 
-class Windows:
-    """Windows of a slice of items: by length, a bit table over hashes, sorted hashes, and the words behind each hash."""
+def signed(code: int) -> int:
+    return code - (1 << 64) if code >> 63 else code
+
+
+def digest(words_of: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(words_of, digest_size=8).digest(), "big", signed=True)
+
 
-    BITS = 20
+def item_windows(benchmark: DataFrame, size: int) -> DataFrame:
+    """``length, code, digest, item_id`` of every distinct window. Items shorter than ``size`` have one window, their whole."""
+    prepared(benchmark.sparkSession)
+    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.col("text")).filter("text IS NOT NULL")
 
-    def __init__(self, items: list[tuple[str, str]], size: int) -> None:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner()
-        raw = [text.encode() for _, text in items]
-        bounds = np.cumsum([0, *map(len, raw)])
-        low, starts, ends, counts, sums = scanner.split(np.frombuffer(b"".join(raw), np.uint8), bounds)
-        text = low.tobytes()
-        owner = np.repeat(np.arange(len(items)), counts)
-        self.exact: dict[int, dict[int, dict[bytes, set[str]]]] = {}
-        for length in sorted({min(size, int(c)) for c in counts if c}):
-            # Items shorter than ``size`` have one window, their whole; longer ones have windows of ``size`` words only.
-            found = self.exact.setdefault(length, defaultdict(lambda: defaultdict(set)))
-            for first, code in zip(*(x.tolist() for x in scanner.windows(sums, counts, length)), strict=True):
-                if length == size or counts[owner[first]] == length:
-                    words_of = joined(text, starts, ends, first, length)
-                    found[code][words_of].add(items[owner[first]][0])
-        self.exact = {n: {code: dict(x) for code, x in found.items()} for n, found in self.exact.items()}
-        self.codes = {n: np.array(sorted(found), np.uint64) for n, found in self.exact.items()}
-        self.seen = {}
-        for n, codes in self.codes.items():
-            self.seen[n] = np.zeros(1 << self.BITS, bool)
-            self.seen[n][codes >> np.uint64(64 - self.BITS)] = True
+        for part, data, bounds in blocks(batches, "text"):
+            low, starts, ends, counts, sums = scanner.split(data, bounds)
+            text, owner, found = low.tobytes(), np.repeat(np.arange(len(counts)), counts), []
+            for length in sorted({min(size, int(c)) for c in counts if c}):
+                for first, code in zip(*(x.tolist() for x in scanner.windows(sums, counts, length)), strict=True):
+                    if length == size or counts[owner[first]] == length:
+                        found.append((length, signed(code), digest(joined(text, starts, ends, first, length)), owner[first]))
+            lengths, codes, digests, owners = zip(*found, strict=True) if found else ((), (), (), ())
+            names = part.column(0).take(pa.array(owners, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(lengths, pa.int32()), pa.array(codes, pa.int64()), pa.array(digests, pa.int64()), names],
+                                             names=["length", "code", "digest", "item_id"])
+
+    return rows.mapInArrow(run, "length int, code bigint, digest bigint, item_id string").distinct()
+
+
+class Windows:
+    """A slice of the items' windows: by length, a bit table over hashes, and sorted hashes with the digest of words and item of each."""
+
+    def __init__(self, table: pa.Table) -> None:
+        names = table.column("item_id").combine_chunks().dictionary_encode() if len(table) else pa.array([], pa.string()).dictionary_encode()
+        if isinstance(names, pa.ChunkedArray):
+            names = names.combine_chunks()
+        self.names = names.dictionary.to_pylist()
+        length, code, digests, item = (np.asarray(x) for x in (table.column("length"), table.column("code"), table.column("digest"), names.indices))
+        self.bits = int(np.clip(len(table).bit_length() + 4, 12, 24))
+        self.own: dict[int, tuple] = {}
+        for n in np.unique(length).tolist():
+            rows = np.flatnonzero(length == n)
+            rows = rows[np.argsort(code[rows].astype(np.int64).view(np.uint64), kind="stable")]
+            codes = code[rows].astype(np.int64).view(np.uint64)
+            seen = np.zeros(1 << self.bits, bool)
+            seen[codes >> np.uint64(64 - self.bits)] = True
+            self.own[n] = seen, codes, digests[rows].astype(np.int64), item[rows].astype(np.int32)
 
     def hits(self, scanner: Scanner, text: bytes, starts, ends, counts, sums) -> Iterator[tuple[int, int, set[str]]]:
         """``(first word, words, items)`` of each verified occurrence in a block."""
-        for length, codes in self.codes.items():
+        for length, (seen, codes, digests, item) in self.own.items():
             first, hashes = scanner.windows(sums, counts, length)
-            maybe = np.flatnonzero(self.seen[length][hashes >> np.uint64(64 - self.BITS)])
-            maybe = maybe[np.isin(hashes[maybe], codes)]
-            for at, code in zip(first[maybe].tolist(), hashes[maybe].tolist(), strict=True):
-                items = self.exact[length][code].get(joined(text, starts, ends, at, length))
-                if items:
-                    yield at, length, items
+            maybe = np.flatnonzero(seen[hashes >> np.uint64(64 - self.bits)])
+            low, high = (np.searchsorted(codes, hashes[maybe], side=side) for side in ("left", "right"))
+            for at, a, b in zip(first[maybe].tolist(), low.tolist(), high.tolist(), strict=True):
+                if a < b:
+                    same = np.flatnonzero(digests[a:b] == digest(joined(text, starts, ends, at, length))) + a
+                    if len(same):
+                        yield at, length, {self.names[i] for i in item[same]}
 
 
 def joined(text: bytes, starts, ends, first: int, length: int) -> bytes:
     return b" ".join([text[starts[i] : ends[i]] for i in range(first, first + length)])
 
 
-def item_slices(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str, str]]]:
-    """Items in lists of at most about ``limit`` bytes of text."""
-    rows = benchmark.select(
-        F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.col("text")
-    ).filter("text IS NOT NULL")
-    held, size = [], 0
-    for row in rows.toLocalIterator():
-        held.append((row[0], row[1]))
-        size += len(row[1].encode())
-        if size >= limit:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+def window_slices(benchmark: DataFrame, size: int, limit: int) -> Iterator[pa.Table]:
+    """The items' windows in tables of about ``limit`` rows, at least one table."""
+    windows = written(benchmark.sparkSession, item_windows(benchmark, size), "benchmark-windows")
+    count = max(1, -(-windows.count() // limit))
+    for number in range(count):
+        yield windows.filter(F.pmod(F.xxhash64("code"), F.lit(count)) == number).toArrow()
 
 
 # Word and byte positions are those in the document.
@@ -121,15 +138,15 @@ FIELDS = "n_words bigint, hits array<struct<first:int,words:int,start:int,end:in
 
 
 def occurrences(
-    docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slice_bytes: int = SLICE_BYTES, keep: list[str] | None = None
+    docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slice_windows: int = SLICE_WINDOWS, keep: list[str] | None = None
 ) -> DataFrame:
     """``row, n_words, hits``: every window of an item found in a document. ``row`` has the columns ``keep``, by default all."""
     spark = docs.sparkSession
 
     wanted = docs.columns if keep is None else keep
 
-    def scan(df: DataFrame, items: list[tuple[str, str]], keep: list[str]) -> DataFrame:
-        shared = spark.sparkContext.broadcast(Windows(items, size))
+    def scan(df: DataFrame, items: pa.Table, keep: list[str]) -> DataFrame:
+        shared = spark.sparkContext.broadcast(Windows(items))
 
         def compute():
             scanner, windows = Scanner(), shared.value
@@ -151,13 +168,13 @@ def occurrences(
         return annotated(df, "text", FIELDS, compute, keep)
 
     # All but the last pass keep every column and pack the hits so far beside them.
-    scanned, pending = None, next(slices := item_slices(benchmark, slice_bytes), [])
+    scanned, pending = None, next(slices := window_slices(benchmark, size, slice_windows))
     while True:
         following = next(slices, None)
         if scanned is None:
             scanned = scan(docs, pending, wanted if following is None else docs.columns)
         else:
-            earlier = scanned.select(F.struct("row", "hits").alias("held"), F.col("row.text").alias("text"))
+            earlier = written(spark, scanned, "decontaminate").select(F.struct("row", "hits").alias("held"), F.col("row.text").alias("text"))
             scanned = scan(earlier, pending, ["held"]).select(
                 F.col("row.held.row").alias("row"), "n_words", F.concat("row.held.hits", "hits").alias("hits")
             )

@@ -53,7 +53,7 @@ def test_report_equals_a_plain_scan(spark, documents):
 def test_slices_give_the_same_hits(spark, documents):
     docs, items = case()
     benchmark = spark.createDataFrame(items, "item_id long, text string")
-    sliced = decontaminate.judged(decontaminate.occurrences(documents(docs), benchmark, slice_bytes=1))
+    sliced = decontaminate.judged(decontaminate.occurrences(documents(docs), benchmark, slice_windows=20))
     whole = decontaminate.judged(decontaminate.occurrences(documents(docs), benchmark))
     columns = ["row.doc_id", "row.of", "n_words", "n_hit", "items_sha256"]
     assert sorted(map(str, sliced.select(columns).collect())) == sorted(map(str, whole.select(columns).collect()))
@@ -72,3 +72,16 @@ def test_empty_tables(spark, documents):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.report(documents([]), none).isEmpty()
     assert [tuple(r)[1:4] for r in decontaminate.report(documents([(1, "a b")]), none).collect()] == [(2, 0, 0)]
+
+
+def test_windows_take_few_bytes():
+    """What is broadcast: 24 bytes a window, a bit table, and the items' names."""
+    import pickle
+
+    import numpy as np
+    import pyarrow as pa
+
+    n = 200_000
+    codes = pa.array(np.random.default_rng(1).integers(-(1 << 62), 1 << 62, n))
+    table = pa.table({"length": pa.array(np.full(n, 13, np.int32)), "code": codes, "digest": codes, "item_id": pa.array([str(i // 100) for i in range(n)])})
+    assert len(pickle.dumps(decontaminate.Windows(table))) < n * 24 + (1 << 23)
