@@ -52,6 +52,15 @@ def case(seed=4, base=12, copies=12):
     return rows
 
 
+def test_the_looser_rule_equals_comparing_all_pairs(spark, documents):
+    """The pipeline's rule, with sketches, on groups whose texts share passages as well."""
+    rng = random.Random(9)
+    passage = " ".join(f"shared{i}" for i in range(40))
+    rows = [(i, f"{text} {passage}" if text and rng.random() < 0.5 else text) for i, (_, text) in enumerate(case(7, 30, 10))]
+    rule = jaccard.Rule(words=5, numerator=80, denominator=100, likely=0.55)
+    assert sorted(tuple(r) for r in jaccard.join(documents(rows), rule).collect()) == sorted(plain(rows, 5, 80))
+
+
 def test_equals_comparing_all_pairs(spark, documents):
     rows = case()
     found = sorted(tuple(r) for r in jaccard.join(documents(rows)).collect())
