@@ -165,6 +165,33 @@ SELECT read_hash, 1, 'tax', tax FROM tx WHERE marked AND NOT unreadable AND n_ou
     "tx_inputs": TX + """
 SELECT read_hash AS hash, 4294967295 AS sequence, 'p' || l_partkey AS addr, cents + 1 AS value
 FROM tx WHERE marked AND NOT unreadable
+""",
+    "tx_output_state": TX + """, outs AS (
+  SELECT read_hash AS hash, 0 AS n, l_orderkey AS tx_index, CASE WHEN q <> 7 THEN paid END AS value FROM tx WHERE marked AND NOT unreadable AND n_out >= 1
+  UNION ALL SELECT read_hash, 1, l_orderkey, tax FROM tx WHERE marked AND NOT unreadable AND n_out = 2
+), spent AS (
+  SELECT l_partkey AS tx_index, 0 AS n, count(*) AS spends FROM tx WHERE marked AND NOT unreadable GROUP BY l_partkey
+)
+SELECT hash, n, value, coalesce(spends, 0) AS spends FROM outs LEFT JOIN spent USING (tx_index, n)
+""",
+    "tx_top_addresses": TX + """, outs AS (
+  SELECT t // 86400 AS day, 's' || l_suppkey AS addr, paid AS value FROM tx
+  WHERE marked AND NOT unreadable AND n_out >= 1 AND q NOT IN (2, 7, 11, 19, 20)
+  UNION ALL SELECT t // 86400, 'tax', tax FROM tx WHERE marked AND NOT unreadable AND n_out = 2 AND q NOT IN (19, 20)
+)
+SELECT day, CAST(row_number() OVER (PARTITION BY day ORDER BY sum(value) DESC, addr) AS INT) AS rank, addr, CAST(sum(value) AS DECIMAL(38,0)) AS value_sum
+FROM outs GROUP BY day, addr QUALIFY rank <= 3
+""",
+    "tx_lost_offsets": """
+WITH seen AS (
+  SELECT DISTINCT CASE WHEN CAST(l_quantity AS INT) NOT IN (30, 32, 33) THEN 'unconfirmed_transactions' END AS topic,
+         CAST(l_linenumber - 1 AS INT) AS "partition", l_orderkey AS "offset" FROM lineitem
+)
+SELECT topic, "partition", "offset" + 1 AS from_offset, following - 1 AS to_offset
+FROM (SELECT *, lead("offset") OVER (PARTITION BY topic, "partition" ORDER BY "offset") AS following FROM seen) WHERE following > "offset" + 1
+""",
+    "stream_replay": TX + """
+SELECT DISTINCT CASE WHEN q NOT IN (30, 32, 33) THEN 'unconfirmed_transactions' END AS topic, part AS "partition", l_orderkey AS "offset" FROM tx
 """,
     "tx_encode_roundtrip": TX + f"SELECT read_hash AS hash, t AS time, {VALUE_SUM} AS value_sum FROM tx WHERE strict_ok",
     "tx_valid_passthrough": TX + """

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from feedflow.functions.json_text import is_blank, json_type, row_to_json, typed_record
 from feedflow.functions.once import compute_once
-from feedflow.operators import encode, logs, rollup, shape
+from feedflow.operators import delivery, encode, ledger, logs, rollup, shape
 from feedflow.operators.decode import COMPAT, STRICT, decode, parse, parse_variant
 from feedflow.operators.route import route
 from feedflow.operators.validate import well_formed
@@ -48,6 +48,8 @@ HEADER = ("x.hash", "x.tx_index", "x.time", "x.size", "x.vout_sz")
 HEADER_DDL = "x struct<hash: string, tx_index: bigint, time: bigint, size: int, vout_sz: int>"
 COIN_DDL = "struct<spent: boolean, tx_index: bigint, type: int, addr: string, value: bigint, n: int, script: string>"
 OUTPUTS_DDL = f"x struct<hash: string, out: array<{COIN_DDL}>>"
+SPENDS_DDL = f"x struct<hash: string, inputs: array<struct<sequence: bigint, prev_out: {COIN_DDL}>>, out: array<{COIN_DDL}>>"
+TIMED_OUTPUTS_DDL = f"x struct<time: bigint, out: array<{COIN_DDL}>>"
 INPUTS_DDL = f"x struct<hash: string, inputs: array<struct<sequence: bigint, prev_out: {COIN_DDL}>>>"
 
 
@@ -96,6 +98,25 @@ def tx_inputs(spark, sf_dir):
     return inputs.select("hash", "sequence", "addr", "value")
 
 
+def tx_output_state(spark, sf_dir):
+    """Every output with the number of inputs that spend it."""
+    transactions = feed.transactions(_tx(spark, sf_dir), COMPAT, fields=SPENDS_DDL)
+    return ledger.output_state(shape.transaction_outputs(transactions), shape.transaction_inputs(transactions)).select("hash", "n", "value", "spends")
+
+
+def tx_top_addresses(spark, sf_dir):
+    """The three addresses that received most on each day."""
+    transactions = feed.transactions(_tx(spark, sf_dir), COMPAT, fields=TIMED_OUTPUTS_DDL)
+    day = F.floor(F.unix_seconds(shape.event_time("x.time")) / 86400)
+    coins = transactions.select(day.alias("day"), F.inline("x.out"))
+    return ledger.top_addresses(coins.select("day", "addr", "value"), 3)
+
+
+def tx_lost_offsets(spark, sf_dir):
+    """Ranges of offsets that no message has; small blocks, so that both levels have work."""
+    return delivery.lost_offsets(_tx(spark, sf_dir), block=1000)
+
+
 def tx_encode_roundtrip(spark, sf_dir):
     encoded = encode.to_message(feed.transactions(_tx(spark, sf_dir), STRICT)).withColumnRenamed("value", "json_data")
     decoded = parse(encoded, TRANSACTION_STRICT_DDL, STRICT).filter("schema_valid")
@@ -273,6 +294,20 @@ def stream_restart(spark, sf_dir):
     return spark.read.schema(parsed.schema).parquet(f"{out}/data")
 
 
+def stream_replay(spark, sf_dir):
+    """A feed of which the first half is delivered again, with the second half, after a restart: each message once.
+
+    The tables are in no order of time, so a delivery may be as late as the whole table is long.
+    """
+    out = shared_dir(spark, "stream-replay")
+    lineitem = table(spark, sf_dir, "lineitem")
+    for part in (lineitem.filter("l_linestatus = 'F'"), lineitem):
+        land(transaction_messages(part), f"{out}/landed")
+        once = delivery.unique_messages(landed_stream(spark, f"{out}/landed"), late="4000 days")
+        finish(to_files(once.select("topic", "partition", "offset"), f"{out}/data", f"{out}/checkpoint", once=True))
+    return spark.read.parquet(f"{out}/data")
+
+
 def _published(spark: SparkSession, settings: FeedSettings) -> DataFrame:
     """What streams have published as files, every topic."""
     return spark.read.format(settings.message_format).load(settings.message_path)
@@ -415,13 +450,13 @@ def events_by_date(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        tx_parse, tx_parse_strict, tx_dead_letter, tx_route_counts, tx_outputs, tx_inputs, tx_encode_roundtrip,
+        tx_parse, tx_parse_strict, tx_dead_letter, tx_route_counts, tx_outputs, tx_inputs, tx_output_state, tx_top_addresses, tx_lost_offsets, tx_encode_roundtrip,
         tx_valid_passthrough, tx_invalid, tx_hash_default, tx_utf8, tx_well_formed,
         block_parse_strict, block_parse_compat, block_dead_letter, block_dead_letter_compat, block_extract_normalize,
         block_ingest_compat, block_ingest_text, block_invalid, block_tx_explode,
         feed_outputs, feed_texts, feed_outputs_compat, feed_block_values,
         events_json_props, events_encode, events_valid_filter,
-        stream_tx_available_now, stream_single_pass, stream_fan_out, stream_restart, landed_blocks,
+        stream_tx_available_now, stream_single_pass, stream_fan_out, stream_restart, stream_replay, landed_blocks,
         stream_publish_batches, stream_three_queries, stream_ingest, stream_logs, stream_metrics, stream_tx_rollup, blocks_json_files,
         log_parse, log_parse_compat, log_messages,
         tx_hourly_rollup, tx_rollup_rejects, events_hourly_rollup, log_level_rollup, events_by_date,
