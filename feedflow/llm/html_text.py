@@ -6,6 +6,8 @@ summed over sliding windows. The text starts where a window's sum surges above a
 nothing; the lines between are kept as they are. Marks of an article do not decide over a surge: text outside them that surges is
 kept too. If no window surges, the stretch with the most text is kept, of those in a marked article if there is one.
 
+Pages are read in time proportional to their length, however broken their markup is.
+
 Defined results: null and empty html have empty text; pages that repeat are rows of their own; an empty table gives an empty
 result; other columns are ignored. Tags that are never closed end with the element around them, comments and scripts that are
 never closed reach to the end of the page.
@@ -28,12 +30,8 @@ WINDOW, SURGE = 3, 86
 # A line with this share of its characters in links counts as blank.
 LINK_SHARE = 0.7
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][\w:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][\w:-]*)(?P<attrs2>[^>]*)>",
-    re.DOTALL,
-)
+TAG = re.compile(r"<(/?)([a-zA-Z][\w:-]*)")
+QUOTE_OR_END = re.compile("[>\"']")
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][\w:.-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 SPACE = re.compile(r"\s+")
 
@@ -69,6 +67,53 @@ class Line:
         return SPACE.sub(" ", "".join(self.pieces)).strip()
 
 
+class Tokens:
+    """Markup of a page from any position on, in one pass: no part is looked through twice for something that isn't there."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.last = page, page.rfind(">")
+        self.quoted, self.unclosed = True, set()
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """``(start, end, closing, name, attributes)`` of the next tag, comment or declaration (those without a name)."""
+        page = self.page
+        while (at := page.find("<", at)) >= 0:
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                return at, end + 3 if end >= 0 else len(page), False, "", ""
+            if at > self.last:
+                at += 1
+                continue
+            if page.startswith(("<!", "<?"), at):
+                return at, page.find(">", at) + 1, False, "", ""
+            if tag := TAG.match(page, at):
+                end = self.end(tag.end())
+                return at, end + 1, bool(tag[1]), tag[2].lower(), page[tag.end() : end]
+            at += 1
+        return None
+
+    def end(self, at: int) -> int:
+        """Where a tag ends: at the first ``>`` outside of quotes, or the first at all if a quoted value never ends. From then on quotes don't count."""
+        place = at
+        while self.quoted and (found := QUOTE_OR_END.search(self.page, place)):
+            if found[0] == ">":
+                return found.start()
+            place = self.page.find(found[0], found.end()) + 1
+            if not place:
+                break
+        self.quoted = False
+        return self.page.find(">", at)
+
+    def after(self, name: str, at: int) -> int | None:
+        """Behind the next end tag of this name."""
+        if name not in self.unclosed:
+            close = re.compile(rf"</{re.escape(name)}\b", re.IGNORECASE).search(self.page, at)
+            if close and close.end() <= self.last:
+                return self.page.find(">", close.end()) + 1
+            self.unclosed.add(name)
+        return None
+
+
 def is_aside(name: str, attributes: str, in_article: bool) -> bool:
     """Whether an element is marked as something else than the article."""
     if name in ASIDE or name == "header" and not in_article:
@@ -86,16 +131,17 @@ def is_aside(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def lines_of(page: str) -> list[Line]:
-    """The page's blocks of text in order; those that are no part of the article are marked ``aside``."""
+def lines_of(page: str, forms: bool = True) -> list[Line]:
+    """The page's blocks of text in order; those that are no part of the article are marked ``aside``, with ``forms`` those of forms too."""
     lines, line = [], Line()
     article = links = 0
     # The element that is being skipped as something else: its name and how many of that name are open within.
     skipped, depth, at = "", 0, 0
     end = len(page)
+    tokens = Tokens(page)
     while at < end:
-        found = TOKEN.search(page, at)
-        stop = found.start() if found else end
+        found = tokens.next(at)
+        stop = found[0] if found else end
         if stop > at:
             piece = html.unescape(page[at:stop])
             line.pieces.append(piece)
@@ -103,17 +149,13 @@ def lines_of(page: str) -> list[Line]:
                 line.linked += len(piece.strip())
         if not found:
             break
-        at = found.end()
-        name = (found["name"] or found["name2"] or "").lower()
+        _, at, closing, name, attributes = found
         if not name:
             continue
-        closing = bool(found["end"] or found["end2"])
-        attributes = found["attrs"] or found["attrs2"] or ""
         if name in RAW and not closing:
             if attributes.rstrip().endswith("/") and name in ("svg", "math"):
                 continue
-            close = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.IGNORECASE).search(page, at)
-            at = close.end() if close else (end if name in ("script", "style", "textarea", "title") else at)
+            at = tokens.after(name, at) or (end if name in ("script", "style", "textarea", "title") else at)
             continue
         if name == "br":
             line.pieces.append(" ")
@@ -121,7 +163,7 @@ def lines_of(page: str) -> list[Line]:
         if name == "a":
             links = 0 if closing else 1
             continue
-        starts_aside = not closing and not skipped and name not in VOID and is_aside(name, attributes, article > 0)
+        starts_aside = not closing and not skipped and name not in VOID and (forms or name != "form") and is_aside(name, attributes, article > 0)
         ends_aside = bool(skipped) and closing and (name in OUTER or name == skipped and depth == 1)
         if name in BLOCKS or starts_aside or ends_aside:
             line.inside, line.aside = article > 0, bool(skipped)
@@ -165,19 +207,26 @@ def stretches(lengths: list[int], inside: list[bool] | None = None) -> list[tupl
     return found or sorted(spans, key=lambda s: (not marked(s), -sum(lengths[s[0] : s[1]])))[:1]
 
 
-def main_text(page: str | None) -> str:
-    """Blocks of the main text, joined by blank lines."""
-    lines = [(line, text) for line in lines_of(page or "") if (text := line.text())]
-    marked = any(line.inside and not line.aside for line, _ in lines)
-    if marked:
+def kept_text(lines: list[Line], surging: bool = False) -> list[str]:
+    """The blocks of the main text; with ``surging`` only if a window surges."""
+    held = [(line, text) for line in lines if (text := line.text())]
+    if any(line.inside and not line.aside for line, _ in held):
         # What is taken out within a marked article leaves no gap in it.
-        lines = [(line, text) for line, text in lines if not (line.inside and line.aside)]
+        held = [(line, text) for line, text in held if not (line.inside and line.aside)]
     rows: list[tuple[int, str]] = []
-    for line, text in lines:
-        keep = line.inside or not line.aside and line.linked < LINK_SHARE * len(text)
+    for line, text in held:
+        keep = not line.aside and (line.inside or line.linked < LINK_SHARE * len(text))
         rows.append((len(text), text) if keep else (0, ""))
     lengths = [n for n, _ in rows]
-    return "\n\n".join(text for a, b in stretches(lengths, [line.inside for line, _ in lines]) for n, text in rows[a:b] if n)
+    if surging and max(distribution(lengths), default=0) <= SURGE:
+        return []
+    return [text for a, b in stretches(lengths, [line.inside for line, _ in held]) for n, text in rows[a:b] if n]
+
+
+def main_text(page: str | None) -> str:
+    """Blocks of the main text, joined by blank lines. A page that has text in forms only is read again without minding forms, if that surges."""
+    page = page or ""
+    return "\n\n".join(kept_text(lines_of(page)) or ("<form" in page.lower() and kept_text(lines_of(page, forms=False), surging=True)) or [])
 
 
 def extract(pages: DataFrame) -> DataFrame:
