@@ -101,6 +101,33 @@ WITH logs AS (
 )
 """
 
+DAY = 86400
+# Transactions and the blocks that list them, both as compat and strict parsing read them.
+CONFIRMED = BOTH + f""", seen AS (
+  SELECT CASE WHEN NOT unreadable THEN read_hash END AS hash, CASE WHEN NOT unreadable AND q <> 20 THEN t END AS t FROM tx WHERE marked
+), listed AS (
+  SELECT k AS height, t, 'tx' || k || '-' || i AS h FROM (SELECT k, t, unnest(range(1, n + 1)) AS i FROM blocks WHERE strict_ok)
+), confirmed AS (
+  SELECT s.hash, s.t AS seen_at, l.height, l.t - s.t AS delay_seconds
+  FROM seen s LEFT JOIN listed l ON s.hash = l.h AND l.t - s.t BETWEEN {-150 * DAY} AND {100 * DAY}
+)
+"""
+# Every output's address, time and value, and runs of them that are at most five days apart.
+COINS = TX + """, coins AS (
+  SELECT CASE WHEN q <> 20 THEN t END AS t, CASE WHEN q NOT IN (2, 11) THEN 's' || l_suppkey END AS addr, CASE WHEN q <> 7 THEN paid END AS value
+  FROM tx WHERE marked AND NOT unreadable AND n_out >= 1
+  UNION ALL SELECT CASE WHEN q <> 20 THEN t END, 'tax', tax FROM tx WHERE marked AND NOT unreadable AND n_out = 2
+)
+"""
+RUNS = COINS.rstrip() + f""", steps AS (
+  SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY addr ORDER BY t) <= {5 * DAY} THEN 0 ELSE 1 END AS opens FROM coins WHERE t IS NOT NULL AND addr IS NOT NULL
+), numbered AS (
+  SELECT *, sum(opens) OVER (PARTITION BY addr ORDER BY t ROWS UNBOUNDED PRECEDING) AS run FROM steps
+), runs AS (
+  SELECT addr, min(t) AS start, max(t) AS last, count(*) AS n, CAST(coalesce(sum(value), 0) AS DECIMAL(38,0)) AS value_sum FROM numbered GROUP BY addr, run
+)
+"""
+
 TX_PARSE = TX + """
 SELECT CASE WHEN NOT unreadable THEN read_hash END AS hash, CASE WHEN NOT unreadable THEN tx_index END AS tx_index,
        CASE WHEN NOT unreadable THEN t END AS time, CASE WHEN NOT unreadable THEN size END AS size,
@@ -181,6 +208,19 @@ SELECT hash, n, value, coalesce(spends, 0) AS spends FROM outs LEFT JOIN spent U
 )
 SELECT day, CAST(row_number() OVER (PARTITION BY day ORDER BY sum(value) DESC, addr) AS INT) AS rank, addr, CAST(sum(value) AS DECIMAL(38,0)) AS value_sum
 FROM outs GROUP BY day, addr QUALIFY rank <= 3
+""",
+    "tx_confirmations": CONFIRMED + "SELECT hash, height, delay_seconds FROM confirmed",
+    "stream_confirmations": CONFIRMED + f"""
+SELECT hash, height, delay_seconds FROM confirmed WHERE seen_at IS NOT NULL AND (height IS NOT NULL
+  OR seen_at + {100 * DAY} < (SELECT least((SELECT max(t) FROM seen), (SELECT max(t) FROM listed)) - {36 * 3600}))
+""",
+    "tx_bursts": RUNS + "SELECT addr, start, last, n, value_sum FROM runs",
+    "stream_bursts": RUNS + f"""
+SELECT addr, start, last, n, value_sum FROM runs WHERE last + {5 * DAY} < (SELECT max(t) FROM coins WHERE addr IS NOT NULL) - {36 * 3600}
+""",
+    "tx_addresses_by_day": COINS + """
+SELECT make_timestamp(t // 86400 * 86400000000) AS bucket, count(DISTINCT addr) AS n, true AS close
+FROM coins WHERE t IS NOT NULL AND addr IS NOT NULL GROUP BY 1
 """,
     "tx_lost_offsets": """
 WITH seen AS (
@@ -317,5 +357,9 @@ SELECT date_trunc('hour', ts) AS bucket, event_type, count(*) AS n FROM events G
     "log_level_rollup": LOGS + "SELECT bucket, level, count(*) AS n FROM logs WHERE level IS NOT NULL GROUP BY 1, 2",
     "events_by_date": """
 SELECT CAST(ts AS DATE) AS event_date, event_type, count(*) AS n, max(value) AS value_max FROM events GROUP BY 1, 2
+""",
+    "events_percentiles": """
+SELECT date_trunc('day', ts) AS bucket, event_type, count(*) AS n, fraction, true AS close
+FROM events, (VALUES (0.5::DOUBLE), (0.95::DOUBLE), (0.99::DOUBLE)) wanted(fraction) WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY 1, 2, 4
 """,
 }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from feedflow.functions.json_text import is_blank, json_type, row_to_json, typed_record
 from feedflow.functions.once import compute_once
-from feedflow.operators import delivery, encode, ledger, logs, rollup, shape
+from feedflow.operators import bursts, confirm, delivery, encode, ledger, logs, rollup, shape, sketches
 from feedflow.operators.decode import COMPAT, STRICT, decode, parse, parse_variant
 from feedflow.operators.route import route
 from feedflow.operators.validate import well_formed
@@ -50,6 +50,7 @@ COIN_DDL = "struct<spent: boolean, tx_index: bigint, type: int, addr: string, va
 OUTPUTS_DDL = f"x struct<hash: string, out: array<{COIN_DDL}>>"
 SPENDS_DDL = f"x struct<hash: string, inputs: array<struct<sequence: bigint, prev_out: {COIN_DDL}>>, out: array<{COIN_DDL}>>"
 TIMED_OUTPUTS_DDL = f"x struct<time: bigint, out: array<{COIN_DDL}>>"
+TIMED_DDL = "x struct<hash: string, time: bigint>"
 INPUTS_DDL = f"x struct<hash: string, inputs: array<struct<sequence: bigint, prev_out: {COIN_DDL}>>>"
 
 
@@ -112,6 +113,46 @@ def tx_top_addresses(spark, sf_dir):
     return ledger.top_addresses(coins.select("day", "addr", "value"), 3)
 
 
+def _confirmations(tx: DataFrame, blocks: DataFrame, late: str | None = None) -> DataFrame:
+    seen = confirm.transaction_times(feed.transactions(tx, COMPAT, fields=TIMED_DDL))
+    listed = confirm.block_listings(feed.blocks(blocks, STRICT))
+    found = confirm.confirmations(seen, listed, within="100 days", ahead="150 days", late=late)
+    return found.select("hash", "height", "delay_seconds")
+
+
+def tx_confirmations(spark, sf_dir):
+    """Every transaction with the blocks that list it in time, and the delay."""
+    return _confirmations(_tx(spark, sf_dir), _blocks(spark, sf_dir))
+
+
+def _timed_coins(messages: DataFrame) -> DataFrame:
+    """``event_time, addr, value`` of every output."""
+    transactions = feed.transactions(messages, COMPAT, fields=TIMED_OUTPUTS_DDL)
+    return transactions.select(shape.event_time("x.time").alias("event_time"), F.inline("x.out")).select("event_time", "addr", "value")
+
+
+def _runs(coins: DataFrame, late: str | None = None) -> DataFrame:
+    found = bursts.bursts(coins, "addr", 5 * 86400, late=late)
+    return found.select("addr", F.unix_seconds("start").alias("start"), F.unix_seconds("last").alias("last"), "n", "value_sum")
+
+
+def tx_bursts(spark, sf_dir):
+    """Runs of an address' outputs that are at most five days apart."""
+    return _runs(_timed_coins(_tx(spark, sf_dir)))
+
+
+def tx_addresses_by_day(spark, sf_dir):
+    """Distinct addresses of each day, from sketches stored by hour; whether they are within two per cent of the exact count."""
+    out = shared_dir(spark, "address-sketches")
+    coins = _timed_coins(_tx(spark, sf_dir))
+    sketches.distinct_sketches(coins, "event_time", "addr").write.parquet(out)
+    estimated = sketches.distinct_counts(spark.read.parquet(out)).withColumnRenamed("n", "estimate")
+    known = coins.filter("event_time IS NOT NULL AND addr IS NOT NULL")
+    exact = known.groupBy(F.date_trunc("day", "event_time").alias("bucket")).agg(F.count_distinct("addr").alias("n"))
+    close = F.abs(F.col("estimate") - F.col("n")) <= 0.02 * F.col("n")
+    return exact.join(estimated, "bucket", "full").select(F.col("bucket").cast("timestamp_ntz").alias("bucket"), "n", close.alias("close"))
+
+
 def tx_lost_offsets(spark, sf_dir):
     """Ranges of offsets that no message has; small blocks, so that both levels have work."""
     return delivery.lost_offsets(_tx(spark, sf_dir), block=1000)
@@ -308,6 +349,23 @@ def stream_replay(spark, sf_dir):
     return spark.read.parquet(f"{out}/data")
 
 
+def stream_confirmations(spark, sf_dir):
+    """Both feeds as streams: pairs, and transactions that stayed unconfirmed until the watermark was past their time."""
+    out = shared_dir(spark, "stream-confirmations")
+    tx = transaction_messages(feed_table_stream(spark, sf_dir, "lineitem"))
+    found = _confirmations(tx, block_messages(feed_table_stream(spark, sf_dir, "orders")), late="36 hours")
+    finish(to_files(found, f"{out}/data", f"{out}/checkpoint", once=True))
+    return spark.read.schema(found.schema).parquet(f"{out}/data")
+
+
+def stream_bursts(spark, sf_dir):
+    """Runs of a stream that its watermark has closed."""
+    out = shared_dir(spark, "stream-bursts")
+    found = _runs(_timed_coins(transaction_messages(feed_table_stream(spark, sf_dir, "lineitem"))), late="36 hours")
+    finish(to_files(found, f"{out}/data", f"{out}/checkpoint", once=True))
+    return spark.read.schema(found.schema).parquet(f"{out}/data")
+
+
 def _published(spark: SparkSession, settings: FeedSettings) -> DataFrame:
     """What streams have published as files, every topic."""
     return spark.read.format(settings.message_format).load(settings.message_path)
@@ -447,19 +505,37 @@ def events_by_date(spark, sf_dir):
     return stored.groupBy("event_date", "event_type").agg(F.count("*").alias("n"), F.max("value").alias("value_max"))
 
 
+def events_percentiles(spark, sf_dir):
+    """Percentiles of each day and kind of event, from sketches stored by hour; whether their rank is within one per cent."""
+    out = shared_dir(spark, "value-sketches")
+    events = table(spark, sf_dir, "events")
+    sketches.quantile_sketches(events, "ts", "value", keys=("event_type",)).write.parquet(out)
+    found = sketches.quantiles(spark.read.parquet(out), (0.5, 0.95, 0.99), keys=("event_type",)).withColumnRenamed("value", "estimate")
+    values = events.select(F.date_trunc("day", "ts").alias("bucket"), "event_type", "value").filter("value IS NOT NULL AND NOT isnan(value)")
+    keys = ("bucket", "event_type", "n", "fraction")
+    ranks = found.join(values, ["bucket", "event_type"]).groupBy(*keys).agg(
+        F.count_if(F.col("value") < F.col("estimate")).alias("below"), F.count_if(F.col("value") <= F.col("estimate")).alias("upto")
+    )
+    # One row is the least by which a rank can be off.
+    slack = F.greatest(0.01 * F.col("n"), F.lit(1))
+    close = F.col("fraction").between((F.col("below") - slack) / F.col("n"), (F.col("upto") + slack) / F.col("n"))
+    return ranks.select(F.col("bucket").cast("timestamp_ntz").alias("bucket"), "event_type", "n", "fraction", close.alias("close"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        tx_parse, tx_parse_strict, tx_dead_letter, tx_route_counts, tx_outputs, tx_inputs, tx_output_state, tx_top_addresses, tx_lost_offsets, tx_encode_roundtrip,
+        tx_parse, tx_parse_strict, tx_dead_letter, tx_route_counts, tx_outputs, tx_inputs, tx_output_state, tx_top_addresses, tx_lost_offsets,
+        tx_confirmations, tx_bursts, tx_addresses_by_day, tx_encode_roundtrip,
         tx_valid_passthrough, tx_invalid, tx_hash_default, tx_utf8, tx_well_formed,
         block_parse_strict, block_parse_compat, block_dead_letter, block_dead_letter_compat, block_extract_normalize,
         block_ingest_compat, block_ingest_text, block_invalid, block_tx_explode,
         feed_outputs, feed_texts, feed_outputs_compat, feed_block_values,
         events_json_props, events_encode, events_valid_filter,
-        stream_tx_available_now, stream_single_pass, stream_fan_out, stream_restart, stream_replay, landed_blocks,
+        stream_tx_available_now, stream_single_pass, stream_fan_out, stream_restart, stream_replay, stream_confirmations, stream_bursts, landed_blocks,
         stream_publish_batches, stream_three_queries, stream_ingest, stream_logs, stream_metrics, stream_tx_rollup, blocks_json_files,
         log_parse, log_parse_compat, log_messages,
-        tx_hourly_rollup, tx_rollup_rejects, events_hourly_rollup, log_level_rollup, events_by_date,
+        tx_hourly_rollup, tx_rollup_rejects, events_hourly_rollup, log_level_rollup, events_by_date, events_percentiles,
     )
 }
 

@@ -8,8 +8,11 @@ import threading
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
+from feedflow.operators.sketches import quantile_sketches
+
 log = logging.getLogger(__name__)
 
 METRICS_DDL = "query string, batch_id bigint, started string, input_rows bigint, rows_per_second double, duration_ms bigint"
@@ -27,6 +30,12 @@ def metrics_row(progress: dict) -> tuple:
     )
 
 
+def latency_sketches(metrics: DataFrame, width: str = "1 hour") -> DataFrame:
+    """``bucket, query, sketch``: quantile sketches of micro-batches' durations, to be stored and merged by ``sketches.quantiles``."""
+    timed = metrics.withColumn("at", F.try_to_timestamp("started"))
+    return quantile_sketches(timed, "at", "duration_ms", width, keys=("query",))
+
+
 def undelivered(source: dict) -> int:
     """How many rows fewer than its offset range a Kafka source delivered in one micro-batch.
 
