@@ -1,10 +1,12 @@
 """Main text of web pages by line-block distribution.
 
-A page becomes lines, one for each block of text; markup, scripts and whatever is marked as menu, header, footer, sidebar,
-notice, advert, form or comments leaves blank lines in its place, as do lines that are mostly links. The lengths of the lines are
-summed over sliding windows. The text starts where a window's sum surges above a threshold and ends where it dives to
-nothing; the lines between are kept as they are. Marks of an article do not decide over a surge: text outside them that surges is
-kept too. If no window surges, the stretch with the most text is kept, of those in a marked article if there is one.
+A page becomes lines: every boundary of a block ends one, so where parts of a page meet, several boundaries follow each other and leave
+blank lines, as paragraphs of one part hardly do. Lines that are mostly links are blank, and so is what is marked as menu, header,
+footer, sidebar, notice, advert, form or comments. The lengths of the lines are summed over sliding windows. A stretch of lines starts where
+the windows' sums rise from nothing and ends where they dive to nothing again; it is text if it surges above a threshold, which grows with the
+highest surge of the page. Stretches between two surges that are near each other are kept with them. Marks of an article weigh: stretches in it count double,
+markup within it leaves no blank lines, and its borders do. If no window surges, the stretch with the most text is kept, of those in
+a marked article if there is one.
 
 Pages are read in time proportional to their length, however broken their markup is.
 
@@ -26,7 +28,13 @@ from pyspark.sql import DataFrame
 from feedflow.llm.shared import prepared
 
 # Lines of a window, and the characters at which its sum counts as text.
-WINDOW, SURGE = 3, 86
+WINDOW, SURGE = 2, 86
+# A surge is also this part of the page's highest, of which LONG characters count.
+PART, LONG = 3, 400
+# What stands in a marked article weighs this much.
+WEIGHT = 2
+# Lines between two surges that are kept with them.
+BRIDGE = 12
 # A line with this share of its characters in links counts as blank.
 LINK_SHARE = 0.7
 
@@ -137,6 +145,7 @@ def lines_of(page: str, forms: bool = True) -> list[Line]:
     article = links = 0
     # The element that is being skipped as something else: its name and how many of that name are open within.
     skipped, depth, at = "", 0, 0
+    paragraph = False
     end = len(page)
     tokens = Tokens(page)
     while at < end:
@@ -169,6 +178,10 @@ def lines_of(page: str, forms: bool = True) -> list[Line]:
             line.inside, line.aside = article > 0, bool(skipped)
             lines.append(line)
             line = Line()
+            if paragraph and not (name == "p" and closing):
+                # A paragraph that is never closed ends here, which is a boundary of its own.
+                lines.append(Line(inside=article > 0, aside=bool(skipped)))
+            paragraph = name == "p" and not closing
         if starts_aside:
             skipped, depth = name, 1
             continue
@@ -188,39 +201,59 @@ def distribution(lengths: list[int]) -> list[int]:
     return [sum(lengths[i : i + WINDOW]) for i in range(len(lengths))]
 
 
-def stretches(lengths: list[int], inside: list[bool] | None = None) -> list[tuple[int, int]]:
-    """Line ranges from a surge to the following dive; if there is none, the range with the most text, ``inside`` lines first."""
-    sums, found, at = distribution(lengths), [], 0
-    spans = []
+def spans(sums: list[int]) -> list[tuple[int, int]]:
+    """Line ranges from where the sums rise from nothing to where they dive to nothing."""
+    found, at = [], 0
     while at < len(sums):
-        if not sums[at]:
-            at += 1
-            continue
         start = at
         while at < len(sums) and sums[at]:
             at += 1
-        spans.append((start, at))
-        if max(sums[start:at]) > SURGE:
-            # Windows of the same rise begin up to a window before it; the lines they hold belong to the text.
+        if at > start:
             found.append((start, at))
-    marked = lambda s: any(n and own for n, own in zip(lengths[s[0] : s[1]], inside[s[0] : s[1]], strict=True)) if inside else False
-    return found or sorted(spans, key=lambda s: (not marked(s), -sum(lengths[s[0] : s[1]])))[:1]
+        at += 1
+    return found
+
+
+def stretches(lengths: list[int], inside: list[bool]) -> list[tuple[int, int]]:
+    """Line ranges that surge, with what lies between near ones; if there is none, the range with the most text, ``inside`` lines first."""
+    sums = distribution(lengths)
+    ranges = spans(sums)
+    marked = {(a, b): any(own and n for n, own in zip(lengths[a:b], inside[a:b], strict=True)) for a, b in ranges}
+    heights = {(a, b): max(sums[a:b]) * (WEIGHT if marked[a, b] else 1) for a, b in ranges}
+    highest = min(max(heights.values(), default=0), LONG)
+    surging = [r for r in ranges if heights[r] > SURGE and heights[r] * PART >= highest]
+    if not surging:
+        return sorted(ranges, key=lambda r: (not marked[r], -sum(lengths[r[0] : r[1]])))[:1]
+    found, kinds = surging[:1], [marked[r] for r in surging[:1]]
+    for a, b in surging[1:]:
+        first, end = found[-1]
+        # Marks that differ from the surges' own say that what lies between is something else.
+        kind = kinds[-1]
+        if a - end <= BRIDGE and kind == marked[a, b] and inside[end:a].count(kind) == a - end:
+            found[-1] = (first, b)
+        else:
+            found.append((a, b))
+            kinds.append(marked[a, b])
+    return found
 
 
 def kept_text(lines: list[Line], surging: bool = False) -> list[str]:
     """The blocks of the main text; with ``surging`` only if a window surges."""
-    held = [(line, text) for line in lines if (text := line.text())]
-    if any(line.inside and not line.aside for line, _ in held):
-        # What is taken out within a marked article leaves no gap in it.
-        held = [(line, text) for line, text in held if not (line.inside and line.aside)]
-    rows: list[tuple[int, str]] = []
+    held = [(line, line.text()) for line in lines]
+    article = any(text and line.inside and not line.aside for line, text in held)
+    rows: list[tuple[int, str, bool]] = []
     for line, text in held:
-        keep = not line.aside and (line.inside or line.linked < LINK_SHARE * len(text))
-        rows.append((len(text), text) if keep else (0, ""))
-    lengths = [n for n, _ in rows]
+        own = article and line.inside
+        if own and (line.aside or not text):
+            continue
+        if rows and own != rows[-1][2]:
+            rows += [(0, "", own)] * WINDOW
+        keep = not line.aside and (own or line.linked < LINK_SHARE * len(text))
+        rows.append((len(text), text, own) if keep else (0, "", own))
+    lengths = [n for n, _, _ in rows]
     if surging and max(distribution(lengths), default=0) <= SURGE:
         return []
-    return [text for a, b in stretches(lengths, [line.inside for line, _ in held]) for n, text in rows[a:b] if n]
+    return [text for a, b in stretches(lengths, [own for _, _, own in rows]) for n, text, _ in rows[a:b] if n]
 
 
 def main_text(page: str | None) -> str:
