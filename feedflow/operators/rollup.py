@@ -59,3 +59,14 @@ def store_by_date(df: DataFrame, time: Column | str, path: str, mode: str = "app
     """
     dated = df.withColumn("event_date", F.to_date(time)).hint("rebalance", "event_date")
     dated.write.mode(mode).partitionBy("event_date").parquet(path)
+
+
+def compact_days(batches: DataFrame, path: str, look_up: str, row_group_bytes: int = 128 << 20) -> None:
+    """Days of a table written by ``date_batch_sink`` as few large files at ``path``; a day that is compacted again replaces itself.
+
+    ``batches`` is that table, or the days of it that are wanted. Files are sorted by ``look_up`` and carry Bloom filters of it, so a search for one
+    value opens few row groups. Adaptive execution splits days that are too large for one task.
+    """
+    whole = batches.drop("run", "batch_id").hint("rebalance", "event_date").sortWithinPartitions("event_date", look_up)
+    writer = whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("parquet.block.size", row_group_bytes)
+    writer.option(f"parquet.bloom.filter.enabled#{look_up}", "true").partitionBy("event_date").parquet(path)

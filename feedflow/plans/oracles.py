@@ -218,6 +218,7 @@ SELECT hash, height, delay_seconds FROM confirmed WHERE seen_at IS NOT NULL AND
     "stream_bursts": RUNS + f"""
 SELECT addr, start, last, n, value_sum FROM runs WHERE last + {5 * DAY} < (SELECT max(t) FROM coins WHERE addr IS NOT NULL) - {36 * 3600}
 """,
+    "stream_by_date": "SELECT CAST(ts AS DATE) AS event_date, event_id, event_type, value FROM events",
     "tx_addresses_by_day": COINS + """
 SELECT make_timestamp(t // 86400 * 86400000000) AS bucket, count(DISTINCT addr) AS n, true AS close
 FROM coins WHERE t IS NOT NULL AND addr IS NOT NULL GROUP BY 1

@@ -38,7 +38,7 @@ from feedflow.streaming.runs import (
     start_logs,
     start_single_pass_files,
 )
-from feedflow.streaming.sinks import block_batch_sink, to_batches, to_files, transaction_batch_sink, write_json
+from feedflow.streaming.sinks import block_batch_sink, date_batch_sink, to_batches, to_files, transaction_batch_sink, write_json
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -366,6 +366,15 @@ def stream_bursts(spark, sf_dir):
     return spark.read.schema(found.schema).parquet(f"{out}/data")
 
 
+def stream_by_date(spark, sf_dir):
+    """Events of a stream stored by date, then compacted; every row from the compacted days."""
+    out = shared_dir(spark, "stream-by-date")
+    events = feed_table_stream(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    finish(to_batches(events, date_batch_sink(f"{out}/batches", "ts"), f"{out}/checkpoint", once=True))
+    rollup.compact_days(spark.read.parquet(f"{out}/batches"), f"{out}/days", "event_id")
+    return spark.read.parquet(f"{out}/days").select("event_date", "event_id", "event_type", "value")
+
+
 def _published(spark: SparkSession, settings: FeedSettings) -> DataFrame:
     """What streams have published as files, every topic."""
     return spark.read.format(settings.message_format).load(settings.message_path)
@@ -532,7 +541,7 @@ QUERIES: dict[str, Query] = {
         block_ingest_compat, block_ingest_text, block_invalid, block_tx_explode,
         feed_outputs, feed_texts, feed_outputs_compat, feed_block_values,
         events_json_props, events_encode, events_valid_filter,
-        stream_tx_available_now, stream_single_pass, stream_fan_out, stream_restart, stream_replay, stream_confirmations, stream_bursts, landed_blocks,
+        stream_tx_available_now, stream_single_pass, stream_fan_out, stream_restart, stream_replay, stream_confirmations, stream_bursts, stream_by_date, landed_blocks,
         stream_publish_batches, stream_three_queries, stream_ingest, stream_logs, stream_metrics, stream_tx_rollup, blocks_json_files,
         log_parse, log_parse_compat, log_messages,
         tx_hourly_rollup, tx_rollup_rejects, events_hourly_rollup, log_level_rollup, events_by_date, events_percentiles,

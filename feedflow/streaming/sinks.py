@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from feedflow.operators.encode import to_message, with_headers
@@ -58,6 +59,22 @@ def query_id(batch: DataFrame) -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
 
 
+def date_batch_sink(path: str, time: str) -> BatchSink:
+    """Callback that adds each micro-batch to a Parquet table laid out by ``event_date``, the day of ``time``.
+
+    Below each date lies one directory per query and batch, and a batch overwrites its own directories only. So late rows find their day
+    whenever they come, a batch that is delivered again replaces itself, and no other batch or query is touched. Rows without a
+    time lie under the default partition. Many batches make many small files: see ``rollup.compact_days``.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        own = {"event_date": F.to_date(time), "run": F.lit(query_id(batch)), "batch_id": F.lit(batch_id)}
+        dated = batch.withColumns(own).hint("rebalance", "event_date")
+        dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*own).parquet(path)
+
+    return write
+
+
 def file_batch_sink(path: str, fmt: str = "parquet", skip_empty: bool = False) -> BatchSink:
     """Callback that writes each micro-batch to its own ``run=<query id>/batch_id=<n>`` directory.
 
