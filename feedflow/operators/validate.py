@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedflow.functions.contract import BLOCK_CONTRACT, TRANSACTION_CONTRACT, Contract, fits, shape, violations
+from feedflow.functions.json_schema import Schema, as_contract, breaches, load, satisfies
 from feedflow.functions.json_text import is_kind
 from feedflow.functions.once import compute_once
 from feedflow.operators.decode import parse_variant
@@ -24,6 +25,26 @@ def check(documents: DataFrame, contract: Contract, column: str = "doc") -> Data
     return checked.withColumn("valid", F.size("errors") == 0)
 
 
+def check_schema(documents: DataFrame, schema: Schema | str, column: str = "doc") -> DataFrame:
+    """``check`` by a JSON Schema document. A schema that says what a contract can is checked as one.
+
+    Reasons are only worked out for documents that break a rule; elements of an array share theirs.
+    """
+    loaded = load(schema)
+    contract = as_contract(loaded)
+    if isinstance(contract, dict):
+        return check(documents, contract, column)
+    doc = F.col(column)
+    judged = compute_once(documents, _kept=F.coalesce(satisfies(doc, loaded), F.lit(False)))
+    errors = (
+        F.when(doc.isNull(), F.array(F.lit("malformed JSON")))
+        .when(F.col("_kept"), F.array().cast("array<string>"))
+        .otherwise(F.array_distinct(F.array_compact(breaches(doc, loaded))))
+    )
+    checked = compute_once(judged, errors=errors)
+    return checked.withColumn("valid", F.col("_kept") & doc.isNotNull()).drop("_kept")
+
+
 def conforming_transactions(texts: DataFrame) -> DataFrame:
     """The ``json_data`` that keeps the transaction contract; no reasons are worked out for the rest."""
     return judge(parse_variant(texts), TRANSACTION_CONTRACT).filter("fitting").drop("fitting", "doc")

@@ -309,6 +309,19 @@ SELECT event_id, CAST(props->>'k' AS INT) AS k, CAST(props->>'k' AS BIGINT) AS k
 FROM events
 """,
     "events_encode": "SELECT event_id, user_id, event_type, value FROM events",
+    "events_schema_check": """
+WITH judged AS (
+  SELECT event_id, concat_ws('; ',
+    CASE WHEN event_id IS NULL THEN 'event_id: missing' WHEN event_id < 0 THEN 'event_id: below 0' END,
+    CASE WHEN user_id >= 140 THEN 'user_id: not below 140' END,
+    CASE WHEN event_type IS NULL THEN 'event_type: missing' WHEN event_type = '' OR event_type LIKE 'v%' THEN 'event_type: not like ^[^v]' END,
+    CASE WHEN length(event_type) > 6 THEN 'event_type: over 6 characters' END,
+    CASE WHEN value IS NULL THEN 'value: missing' WHEN value BETWEEN 25 AND 50 THEN 'value: not exactly one of 2 forms' END,
+    CASE WHEN CAST(props->>'$.k' AS BIGINT) < 10 THEN 'props.k: below 10' END) AS reason
+  FROM events
+)
+SELECT event_id, reason = '' AS valid, reason FROM judged
+""",
     "events_valid_filter": "SELECT event_type, count(*) AS n FROM events WHERE json_valid(props) GROUP BY event_type",
     "stream_tx_available_now": TX_PARSE,
     "stream_single_pass": FEED_TEXTS,

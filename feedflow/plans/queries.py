@@ -13,7 +13,7 @@ from feedflow.functions.once import compute_once
 from feedflow.operators import bursts, confirm, delivery, encode, ledger, logs, rollup, shape, sketches
 from feedflow.operators.decode import COMPAT, STRICT, decode, parse, parse_variant
 from feedflow.operators.route import route
-from feedflow.operators.validate import well_formed
+from feedflow.operators.validate import check_schema, well_formed
 from feedflow.plans import feed
 from feedflow.plans.table_feed import (
     block_messages,
@@ -292,6 +292,30 @@ def events_encode(spark, sf_dir):
     return back.select("row.*")
 
 
+EVENT_SCHEMA = """
+{
+  "type": "object",
+  "properties": {
+    "event_id": {"type": "integer", "minimum": 0},
+    "user_id": {"type": "integer", "exclusiveMaximum": 140},
+    "event_type": {"type": "string", "pattern": "^[^v]", "maxLength": 6},
+    "value": {"oneOf": [{"maximum": 50}, {"minimum": 25}]},
+    "props": {"type": "object", "properties": {"k": {"type": "integer", "minimum": 10}}, "required": ["k"], "additionalProperties": false}
+  },
+  "required": ["event_id", "event_type", "value"],
+  "additionalProperties": {"type": "string"}
+}
+"""
+
+
+def events_schema_check(spark, sf_dir):
+    """Every event as a JSON message, judged by a schema document: all its reasons, or none."""
+    fields = ("event_id", "user_id", "event_type", "value")
+    events = table(spark, sf_dir, "events")
+    texts = events.select("event_id", row_to_json([*fields, F.try_parse_json("props").alias("props")]).alias("json_data"))
+    return check_schema(parse_variant(texts), EVENT_SCHEMA).select("event_id", "valid", F.array_join("errors", "; ").alias("reason"))
+
+
 def events_valid_filter(spark, sf_dir):
     kept = well_formed(table(spark, sf_dir, "events"), "props")
     return kept.groupBy("event_type").agg(F.count("*").alias("n"))
@@ -540,7 +564,7 @@ QUERIES: dict[str, Query] = {
         block_parse_strict, block_parse_compat, block_dead_letter, block_dead_letter_compat, block_extract_normalize,
         block_ingest_compat, block_ingest_text, block_invalid, block_tx_explode,
         feed_outputs, feed_texts, feed_outputs_compat, feed_block_values,
-        events_json_props, events_encode, events_valid_filter,
+        events_json_props, events_encode, events_schema_check, events_valid_filter,
         stream_tx_available_now, stream_single_pass, stream_fan_out, stream_restart, stream_replay, stream_confirmations, stream_bursts, stream_by_date, landed_blocks,
         stream_publish_batches, stream_three_queries, stream_ingest, stream_logs, stream_metrics, stream_tx_rollup, blocks_json_files,
         log_parse, log_parse_compat, log_messages,

@@ -74,7 +74,7 @@ def test_messages_are_derived_without_a_shuffle(spark, sf_dir):
 
 
 PASSES = ("tx_parse", "tx_parse_strict", "tx_dead_letter", "tx_outputs", "tx_invalid", "tx_valid_passthrough", "block_parse_strict",
-          "block_invalid", "feed_texts", "events_json_props", "log_messages", "tx_rollup_rejects")
+          "block_invalid", "feed_texts", "events_json_props", "events_schema_check", "log_messages", "tx_rollup_rejects")
 
 
 @pytest.mark.parametrize("name", PASSES)
