@@ -11,7 +11,8 @@ blocks by a key on which both are dealt evenly, so neither side is broadcast or
 Defined results: vectors that are null or have null or non-finite components take no part; a shorter vector has zeros behind its
 end; an id that occurs more than once is taken once as a query (its smallest vector) and all its rows count as its own, never as
 candidates of that query; rows without an id are left out; ties go to the smaller id; fewer than k candidates give fewer rows;
-empty tables give no rows; extra columns are ignored.
+empty tables give no rows; extra columns are ignored. A vector whose integers have a length of 2**31 or more is refused with an error: inner
+products of shorter ones, and all sums on the way to them, stay within 62 bits.
 """
 
 from __future__ import annotations
@@ -29,12 +30,17 @@ from feedflow.llm.shared import prepared
 # Rows of a block; scores of a meeting take 8 bytes for each pair of rows of the two.
 QUERY_BLOCK, CANDIDATE_BLOCK = 256, 2048
 SCALE = 1024
+# Squared length that a vector of integers may not reach.
+LARGEST = float(1 << 62)
 
 
 def integers(vector: Column) -> Column:
     """Components as floor(1024 * x); null if the vector is null or has a component that is null or no finite number."""
     finite = F.forall(vector, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
-    return F.when(finite, F.transform(vector, lambda x: F.floor(F.lit(float(SCALE)) * x.cast("double")).cast("bigint")))
+    whole = lambda x: F.floor(F.lit(float(SCALE)) * x.cast("double")).cast("bigint")
+    square = F.aggregate(vector, F.lit(0.0), lambda total, x: total + F.pow(whole(x).cast("double"), F.lit(2.0)))
+    refused = F.raise_error(F.lit("a vector of length 2**31 or more after scaling")).cast("array<bigint>")
+    return F.when(finite, F.when(square < LARGEST, F.transform(vector, whole)).otherwise(refused))
 
 
 def packed(vectors: DataFrame, rows: int, name: str) -> DataFrame:

@@ -3,6 +3,8 @@
 import math
 import random
 
+import pytest
+
 from feedflow.llm import topk
 
 SCHEMA = "vec_id long, embedding array<float>, label int, v string, score long"
@@ -48,3 +50,12 @@ def test_few_and_no_candidates(spark):
     check(spark, [(0, [1.0]), (1, [2.0]), (2, [2.0])])
     check(spark, [(0, [1.0])])
     check(spark, [])
+
+
+def test_vectors_whose_scores_could_leave_64_bits_are_refused(spark):
+    longest = 1_048_575 * 1.999
+    check(spark, [(0, [longest, 1.0]), (100, [-longest]), (1, [0.5, longest]), (2, [longest])])
+    for vector in ([1e300], [2.0**21], [1.6e6, 1.6e6], [-1e300, 1.0]):
+        rows = spark.createDataFrame([(0, vector), (1, [3.0])], "vec_id long, embedding array<double>")
+        with pytest.raises(Exception, match="2\\*\\*31 or more"):
+            topk.report(rows).collect()

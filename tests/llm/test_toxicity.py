@@ -1,7 +1,10 @@
 """The kernel against its definition, and what the machine finds."""
 
 import itertools
+import math
 import random
+import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -15,7 +18,8 @@ def block(texts):
 
 
 def spelled(text):
-    return toxicity.spelled(toxicity.words_of(*block([text])))
+    words = toxicity.words_of(*block([text]))
+    return toxicity.spelled(words) if len(words) else []
 
 
 def test_words():
@@ -115,3 +119,83 @@ def test_landmarks_cover_every_toxic_word():
     assert covered.min() > 1 - toxicity.RESIDUAL - 1e-6
     machine = toxicity.fitted(toxic, clean)
     assert (toxicity.kernel(toxicity.as_words(rare), machine.weights)[0] + machine.bias > 0).all()
+
+
+def plain_margin(machine, text):
+    """The worst word by the definition: normalised sums over the triples that begin in three cells of four letters."""
+    best = machine.bias
+    for word in spelled(text):
+        cells = -(-len(word) // toxicity.CELL)
+        starting = [[] for _ in range(cells)]
+        for a, b, c in itertools.combinations(range(len(word)), 3):
+            if c - a <= 4:
+                code = sum((ord(word[i]) - 96) << shift for i, shift in ((a, 10), (b, 5), (c, 0)))
+                starting[a // toxicity.CELL].append((code, toxicity.DECAY ** (c - a - 2)))
+        for first in range(max(1, cells - 2)):
+            held = [pair for cell in starting[first : first + 3] for pair in cell]
+            norm = max(sum(w * w for _, w in held), toxicity.LEAST_NORM) ** 0.5
+            best = max(best, sum(w * float(machine.weights[code]) for code, w in held) / norm + machine.bias)
+    return best
+
+
+def plain_words(texts):
+    """``word -> (toxic, clean)``: how many different words stand before it, in ``(text, label)`` of either class."""
+    seen = set()
+    for text, label in texts:
+        own = spelled(text)
+        seen |= {(word, before, label) for before, word in zip([None, *own], own, strict=False) if len(word) >= 3}
+    counts = Counter((word, label) for word, _, label in seen)
+    return {word: (counts[word, 1], counts[word, 0]) for word, _, _ in seen}
+
+
+def plain_support(words, toxic, clean):
+    found = {}
+    for word, (t, c) in words.items():
+        parts = ((t, toxic / (toxic + clean)), (c, clean / (toxic + clean)))
+        g = 2 * sum(n * math.log(n / ((t + c) * p)) for n, p in parts if n)
+        if g >= max(toxicity.LEAST_G, 2 * math.log(len(words))) and (t / toxic) / ((c + 0.5) / clean) >= toxicity.LEAST_RATIO:
+            found[word] = g
+    return sorted(found, key=lambda word: (-found[word], word))
+
+
+def plain_curve(margins, labels):
+    """Every cut between two margins tried, then every slope."""
+    values = sorted(set(margins))
+    middles = [values[0], *((a + b) / 2 for a, b in itertools.pairwise(values)), values[-1] + 1]
+    errors = [sum((m >= cut) != bool(label) for m, label in zip(margins, labels, strict=True)) for cut in middles]
+    cut = middles[errors.index(min(errors))]
+    signs = [2 * label - 1 for label in labels]
+    loss = lambda slope: sum(np.logaddexp(0, -slope * s * (m - cut)) for s, m in zip(signs, margins, strict=True))
+    return min(np.geomspace(1, 256, 33), key=loss), cut
+
+
+def test_report_equals_brute_force(spark, documents):
+    rows, labels = corpus()
+    rows += [(1001, rows[1][1] + " i d i o t"), (1002, rows[2][1] + " scumbaggery-and-more"), (1003, ""), (1004, "12 ?")]
+    found = {r["doc_id"]: r["score"] for r in toxicity.report(documents(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    label = {i: toxic for i, _, toxic in labels if zlib.crc32(str(i).encode()) % 5}
+    learned = [(text, label[i]) for i, text in rows if i in label]
+    words = plain_words(learned)
+    n_toxic = sum(toxic for _, toxic in learned)
+    toxic = plain_support(words, n_toxic, len(learned) - n_toxic)
+    assert {"idiot", "scumbag", "moron"} <= set(toxic)
+    # Fewer clean words than the bounds of the sample of words: all of them are examples.
+    clean = sorted((word for word, (_, c) in words.items() if c and word not in toxic), key=lambda word: (-words[word][1], word))
+    assert len(clean) < toxicity.HARD
+    machine = toxicity.fitted(toxic, clean)
+    slope, cut = plain_curve([plain_margin(machine, text) for text, _ in learned], [toxic for _, toxic in learned])
+    for i, text in rows:
+        wanted = 1 / (1 + math.exp(-max(-500, min(500, slope * (plain_margin(machine, text) - cut)))))
+        assert math.isclose(found[i], wanted, abs_tol=2e-3), (i, found[i], wanted)
+        assert (found[i] >= 0.5) == (wanted >= 0.5)
+
+
+def test_words_and_support_equal_plain_counts(spark, documents):
+    rows, labels = corpus()
+    label = {i: toxic for i, _, toxic in labels}
+    sample = spark.createDataFrame([(i, text, label[i]) for i, text in rows], "doc_id long, text string, label int")
+    words = toxicity.vocabulary(sample)
+    plain = plain_words([(text, label[i]) for i, text in rows])
+    assert {r["word"]: (r["toxic"], r["clean"]) for r in words.collect()} == plain
+    ordered = [r["word"] for r in toxicity.support(words, 100, 300).orderBy(toxicity.F.desc("g"), "word").collect()]
+    assert ordered == plain_support(plain, 100, 300)
