@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from feedflow.functions.once import compute_once
 from feedflow.llm.shared import prepared
 
 # Rows of a block; scores of a meeting take 8 bytes for each pair of rows of the two.
@@ -43,9 +44,9 @@ def integers(vector: Column) -> Column:
     return F.when(finite, F.when(square < LARGEST, F.transform(vector, whole)).otherwise(refused))
 
 
-def packed(vectors: DataFrame, rows: int, name: str) -> DataFrame:
-    """Blocks of about ``rows`` vectors: ``name`` (block number), ids, lengths and all components in a row."""
-    blocks_of = vectors.withColumn(name, F.pmod(F.xxhash64("vec_id"), F.lit(blocks_needed(vectors, rows))).cast("int"))
+def packed(vectors: DataFrame, blocks: int, name: str) -> DataFrame:
+    """The vectors in so many blocks: ``name`` (block number), ids, lengths and all components in a row."""
+    blocks_of = vectors.withColumn(name, F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
     one = F.struct("vec_id", F.col("v").alias("v"))
     gathered = blocks_of.groupBy(name).agg(F.array_sort(F.collect_list(one)).alias("rows"))
     return gathered.select(name, F.transform("rows", lambda r: r["vec_id"]).alias("ids"),
@@ -105,9 +106,9 @@ def best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 def search(queries: DataFrame, candidates: DataFrame, k: int = 10) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k candidates (``vec_id, v``) with the highest inner product with each query."""
     prepared(queries.sparkSession)
-    asked = packed(queries.groupBy("vec_id").agg(F.min("v").alias("v")), QUERY_BLOCK, "query_block")
-    held = packed(candidates, CANDIDATE_BLOCK, "block")
+    asked = packed(queries.groupBy("vec_id").agg(F.min("v").alias("v")), blocks_needed(queries, QUERY_BLOCK), "query_block")
     n = blocks_needed(candidates, CANDIDATE_BLOCK)
+    held = packed(candidates, n, "block")
     asked = asked.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("block"),
                          *[F.col(c).alias(f"q_{c}") for c in ("ids", "sizes", "parts")])
     meetings = asked.join(held, "block").select("q_ids", "q_sizes", "q_parts", "ids", "sizes", "parts")
@@ -134,5 +135,6 @@ def search(queries: DataFrame, candidates: DataFrame, k: int = 10) -> DataFrame:
 
 def report(embeddings: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     """The rows whose id ``every`` divides, searched against all rows."""
-    rows = embeddings.select(F.col("vec_id").cast("bigint").alias("vec_id"), integers(F.col("embedding")).alias("v")).filter("vec_id IS NOT NULL AND v IS NOT NULL")
+    named = embeddings.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding").filter("vec_id IS NOT NULL")
+    rows = compute_once(named, v=integers(F.col("embedding"))).drop("embedding").filter("v IS NOT NULL")
     return search(rows.filter(F.col("vec_id") % every == 0), rows, k)
