@@ -110,3 +110,19 @@ def test_store_by_date(spark, tmp_path):
     assert stored.count() == 300 and len(stored.inputFiles()) < 3 * 8
     plan = physical(stored.filter("event_date = date'2024-01-02'"))
     assert "event_date" in plan[plan.index("PartitionFilters: ["):].split("]")[0]
+
+
+def test_texts_of_other_topics_are_never_made(spark, sf_dir):
+    """A topic's strict parse takes the messages of that topic or of none; the test lies below the derivation of the text."""
+    plan = physical(feed.blocks(transaction_messages(spark.read.parquet(f"{sf_dir}/lineitem.parquet")), "strict"))
+    assert "confirmed_blocks" in plan[plan.index("StructsToJson"):]
+
+
+def test_generated_methods_stay_within_what_is_compiled(spark):
+    """HotSpot interprets methods of more than 8000 bytes of code for ever."""
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_messages_are_stored_compactly(spark, tmp_path):
+    land(messages(spark, ['{"op":"utx"}'], "unconfirmed_transactions"), str(tmp_path / "l"))
+    assert any(".zstd." in name for name in landed_table(spark, str(tmp_path / "l")).inputFiles())
