@@ -10,9 +10,9 @@ A choice without shingles says nothing and is left out, unless a set has more of
 up for; such sets sign their empty choices too, which keeps the join exact.
 
 Sets that share a signature are candidates, and connected candidates a cluster. Looser rules have signatures of fewer shingles, which sets
-of little similarity share as well; with ``likely`` above 0, neighbours under a signature (in the order of their keys) are
-candidates only if a sketch of ``SKETCH`` minimum hashes says that they may be alike. Linked sets of this rule share many signatures, and an
-estimate misses its truth of 0.8 by a quarter of one in a hundred thousand cases. Within clusters all pairs of sets are
+of little similarity share as well; with ``likely`` above 0, sets under a signature are candidates only if their sketches leave it open
+whether they are linked. A sketch holds parities, so the bits in which two of them differ are a lower bound of the shingles in which the sets
+differ: no linked pair is left out. Within clusters all pairs of sets are
 compared exactly, by blocks of bounded size: first every block with one hub block, then only blocks that still hold
 different components. Nothing is emitted per pair: a block hands on one link per set it found connected.
 
@@ -39,14 +39,16 @@ from feedflow.llm.shared import Rolling, annotated, blocks, column, lower_ascii_
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 400_000
 # Ids (8 bytes) that are broadcast at most to pick documents; beyond it, documents are joined by id.
 BROADCAST_IDS = 1_000_000
+# Sets of a signature that are held together at most.
+PART = 64
 LOWER = lower_ascii_table()
 
 
 @dataclass(frozen=True)
 class Rule:
     """Shingles of ``words`` words; sets are linked from ``numerator / denominator`` on. ``reach`` is how many times the ratio of
-    sizes of two linked sets a band spans; ``spare`` is the number of first-level parts beyond those that k asks for. ``likely`` is the
-    estimated similarity that candidates must have; 0 takes all."""
+    sizes of two linked sets a band spans; ``spare`` is the number of first-level parts beyond those that k asks for. ``likely``
+    above 0 has candidates tested by their sketches, which leave out no linked pair; 0 takes all."""
 
     words: int = 3
     numerator: int = 90
@@ -150,16 +152,22 @@ def keys(shingles: np.ndarray) -> tuple[int, int]:
     return tuple(x - (1 << 64) if x >> 63 else x for x in sums)
 
 
-# Minimum hashes of a sketch (16 bits of each), and the shingles that are hashed at once.
-SKETCH, SKETCHED = 48, 4096
+# Bits of the smallest sketch, and bits for each shingle at least.
+SKETCH, SKETCHED = 512, 2
+# Bytes of sketches that are compared at once.
+SKETCH_BYTES = 1 << 22
 
 
 def sketch(shingles: np.ndarray) -> bytes:
-    factors = mix(np.arange(1, SKETCH + 1, dtype=np.uint64)) | np.uint64(1)
-    least = np.full(SKETCH, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), SKETCHED):
-        np.minimum(least, mix(shingles[at : at + SKETCHED, None] * factors).min(axis=0), out=least)
-    return (least & np.uint64(0xFFFF)).astype(np.uint16).tobytes()
+    """Parities of the shingles that fall on each bit. Two sets' sketches differ in no more bits than the sets do in shingles."""
+    bits = max(SKETCH, 1 << (SKETCHED * len(shingles) - 1).bit_length())
+    place = (mix(shingles ^ np.uint64(0xA0761D6478BD642F)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(sketches: np.ndarray, width: int) -> np.ndarray:
+    """Sketches (rows of 64-bit words) as they would be with ``width`` words."""
+    return np.bitwise_xor.reduce(sketches.reshape(len(sketches), -1, width), axis=1)
 
 
 def shingled(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -204,20 +212,57 @@ def candidates(signatures: DataFrame) -> DataFrame:
     return sharing.filter("lead <> key").select("lead", "key").distinct()
 
 
-def likely_candidates(signatures: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """``lead, key``: sets that follow each other under a signature, if their sketches agree often enough."""
-    rows = signatures.select(F.explode("signatures").alias("signature"), "key")
-    order = Window.partitionBy("signature").orderBy("key")
-    met = rows.select(F.lag("key").over(order).alias("lead"), "key").filter("lead <> key").distinct()
-    sketches = sets.filter("n > 0").groupBy("key").agg(F.max("sketch").alias("sketch"))
-    both = met.join(sketches.select(F.col("key").alias("lead"), F.col("sketch").alias("a")), "lead").join(sketches.withColumnRenamed("sketch", "b"), "key")
+def alike(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """The ``pairs`` (``lead, key``) without those whose sketches prove that they aren't linked; no linked pair goes."""
+    sketches = sets.filter("n > 0").groupBy("key").agg(F.max(F.struct("n", "sketch")).alias("sketch"))
+    both = pairs.join(sketches.select(F.col("key").alias("lead"), F.col("sketch").alias("a")), "lead").join(sketches.withColumnRenamed("sketch", "b"), "key")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (utf8_view(batch.column(c))[0].view(np.uint16).reshape(-1, SKETCH) for c in ("a", "b"))
-            yield batch.select(["lead", "key"]).filter(pa.array((a == b).mean(axis=1) >= rule.likely))
+            sizes = [batch.column(c).to_numpy() for c in ("n_a", "n_b")]
+            most = (sizes[0] + sizes[1]) * (rule.denominator - rule.numerator) // (rule.denominator + rule.numerator)
+            data, words = [], []
+            for c in ("a", "b"):
+                flat, bounds = utf8_view(batch.column(c))
+                data.append((flat, bounds))
+                words.append(np.diff(bounds) // 8)
+            differ = np.zeros(batch.num_rows, np.int64)
+            for x, y in np.unique(np.stack(words, axis=1), axis=0).tolist():
+                of_kind, step = np.flatnonzero((words[0] == x) & (words[1] == y)), max(1, SKETCH_BYTES // (8 * max(x, y)))
+                for first in range(0, len(of_kind), step):
+                    at = of_kind[first : first + step]
+                    a, b = (folded(flat[bounds[at][:, None] + np.arange(8 * n)].view(np.uint64), min(x, y)) for (flat, bounds), n in zip(data, (x, y), strict=True))
+                    differ[at] = np.bitwise_count(a ^ b).sum(axis=1)
+            yield batch.select(["lead", "key"]).filter(pa.array(differ <= most))
+
+    columns = both.select("lead", "key", F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b"), F.col("a.sketch").alias("a"), F.col("b.sketch").alias("b"))
+    return columns.mapInArrow(run, "lead bigint, key bigint")
+
 
-    return both.select("lead", "key", "a", "b").mapInArrow(run, "lead bigint, key bigint")
+def likely_candidates(signatures: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """``lead, key``: sets that share a signature and may be linked by their sketches, as far as needed to connect all that are.
+
+    First the sets that follow each other under a signature; then, under signatures whose sets these leave in several components,
+    all pairs of sets of different ones, by parts of ``PART`` sets.
+    """
+    spark = sets.sparkSession
+    rows = signatures.select(F.explode("signatures").alias("signature"), "key")
+    order = Window.partitionBy("signature").orderBy("key")
+    beside = rows.select("signature", "key", F.lag("key").over(order).alias("before"), F.lead("key").over(order).alias("after"))
+    shared = written(spark, beside.filter("before <> key OR after <> key").drop("after"), "shared-signatures")
+    near = shared.filter("before <> key").select(F.col("before").alias("lead"), "key").distinct()
+    near = written(spark, alike(near, sets, rule), "near-candidates")
+    labelled = shared.join(components(near), F.col("key") == F.col("node"), "left").select("signature", "key", F.coalesce("root", "key").alias("component"))
+    apart = labelled.groupBy("signature").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("signature")
+    several = labelled.join(apart, "signature", "left_semi").withColumn("part", F.floor((F.row_number().over(order) - 1) / PART))
+    parts = several.groupBy("signature", "part").agg(F.collect_list(F.struct("key", "component")).alias("sets"))
+    # Many signatures have the same sets; each pair of parts is taken once.
+    parts = written(spark, parts.select("signature", "part", F.array_sort("sets").alias("sets")), "open-signatures")
+    later = parts.select("signature", F.col("part").alias("later"), F.col("sets").alias("others"))
+    met = parts.join(later, "signature").filter("part <= later").select("sets", "others").distinct()
+    pairs = met.select(F.explode("sets").alias("x"), "others").select("x", F.explode("others").alias("y"))
+    pairs = pairs.filter("x.key < y.key AND x.component <> y.component").select(F.col("x.key").alias("lead"), F.col("y.key").alias("key")).distinct()
+    return near.unionByName(alike(pairs, sets, rule))
 
 
 def broadcast_if_small(table: DataFrame) -> DataFrame:

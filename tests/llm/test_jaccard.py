@@ -61,6 +61,32 @@ def test_the_looser_rule_equals_comparing_all_pairs(spark, documents):
     assert sorted(tuple(r) for r in jaccard.join(documents(rows), rule).collect()) == sorted(plain(rows, 5, 80))
 
 
+def test_linked_sets_under_one_signature_are_candidates_though_others_lie_between(spark, monkeypatch):
+    """All pairs of different components under a signature, in parts of any size, not only those that follow each other by key."""
+    rng, rule = np.random.default_rng(3), jaccard.Rule(words=5, numerator=80, denominator=100, likely=0.55)
+    rows, linked = [], set()
+    for group in range(20):
+        own = np.unique(rng.integers(0, 1 << 63, int(rng.integers(20, 900))).astype(np.uint64))
+        near = np.concatenate([own[: len(own) - len(own) // 12], rng.integers(0, 1 << 63, len(own) // 12).astype(np.uint64)])
+        rows += [(1000 + group, own), (5000 - group, np.unique(near))]
+        linked.add((1000 + group, 5000 - group))
+    sets = spark.createDataFrame([(k, len(s), bytearray(jaccard.sketch(s))) for k, s in rows], "key long, n long, sketch binary")
+    signatures = spark.createDataFrame([(k, [7]) for k, _ in rows], "key long, signatures array<long>")
+    for part in (3, 64):
+        monkeypatch.setattr(jaccard, "PART", part)
+        assert linked <= {tuple(r) for r in jaccard.likely_candidates(signatures, sets, rule).collect()}
+
+
+def test_sketches_differ_in_no_more_bits_than_sets_in_shingles():
+    rng = np.random.default_rng(5)
+    for _ in range(500):
+        a = np.unique(rng.integers(0, 1 << 63, int(rng.integers(1, 3000))).astype(np.uint64))
+        b = np.unique(np.concatenate([a[int(rng.integers(0, len(a))) :], rng.integers(0, 1 << 63, int(rng.integers(0, 2000))).astype(np.uint64)]))
+        x, y = (np.frombuffer(jaccard.sketch(s), np.uint64)[None] for s in (a, b))
+        width = min(x.shape[1], y.shape[1])
+        assert np.bitwise_count(jaccard.folded(x, width) ^ jaccard.folded(y, width)).sum() <= len(np.setxor1d(a, b))
+
+
 def test_equals_comparing_all_pairs(spark, documents):
     rows = case()
     found = sorted(tuple(r) for r in jaccard.join(documents(rows)).collect())
