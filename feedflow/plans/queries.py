@@ -26,7 +26,7 @@ from feedflow.plans.table_feed import (
     transaction_messages,
 )
 from feedflow.schemas import BLOCK_DDL, TRANSACTION_STRICT_DDL
-from feedflow.settings import FeedSettings, configure, shared_dir
+from feedflow.settings import FeedSettings, configure, large_state, shared_dir
 from feedflow.sources.files import land, landed_stream, landed_table, log_files
 from feedflow.streaming.progress import ProgressLog
 from feedflow.streaming.runs import (
@@ -378,7 +378,9 @@ def stream_confirmations(spark, sf_dir):
     out = shared_dir(spark, "stream-confirmations")
     tx = transaction_messages(feed_table_stream(spark, sf_dir, "lineitem"))
     found = _confirmations(tx, block_messages(feed_table_stream(spark, sf_dir, "orders")), late="36 hours")
-    finish(to_files(found, f"{out}/data", f"{out}/checkpoint", once=True))
+    with large_state(spark):
+        query = to_files(found, f"{out}/data", f"{out}/checkpoint", once=True)
+    finish(query)
     return spark.read.schema(found.schema).parquet(f"{out}/data")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -71,6 +73,29 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# State outside the heap: a join of streams keeps every row until the watermark passes it, which may be all of a backlog.
+LARGE_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    # One store for both sides of a join.
+    "spark.sql.streaming.join.stateFormatVersion": "3",
+}
+
+
+@contextmanager
+def large_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB, on the executors' disks. A checkpoint keeps the store it began with."""
+    before = {key: spark.conf.get(key, None) for key in LARGE_STATE}
+    try:
+        for key, value in LARGE_STATE.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def build_session(app_name: str = "feedflow", **conf: str) -> SparkSession:
     """A session with the settings above; master and sizing come from spark-submit."""
     builder = SparkSession.builder.appName(app_name)

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from feedflow.operators.confirm import confirmations
+from feedflow.plans import queries
 from feedflow.streaming.runs import finish
 from feedflow.streaming.sinks import to_files
 
@@ -67,3 +68,12 @@ def test_stream_equals_table_behind_its_watermark(spark, tmp_path):
     assert sorted(rows, key=str) == wanted([r for r in seen if r[1] is not None], listed, 40, 10)
     with pytest.raises(ValueError):
         confirmations(*streams, "1 hour")
+
+
+def test_the_query_keeps_its_state_outside_the_heap(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "shared_dir", lambda spark, purpose: str(tmp_path / purpose))
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    assert queries.run("stream_confirmations")(spark, sf_dir).count() > 0
+    assert "RocksDB" in (tmp_path / "stream-confirmations/checkpoint/offsets/0").read_text()
+    assert spark.conf.get(key) == before
