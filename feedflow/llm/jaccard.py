@@ -40,7 +40,7 @@ BLOCK_SETS, BLOCK_SHINGLES = 1024, 400_000
 # Ids (8 bytes) that are broadcast at most to pick documents; beyond it, documents are joined by id.
 BROADCAST_IDS = 1_000_000
 # Sets of a signature that are held together at most.
-PART = 64
+PART = 1024
 LOWER = lower_ascii_table()
 
 
@@ -153,7 +153,7 @@ def keys(shingles: np.ndarray) -> tuple[int, int]:
 
 
 # Bits of the smallest sketch, and bits for each shingle at least.
-SKETCH, SKETCHED = 512, 2
+SKETCH, SKETCHED = 512, 1
 # Bytes of sketches that are compared at once.
 SKETCH_BYTES = 1 << 22
 
@@ -239,6 +239,72 @@ def alike(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return columns.mapInArrow(run, "lead bigint, key bigint")
 
 
+def of_pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one ``pair`` (the first column) after the other; rows come in its order."""
+    held, last = [], None
+    for batch in batches:
+        pair = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(pair)) + 1).tolist(), len(pair)]
+        for first, end in zip(cuts, cuts[1:], strict=False) if len(pair) else ():
+            if held and pair[first] != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(first, end - first))
+            last = pair[first]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def unlike_bits(flat: np.ndarray, starts: np.ndarray, words: np.ndarray, left: np.ndarray, right: np.ndarray):
+    """``rows, columns, bits``: numbers of sets of ``left`` and ``right``, and how many bits of their sketches differ, by bounded matrices."""
+    for x in np.unique(words[left]).tolist():
+        for y in np.unique(words[right]).tolist():
+            width = min(x, y)
+            step = max(1, SKETCH_BYTES // (64 * width))
+
+            def bits(at: np.ndarray, n: int) -> np.ndarray:
+                narrow = folded(flat[starts[at][:, None] + np.arange(8 * n)].view(np.uint64), width)
+                return np.unpackbits(narrow.view(np.uint8), axis=1).astype(np.float32)
+
+            rows, columns = left[words[left] == x], right[words[right] == y]
+            for i in range(0, len(rows), step):
+                a = bits(rows[i : i + step], x)
+                for j in range(0, len(columns), step):
+                    b = bits(columns[j : j + step], y)
+                    yield rows[i : i + step], columns[j : j + step], a.sum(axis=1)[:, None] + b.sum(axis=1) - 2 * (a @ b.T)
+
+
+def alike_apart(met: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """``lead, key``: all pairs of sets of different components in the pairs of parts ``met`` (``sets, others``, or ``sets`` alone) that may be
+    linked by their sketches and sizes. Sets travel with their sketches, once a pair of parts; only what passes becomes a row.
+
+    Two pairs of parts with one hash are compared as one, which leaves out nothing.
+    """
+    sketches = sets.filter("n > 0").groupBy("key").agg(F.max(F.struct("n", "sketch")).alias("held"))
+
+    def members_of(column: str, side: int):
+        return F.transform(column, lambda s: F.struct(s["key"].alias("of"), s["component"].alias("component"), F.lit(side).alias("side")))
+
+    rows = met.select(F.xxhash64("sets", "others").alias("pair"), F.inline(F.concat(members_of("sets", 0), members_of("others", 1)))).join(sketches, F.col("of") == F.col("key"))
+    rows = rows.select("pair", "side", "key", "component", F.col("held.n").alias("n"), F.col("held.sketch").alias("sketch"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in of_pairs(batches):
+            side, key, component, n = (table.column(c).to_numpy() for c in ("side", "key", "component", "n"))
+            flat, bounds = utf8_view(table.column("sketch"))
+            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            for a, b, differ in unlike_bits(flat, bounds[:-1], np.diff(bounds) // 8, left, right if len(right) else left):
+                sizes = n[a][:, None] + n[b]
+                near = differ <= sizes * (rule.denominator - rule.numerator) // (rule.denominator + rule.numerator)
+                near &= rule.denominator * np.minimum(n[a][:, None], n[b]) >= rule.numerator * np.maximum(n[a][:, None], n[b])
+                i, j = np.nonzero(near & (component[a][:, None] != component[b]))
+                if len(i):
+                    x, y = key[a[i]], key[b[j]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["lead", "key"])
+
+    return rows.repartition("pair").sortWithinPartitions("pair").mapInArrow(run, "lead bigint, key bigint")
+
+
 def likely_candidates(signatures: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """``lead, key``: sets that share a signature and may be linked by their sketches, as far as needed to connect all that are.
 
@@ -253,16 +319,18 @@ def likely_candidates(signatures: DataFrame, sets: DataFrame, rule: Rule) -> Dat
     near = shared.filter("before <> key").select(F.col("before").alias("lead"), "key").distinct()
     near = written(spark, alike(near, sets, rule), "near-candidates")
     labelled = shared.join(components(near), F.col("key") == F.col("node"), "left").select("signature", "key", F.coalesce("root", "key").alias("component"))
-    apart = labelled.groupBy("signature").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("signature")
-    several = labelled.join(apart, "signature", "left_semi").withColumn("part", F.floor((F.row_number().over(order) - 1) / PART))
-    parts = several.groupBy("signature", "part").agg(F.collect_list(F.struct("key", "component")).alias("sets"))
-    # Many signatures have the same sets; each pair of parts is taken once.
-    parts = written(spark, parts.select("signature", "part", F.array_sort("sets").alias("sets")), "open-signatures")
+    whole = Window.partitionBy("signature")
+    several = labelled.select(
+        "*", F.min("component").over(whole).alias("least"), F.max("component").over(whole).alias("most"),
+        F.floor((F.row_number().over(order) - 1) / PART).alias("part"),
+    ).filter("least <> most")
+    parts = several.groupBy("signature", "part").agg(F.array_sort(F.collect_list(F.struct("key", "component"))).alias("sets"))
+    parts = written(spark, parts, "open-signatures")
     later = parts.select("signature", F.col("part").alias("later"), F.col("sets").alias("others"))
-    met = parts.join(later, "signature").filter("part <= later").select("sets", "others").distinct()
-    pairs = met.select(F.explode("sets").alias("x"), "others").select("x", F.explode("others").alias("y"))
-    pairs = pairs.filter("x.key < y.key AND x.component <> y.component").select(F.col("x.key").alias("lead"), F.col("y.key").alias("key")).distinct()
-    return near.unionByName(alike(pairs, sets, rule))
+    met = parts.join(later, "signature").filter("part <= later")
+    # Many signatures have the same sets; each pair of parts is taken once. A part meets itself as one side.
+    met = met.select("sets", F.when(F.col("part") < F.col("later"), F.col("others")).otherwise(F.slice("others", 1, 0)).alias("others")).distinct()
+    return near.unionByName(alike_apart(met, sets, rule))
 
 
 def broadcast_if_small(table: DataFrame) -> DataFrame:

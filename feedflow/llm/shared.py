@@ -43,6 +43,8 @@ def prepared(spark: SparkSession) -> SparkSession:
         environment["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+    # What a written table was shuffled from goes when the table stands, not when the driver next collects its garbage.
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 

@@ -77,6 +77,23 @@ def test_linked_sets_under_one_signature_are_candidates_though_others_lie_betwee
         assert linked <= {tuple(r) for r in jaccard.likely_candidates(signatures, sets, rule).collect()}
 
 
+def test_pairs_of_an_open_signature_never_become_rows(spark, monkeypatch):
+    """All pairs are compared inside tasks; only those that may be linked come out, each once for a pair of parts."""
+    rng, rule = np.random.default_rng(6), jaccard.Rule(words=5, numerator=80, denominator=100, likely=0.55)
+    rows = [(k, np.unique(rng.integers(0, 1 << 63, 200 + k % 50).astype(np.uint64))) for k in range(90)]
+    rows.append((500, np.concatenate([rows[5][1][:-4], rng.integers(0, 1 << 63, 4).astype(np.uint64)])))
+    sets = spark.createDataFrame([(k, len(s), bytearray(jaccard.sketch(s))) for k, s in rows], "key long, n long, sketch binary")
+    monkeypatch.setattr(jaccard, "SKETCH_BYTES", 1 << 12)
+    for part in (7, 1024):
+        keys = sorted(k for k, _ in rows)
+        parts = [[{"key": k, "component": k} for k in keys[i : i + part]] for i in range(0, len(keys), part)]
+        met = [(a, b if i < j else []) for i, a in enumerate(parts) for j, b in enumerate(parts) if i <= j]
+        kind = "array<struct<key: long, component: long>>"
+        found = jaccard.alike_apart(spark.createDataFrame(met, f"sets {kind}, others {kind}"), sets, rule)
+        assert {tuple(r) for r in found.collect()} == {(5, 500)}
+        assert "Generate explode" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_sketches_differ_in_no_more_bits_than_sets_in_shingles():
     rng = np.random.default_rng(5)
     for _ in range(500):
