@@ -111,8 +111,8 @@ def _coin(addr: Column, tx_index: Column, value: Column, n: int) -> Column:
     )
 
 
-def transaction_messages(lineitem: DataFrame, settings: FeedSettings = FeedSettings()) -> DataFrame:
-    """One transaction message per line item, in the Kafka envelope."""
+def transaction_messages(lineitem: DataFrame, settings: FeedSettings = FeedSettings(), payload: bool = True) -> DataFrame:
+    """One transaction message per line item, in the Kafka envelope; without ``payload`` the same messages with their ``value`` not derived (NULL)."""
     defect = F.col("defect")
     cents = _cents("l_extendedprice")
     tax = F.floor(cents * F.round(F.col("l_tax") * 100).cast("bigint") / 100).cast("bigint")
@@ -172,8 +172,10 @@ def transaction_messages(lineitem: DataFrame, settings: FeedSettings = FeedSetti
         .withColumn("outputs", outputs)
     )
     topic = F.when(~defect.startswith("topicless"), settings.transaction_topic)
-    return _envelope(rows.withColumn("plain", F.to_json(transaction)), text, topic,
-                     F.col("l_linenumber") - 1, F.col("l_orderkey"), F.col("l_shipdate"))
+    place = (topic, F.col("l_linenumber") - 1, F.col("l_orderkey"), F.col("l_shipdate"))
+    if not payload:
+        return _placed(rows.withColumn("value", F.lit(None).cast("binary")), *place)
+    return _envelope(rows.withColumn("plain", F.to_json(transaction)), text, *place)
 
 
 def block_messages(orders: DataFrame, settings: FeedSettings = FeedSettings()) -> DataFrame:
@@ -268,7 +270,11 @@ def _block_defect(names: dict) -> Column:
 def _envelope(rows: DataFrame, text: Column, topic: Column, partition: Column, offset: Column, stamp: Column) -> DataFrame:
     """The Kafka envelope; partition and offset name a message of a topic."""
     # A filter on the text must not derive the message a second time.
-    return compute_once(rows, value=utf8(text)).select(
+    return _placed(compute_once(rows, value=utf8(text)), topic, partition, offset, stamp)
+
+
+def _placed(rows: DataFrame, topic: Column, partition: Column, offset: Column, stamp: Column) -> DataFrame:
+    return rows.select(
         F.lit(None).cast("binary").alias("key"),
         "value",
         topic.alias("topic"),

@@ -126,3 +126,11 @@ def test_generated_methods_stay_within_what_is_compiled(spark):
 def test_messages_are_stored_compactly(spark, tmp_path):
     land(messages(spark, ['{"op":"utx"}'], "unconfirmed_transactions"), str(tmp_path / "l"))
     assert any(".zstd." in name for name in landed_table(spark, str(tmp_path / "l")).inputFiles())
+
+
+def test_lost_offsets_derive_no_texts(spark, sf_dir):
+    assert "StructsToJson" not in physical(contract.queries()["tx_lost_offsets"](spark, sf_dir))
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    whole, placed = (transaction_messages(lineitem, payload=payload) for payload in (True, False))
+    assert placed.schema == whole.schema
+    assert whole.drop("value").exceptAll(placed.drop("value")).isEmpty() and placed.count() == whole.count()
