@@ -62,6 +62,8 @@ SESSION_CONF = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Messages are repetitive text.
     "spark.sql.parquet.compression.codec": "zstd",
+    # Messages are dealt to their topics' files as they come; beyond so many open files a task sorts its rows by directory first.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     "spark.sql.streaming.forceDeleteTempCheckpointLocation": "true",
 }
 

@@ -136,6 +136,11 @@ def test_lost_offsets_derive_no_texts(spark, sf_dir):
     assert whole.drop("value").exceptAll(placed.drop("value")).isEmpty() and placed.count() == whole.count()
 
 
+def test_topics_are_landed_without_a_sort(spark):
+    """A sort of all messages by topic spills them; as many files stay open as there are topics."""
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 6
+
+
 def test_strict_parse_lists_no_keys(landed):
     """The frame itself shows text that goes on as fields of it, so no text is read a further time for its keys."""
     assert "json_object_keys" not in physical(feed.transactions(landed, "strict"))
