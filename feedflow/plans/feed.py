@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from feedflow.functions.json_text import row_to_json, typed_record
 from feedflow.functions.once import compute_once
-from feedflow.operators.decode import STRICT, check_mode, decode, parse, refusal
+from feedflow.operators.decode import COMPAT, STRICT, check_mode, decode, parse, refusal
 from feedflow.operators.encode import utf8, variant_text
 from feedflow.operators.route import is_block, is_transaction, of_topic, with_topic
 from feedflow.operators.shape import BLOCK_FIELDS, flatten, normalized_block
@@ -87,17 +87,28 @@ def blocks(messages: DataFrame, mode: str = STRICT, settings: FeedSettings = Fee
     return flatten(valid, "parsed", "schema_valid")
 
 
-def dead_letters(attempts: DataFrame) -> DataFrame:
-    """The original text of every failed attempt; strict adds lineage and the reason."""
+def dead_letters(attempts: DataFrame, *keep: str) -> DataFrame:
+    """The original text of every failed attempt, followed by the columns in ``keep``; strict adds lineage and the reason."""
     extra = [name for name in ("topic", "partition", "offset", "reason") if name in attempts.columns]
     extra = extra if "reason" in extra else []
-    return attempts.filter("NOT schema_valid").select(F.col("raw_json").cast("string").alias("value"), *extra)
+    return attempts.filter("NOT schema_valid").select(F.col("raw_json").cast("string").alias("value"), *extra, *keep)
 
 
 def block_dead_letters(messages: DataFrame, mode: str = STRICT, settings: FeedSettings = FeedSettings()) -> DataFrame:
     return dead_letters(block_attempts(messages, mode, settings))
 
 
+def block_dead_letters_both_ways(messages: DataFrame, settings: FeedSettings = FeedSettings()) -> DataFrame:
+    """``value, routed``: compat dead letters of messages routed as blocks (``routed``) and of a direct parse of every message.
+
+    A message routed as a block fails both ways or neither, so one scan and one parse per record serve both.
+    """
+    texts = decode(messages)
+    attempts = parse(texts.withColumn("_is_block", is_block(COMPAT, settings)), BLOCK_DDL, COMPAT)
+    ways = F.array_compact(F.array(F.when(F.col("_is_block"), True), F.lit(False)))
+    return dead_letters(attempts, "_is_block").select("value", F.explode(ways).alias("routed"))
+
+
 def transaction_dead_letters(messages: DataFrame, settings: FeedSettings = FeedSettings()) -> DataFrame:
     return dead_letters(transaction_attempts(messages, STRICT, settings))
 

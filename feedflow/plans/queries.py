@@ -25,7 +25,7 @@ from feedflow.plans.table_feed import (
     table,
     transaction_messages,
 )
-from feedflow.schemas import BLOCK_DDL, TRANSACTION_STRICT_DDL
+from feedflow.schemas import TRANSACTION_STRICT_DDL
 from feedflow.settings import FeedSettings, configure, large_state, shared_dir
 from feedflow.sources.files import land, landed_stream, landed_table, log_files
 from feedflow.streaming.progress import ProgressLog
@@ -211,10 +211,7 @@ def block_dead_letter(spark, sf_dir):
 
 def block_dead_letter_compat(spark, sf_dir):
     """The lenient parse fails for blank text only. Routing by marker keeps that away from it, so a direct parse shows it."""
-    messages = mixed_messages(spark, sf_dir)
-    routed = feed.block_dead_letters(messages, COMPAT).withColumn("routed", F.lit(True))
-    direct = feed.dead_letters(parse(decode(messages), BLOCK_DDL, COMPAT)).withColumn("routed", F.lit(False))
-    return routed.unionByName(direct)
+    return feed.block_dead_letters_both_ways(mixed_messages(spark, sf_dir))
 
 
 def block_extract_normalize(spark, sf_dir):

@@ -1,12 +1,16 @@
 """The feed's dataflows on literal messages."""
 
 import json
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
+from feedflow.operators.decode import decode, parse
 from feedflow.operators.rollup import transaction_rollup, transaction_rollup_rejects
 from feedflow.operators.shape import block_transactions, hash_or_na, transaction_inputs, transaction_outputs
 from feedflow.plans import feed
+from feedflow.schemas import BLOCK_DDL
 from feedflow.sources.literal import literal, messages
 from tests.examples import BLOCK, COIN, TRANSACTION, transaction, without
 
@@ -40,6 +44,15 @@ def test_compat_blocks_let_malformed_text_through(mixed):
     assert feed.block_dead_letters(mixed, "compat").isEmpty()
 
 
+def test_compat_dead_letters_both_ways_equal_each_way_alone(spark):
+    texts = messages(spark, [*MIXED, "   ", "", None, "  ", " \t", '"height"'])
+    routed = feed.block_dead_letters(texts, "compat").withColumn("routed", F.lit(True))
+    direct = feed.dead_letters(parse(decode(texts), BLOCK_DDL, "compat")).withColumn("routed", F.lit(False))
+    found, expected = ([tuple(row) for row in df.collect()] for df in (feed.block_dead_letters_both_ways(texts), routed.unionByName(direct)))
+    assert Counter(found) == Counter(expected) and len(found) >= 3 and ("  ", False) in found
+
+
+
 def test_strict_diverts_malformed_text(mixed):
     assert [row.height for row in feed.blocks(mixed, "strict").collect()] == [811000]
     dead = feed.block_dead_letters(mixed, "strict").collect()

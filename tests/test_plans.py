@@ -144,3 +144,8 @@ def test_topics_are_landed_without_a_sort(spark):
 def test_strict_parse_lists_no_keys(landed):
     """The frame itself shows text that goes on as fields of it, so no text is read a further time for its keys."""
     assert "json_object_keys" not in physical(feed.transactions(landed, "strict"))
+
+
+def test_compat_dead_letters_derive_and_parse_once(spark, sf_dir):
+    plan = physical(contract.queries()["block_dead_letter_compat"](spark, sf_dir))
+    assert plan.count("FileScan") == 2 and plan.count("StructsToJson") == 2
