@@ -101,7 +101,10 @@ def tx_inputs(spark, sf_dir):
 
 def tx_output_state(spark, sf_dir):
     """Every output with the number of inputs that spend it."""
-    transactions = feed.transactions(_tx(spark, sf_dir), COMPAT, fields=SPENDS_DDL)
+    out = shared_dir(spark, "spends")
+    # Outputs are read twice and inputs once: the parsed transactions are stored, so no message is derived or parsed again.
+    feed.transactions(_tx(spark, sf_dir), COMPAT, fields=SPENDS_DDL).write.parquet(out)
+    transactions = spark.read.parquet(out)
     return ledger.output_state(shape.transaction_outputs(transactions), shape.transaction_inputs(transactions)).select("hash", "n", "value", "spends")
 
 

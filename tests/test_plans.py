@@ -149,3 +149,9 @@ def test_strict_parse_lists_no_keys(landed):
 def test_compat_dead_letters_derive_and_parse_once(spark, sf_dir):
     plan = physical(contract.queries()["block_dead_letter_compat"](spark, sf_dir))
     assert plan.count("FileScan") == 2 and plan.count("StructsToJson") == 2
+
+
+def test_output_state_reads_stored_transactions(spark, sf_dir):
+    """Outputs are read for their counts and again for the join, inputs once; no message is derived or parsed for each of them."""
+    plan = physical(contract.queries()["tx_output_state"](spark, sf_dir))
+    assert "StructsToJson" not in plan and "from_json" not in plan
