@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 
 from feedflow.llm import topk
@@ -59,3 +60,37 @@ def test_vectors_whose_scores_could_leave_64_bits_are_refused(spark):
         rows = spark.createDataFrame([(0, vector), (1, [3.0])], "vec_id long, embedding array<double>")
         with pytest.raises(Exception, match="2\\*\\*31 or more"):
             topk.report(rows).collect()
+
+
+@pytest.mark.parametrize("longest, kind", [(500, np.float32), (1 << 20, np.float64), (1 << 29, np.int64)])
+def test_a_held_stripe_gives_exact_scores(longest, kind):
+    """Each part of a stripe, full and rare terms, ragged rows, ties and the queries' own rows, in the numbers that hold all sums."""
+    rng = np.random.default_rng(longest)
+    rows = [(int(i), rng.integers(-longest, longest, int(rng.choice([2, 3, 3, 3, 9])))) for i in rng.integers(0, 60, 150)]
+    rows += [(70 + i, np.full(3, longest)) for i in range(60)] + [(200, np.zeros(0, np.int64)), (201, np.zeros(40, np.int64))]
+
+    def block(part):
+        squares = [float((v.astype(float) ** 2).sum()) for _, v in part]
+        return topk.Block(np.array([i for i, _ in part]), np.array([len(v) for _, v in part]), np.concatenate([v for _, v in part]), max(squares))
+
+    queries = block([(7, rows[0][1]), (71, np.full(12, longest - 1)), (300, rows[3][1] // 2), (301, np.zeros(0, np.int64))])
+    held = topk.Stripe([block(rows[:50]), block(rows[50:51]), block(rows[51:])], 16)
+    assert topk.exact(queries.square * held.square) is kind and held.others
+    found, ends = held.best(queries, 5).to_pylist(), np.cumsum(queries.sizes)
+    for query_id, size, end in zip(queries.ids.tolist(), queries.sizes, ends, strict=True):
+        own = queries.weights[end - size : end].tolist()
+        scored = sorted((-sum(a * b for a, b in zip(own, v.tolist(), strict=False)), i) for i, v in rows if i != query_id)[:5]
+        assert [(-r["score"], r["vec_id"]) for r in found if r["query_id"] == query_id] == scored
+
+
+def test_stripes_are_bounded_and_queries_pass_them_whole(spark, monkeypatch):
+    """A task holds a bounded part of the candidates, also where one id has most rows, and no candidate is moved once a query block."""
+    monkeypatch.setattr(topk, "STRIPE", 300)
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 50)
+    made = rows() + [(7, [i / 100, -0.5]) for i in range(1500)]
+    vectors = spark.createDataFrame([(i, [1, 2]) for i in [7] * 900 + list(range(100))], "vec_id long, v array<long>")
+    held = topk.packed(vectors, 50).cache()
+    assert held.agg({"n": "max"}).first()[0] <= 50 and held.agg({"n": "sum"}).first()[0] == 1000
+    assert topk.stripes_needed(held) == max(7, min(20, 4 * spark.sparkContext.defaultParallelism))
+    held.unpersist()
+    check(spark, made, every=20)
