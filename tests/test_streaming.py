@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from feedflow.operators.rollup import transaction_rollup
 from feedflow.operators.shape import event_time
-from feedflow.plans import feed
+from feedflow.plans import feed, queries
 from feedflow.plans.table_feed import mixed_messages, table, transaction_messages
 from feedflow.settings import FeedSettings
 from feedflow.sources.files import land, landed_stream, landed_table, log_files
@@ -173,3 +173,26 @@ def test_metrics_of_a_file_source_reach_the_table_while_the_query_runs(spark, sf
     own = progress.metrics().filter(F.col("query") == str(query.id))
     assert early >= 2 and len(progress.rows) == 0
     assert own.count() == own.select("batch_id").distinct().count() == 7 and own.agg(F.sum("input_rows")).first()[0] == 70
+
+
+def test_fan_out_keeps_its_batch_on_disk_in_small_parts(spark, landed_path, tmp_path):
+    """Memory must not grow with the batch: it is kept on disk only, in parts of few rows."""
+    kept = []
+
+    def look(batch, batch_id):
+        size = batch.sparkSession.conf.get("spark.sql.inMemoryColumnarStorage.batchSize")
+        kept.append((batch.storageLevel.useMemory, batch.storageLevel.useDisk, int(size) <= 500, batch.count()))
+
+    sink = sinks.fan_out(lambda batch: batch.select("value"), {"a": (lambda prepared: prepared, look)})
+    runs.finish(sinks.to_batches(landed_stream(spark, landed_path), sink, f"{tmp_path}/c", once=True))
+    assert kept == [(False, True, True, landed_table(spark, landed_path).count())]
+
+
+def test_fan_out_takes_a_table_in_parts_and_whole(spark, sf_dir, tmp_path, monkeypatch):
+    for name in ("lineitem", "orders"):
+        table(spark, sf_dir, name).repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr(queries, "FAN_OUT_BYTES", 1)
+    found = queries.stream_fan_out(spark, str(tmp_path))
+    assert {int(path.split("batch_id=")[1].split("/")[0]) for path in found.inputFiles()} == {0, 1, 2}
+    expected = queries.feed_texts(spark, sf_dir)
+    assert found.count() == expected.count() and found.exceptAll(expected).isEmpty()
